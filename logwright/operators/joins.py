@@ -1,0 +1,28 @@
+"""Join helpers: broadcast only behind a proven row bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimension rows up to which a broadcast is used (~100 B/row -> ~10 MB).
+DEFAULT_MAX_BROADCAST_ROWS = 100_000
+
+
+def row_bound(df: DataFrame, max_rows: int) -> int:
+    """Number of rows of ``df`` if it is at most ``max_rows``, else
+    ``max_rows + 1``. Stops early: reads at most ``max_rows + 1`` rows."""
+    return df.limit(max_rows + 1).count()
+
+
+def bounded_broadcast(df: DataFrame, known_rows: int | None = None,
+                      max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is proven <= ``max_rows``.
+
+    ``known_rows`` is a bound already established (a literal dimension, or a
+    count recorded when the table was written); otherwise the bound is
+    checked with a limited count. Past the bound the DataFrame is returned
+    unhinted, so the planner (and AQE at runtime) picks a shuffle join.
+    """
+    n = known_rows if known_rows is not None else row_bound(df, max_rows)
+    return F.broadcast(df) if n <= max_rows else df
