@@ -105,27 +105,22 @@ class Parsed:
 
 
 def classify(lines: DataFrame, kind: LogKind, line_col: str = "value") -> DataFrame:
-    """One row per line with ``_alt`` (index of the winning alternative or
-    NULL) and ``_g`` (its captures). Alternatives are tried in order; each
-    later one only when all earlier ones failed and its keyword is present.
-    Each attempt is its own projection so no regex is evaluated twice."""
+    """One row per line with ``_g`` (captures of the winning alternative with
+    its index appended) and ``_alt`` (that index, NULL when nothing matched).
+
+    The alternatives form one ``coalesce``, which evaluates an alternative
+    only when all earlier ones failed (and only if its keyword is present).
+    The result passes through a one-element ``explode`` - a Generate node -
+    so later projections read the captures instead of re-running the regex
+    once per derived column."""
     line = F.col(line_col)
-    df = lines
-    names = []
+    attempts = []
     for i, alt in enumerate(kind.alternatives):
-        name = f"_m{i}"
-        none_before = F.lit(True)
-        for prev in names:
-            none_before = none_before & F.col(prev).isNull()
-        df = df.withColumn(name, F.when(none_before & line.contains(alt.guard),
-                                        regex_groups(line, alt.pattern, alt.n_groups)))
-        names.append(name)
-    alt_idx = F.lit(None).cast("int")
-    groups = F.lit(None).cast("array<string>")
-    for i in reversed(range(len(names))):
-        alt_idx = F.when(F.col(names[i]).isNotNull(), F.lit(i)).otherwise(alt_idx)
-        groups = F.when(F.col(names[i]).isNotNull(), F.col(names[i])).otherwise(groups)
-    return df.withColumn("_alt", alt_idx).withColumn("_g", groups).drop(*names)
+        groups = F.when(line.contains(alt.guard), regex_groups(line, alt.pattern, alt.n_groups))
+        attempts.append(F.concat(groups, F.array(F.lit(str(i)))))
+    first = attempts[0] if len(attempts) == 1 else F.coalesce(*attempts)
+    out = lines.select("*", F.explode(F.array(first)).alias("_g"))
+    return out.withColumn("_alt", F.element_at(F.col("_g"), -1).cast("int"))
 
 
 def _field(kind: LogKind, field: str) -> Column:

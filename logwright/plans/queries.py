@@ -154,7 +154,7 @@ def q10_access_logs_by_user_agent_version(t: Tables, version) -> DataFrame:
     """Entry + detail where the agent contains ``Mozilla/<version>``, any
     case; ``%``/``_`` inside ``version`` act as wildcards."""
     pattern = F.concat(F.lit("%Mozilla/"), F.lit(version).cast("string"), F.lit("%"))
-    return _entry_with_detail(t, None, F.col("user_agent").ilike(pattern))
+    return _entry_with_detail(t, None, F.ilike(F.col("user_agent"), pattern))
 
 
 # Q8 / Q9 ---------------------------------------------------------------------

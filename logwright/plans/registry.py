@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.timestamps import as_wall_clock
+from ..session import checkpoint_dir
 from ..operators import model as M
 from ..operators import parse as P
 from ..sources import fixture_sql as O
@@ -204,11 +205,15 @@ _parse_key("p06_replicate", "namesystem", "replicate", O.PARSED_REPLICATE, ENTRY
 
 
 def _all_typed(spark, sf_dir) -> DataFrame:
+    """All kinds parsed once; lineage cut with a reliable checkpoint written
+    to the shared ``spark.checkpoint.dir`` (survives executor loss)."""
     lines = fixture_lines(spark, sf_dir)
-    return M.union_all(
+    typed = M.union_all(
         P.parse_typed(lines.filter(F.col("kind") == k), k, line_col="line",
                       keep=["event_id", "kind"])
         for k in P.KINDS)
+    checkpoint_dir(spark)
+    return typed.checkpoint(eager=True)
 
 
 @register("p07_rejects", O.with_lines(f"""
