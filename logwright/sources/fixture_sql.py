@@ -71,7 +71,7 @@ P_REPLICATE = H + (r"dfs\.FSNamesystem:\s+BLOCK\*\s+ask\s+([0-9.]+):\d+\s+to\s+r
 
 
 def _hdfs_ts(d: str, t: str) -> str:
-    return (f"strptime(concat(CASE WHEN substr({d},1,2) >= '69' THEN '19' ELSE '20' END, {d}, {t}),"
+    return (f"try_strptime(concat(CASE WHEN substr({d},1,2) >= '69' THEN '19' ELSE '20' END, {d}, {t}),"
             " '%Y%m%d%H%M%S')")
 
 
@@ -79,9 +79,9 @@ def _x(p: str, g: int) -> str:
     return f"regexp_extract(line, '{p}', {g})"
 
 
-ACCESS_TS = ("(strptime(substr({s},1,20), '%d/%b/%Y:%H:%M:%S') - to_minutes(CAST("
+ACCESS_TS = ("(try_strptime(substr({s},1,20), '%d/%b/%Y:%H:%M:%S') - to_minutes(CAST("
              "(CASE WHEN substr({s},22,1) = '-' THEN -1 ELSE 1 END) * "
-             "(CAST(substr({s},23,2) AS INT) * 60 + CAST(substr({s},25,2) AS INT)) AS BIGINT)))")
+             "(TRY_CAST(substr({s},23,2) AS INT) * 60 + TRY_CAST(substr({s},25,2) AS INT)) AS BIGINT)))")
 
 # One SELECT per line shape; the columns are those of the Spark parse.
 PARSED_ACCESS = f"""
@@ -91,7 +91,7 @@ SELECT event_id, CAST(1 AS SMALLINT) AS log_type_id, {_x(P_ACCESS, 5)} AS action
   CAST(NULL AS BIGINT) AS block_id,
   TRY_CAST(nullif(nullif({_x(P_ACCESS, 8)}, '-'), '') AS BIGINT) AS size_bytes,
   nullif({_x(P_ACCESS, 2)}, '') AS remote_name, nullif({_x(P_ACCESS, 3)}, '') AS auth_user,
-  nullif({_x(P_ACCESS, 6)}, '') AS resource, CAST({_x(P_ACCESS, 7)} AS INT) AS http_status,
+  nullif({_x(P_ACCESS, 6)}, '') AS resource, TRY_CAST({_x(P_ACCESS, 7)} AS INT) AS http_status,
   nullif(nullif({_x(P_ACCESS, 9)}, '-'), '') AS referrer, nullif({_x(P_AGENT, 1)}, '') AS user_agent
 FROM lines WHERE kind = 'access' AND regexp_matches(line, '{P_ACCESS}')"""
 
