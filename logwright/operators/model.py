@@ -156,11 +156,11 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
-def to_wide(parsed_rows: DataFrame, id_col=None) -> DataFrame:
+def to_wide(parsed_rows: DataFrame, id_col=None, extra=()) -> DataFrame:
     """M3-M5: parsed rows -> wide rows (id, entry columns, detail columns,
     action name, log_date). Detail columns are NULL for non-ACCESS rows."""
     is_access = F.col("log_type_id") == S.ACCESS
-    return parsed_rows.select(
+    return parsed_rows.select(*extra,
         (id_col if id_col is not None else random_id()).alias("id"),
         F.col("log_type_id").cast("short").alias("log_type_id"),
         uuid5(F.col("action_name")).alias("action_type_id"),

@@ -266,3 +266,188 @@ WHERE log_timestamp BETWEEN {_ts(Q01[0])} AND {_ts(Q01[1])}
 GROUP BY action_name ORDER BY logs DESC"""))
 def e2e_q01_from_raw(spark, sf_dir):
     return Q.q01_total_logs_per_action_type(model_from_raw(spark, sf_dir), *Q01)
+
+
+# --- K1-K4 integrity checks on the projection ---------------------------------
+from ..functions.ids import uuid5  # noqa: E402
+from ..functions.timestamps import access_timestamp, hdfs_timestamp  # noqa: E402
+from ..functions.values import IPV4_PATTERN, is_ip  # noqa: E402
+from ..operators import quality as K  # noqa: E402
+from ..operators.append import append_logs  # noqa: E402
+from ..sources.fixtures import read_events  # noqa: E402
+from . import variants as X  # noqa: E402
+
+
+def _one(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias(name))
+
+
+@register("k01_dupes", O.with_model("""
+SELECT COUNT(*) AS violations FROM (SELECT id FROM log_entry GROUP BY id HAVING COUNT(*) > 1) d"""))
+def k01(spark, sf_dir):
+    return _one(K.duplicate_keys(fixture_tables(spark, sf_dir).log_entry, "id"), "violations")
+
+
+@register("k02_nulls", O.with_model("""
+SELECT COUNT(*) AS violations FROM log_entry
+WHERE id IS NULL OR log_type_id IS NULL OR log_timestamp IS NULL"""))
+def k02(spark, sf_dir):
+    t = fixture_tables(spark, sf_dir)
+    return _one(K.null_violations(t.log_entry, "id", "log_type_id", "log_timestamp"), "violations")
+
+
+@register("k03_orphans", O.with_model("""
+SELECT COUNT(*) AS violations FROM log_entry le
+WHERE le.action_type_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM action_type a WHERE a.id = le.action_type_id)"""))
+def k03(spark, sf_dir):
+    t = fixture_tables(spark, sf_dir)
+    return _one(K.orphans(t.log_entry, "action_type_id", t.action_type, "id", t.action_type_rows),
+                "violations")
+
+
+@register("k04_detail_scope", O.with_model("""
+SELECT COUNT(*) AS violations FROM log_access_detail lad
+WHERE NOT EXISTS (SELECT 1 FROM log_entry le WHERE le.id = lad.log_entry_id AND le.log_type_id = 1)"""))
+def k04(spark, sf_dir):
+    return _one(K.detail_scope_violations(fixture_tables(spark, sf_dir)), "violations")
+
+
+# --- I1 batch append: insert requests derived from events ---------------------
+
+def _requests(spark, sf_dir) -> DataFrame:
+    ev = read_events(spark, sf_dir)
+    et, eid, uid = F.col("event_type"), F.col("event_id"), F.col("user_id")
+    return ev.select(
+        eid.alias("event_id"),
+        F.when(et == "error", "SYSLOG").when(eid % 2 == 0, "ACCESS")
+         .otherwise("HDFS_DATAXCEIVER").alias("log_type_name"),
+        F.when(et == "view", "GET").when(et == "click", "POST").when(et == "purchase", "served")
+         .when(et == "signup", "PATCH").otherwise("GET").alias("action_type_name"),
+        F.col("ts").alias("log_timestamp"),
+        F.concat(F.lit("10.9.0."), (uid % 250).cast("string")).alias("source_ip"),
+        F.lit(None).cast("string").alias("dest_ip"),
+        F.when(eid % 2 == 1, uid).alias("block_id"),
+        F.floor("value").cast("bigint").alias("size_bytes"),
+        F.lit("-").alias("remote_name"),
+        F.concat(F.lit("u"), (uid % 7).cast("string")).alias("auth_user"),
+        F.concat(F.lit("/n/"), (uid % 13).cast("string")).alias("resource"),
+        F.lit(201).alias("http_status"),
+        F.lit(None).cast("string").alias("referrer"),
+        F.lit("curl/8").alias("user_agent"))
+
+
+REQ_SQL = """, req AS (SELECT event_id, ts, user_id, value,
+  CASE WHEN event_type = 'error' THEN 'SYSLOG' WHEN event_id % 2 = 0 THEN 'ACCESS' ELSE 'HDFS_DATAXCEIVER' END AS log_type_name,
+  CASE event_type WHEN 'view' THEN 'GET' WHEN 'click' THEN 'POST' WHEN 'purchase' THEN 'served' WHEN 'signup' THEN 'PATCH' ELSE 'GET' END AS action_type_name
+  FROM events)
+"""
+
+
+@register("i01_append_accept", O.with_model(REQ_SQL + """
+SELECT r.event_id, lt.id AS log_type_id, act.id AS action_type_id, r.ts AS log_timestamp,
+  concat('10.9.0.', CAST(r.user_id % 250 AS VARCHAR)) AS source_ip, CAST(NULL AS VARCHAR) AS dest_ip,
+  CASE WHEN r.event_id % 2 = 1 THEN r.user_id END AS block_id, CAST(FLOOR(r.value) AS BIGINT) AS size_bytes,
+  CASE WHEN r.log_type_name = 'ACCESS' THEN '-' END AS remote_name,
+  CASE WHEN r.log_type_name = 'ACCESS' THEN concat('u', CAST(r.user_id % 7 AS VARCHAR)) END AS auth_user,
+  CASE WHEN r.log_type_name = 'ACCESS' THEN concat('/n/', CAST(r.user_id % 13 AS VARCHAR)) END AS resource,
+  CASE WHEN r.log_type_name = 'ACCESS' THEN 201 END AS http_status, CAST(NULL AS VARCHAR) AS referrer,
+  CASE WHEN r.log_type_name = 'ACCESS' THEN 'curl/8' END AS user_agent,
+  act.name AS action_name, CAST(r.ts AS DATE) AS log_date
+FROM req r JOIN log_type lt ON lt.name = r.log_type_name JOIN action_type act ON act.name = r.action_type_name"""))
+def i01_accept(spark, sf_dir):
+    t = fixture_tables(spark, sf_dir)
+    acc = append_logs(t, _requests(spark, sf_dir), keep=["event_id"]).accepted.drop("id")
+    return acc.withColumn("log_timestamp", as_wall_clock(F.col("log_timestamp")))
+
+
+@register("i01_append_reject", O.with_model(REQ_SQL + """
+SELECT r.event_id, CASE WHEN lt.id IS NULL THEN 'Unknown log_type: ' || r.log_type_name
+  ELSE 'Unknown action_type: ' || r.action_type_name END AS reason
+FROM req r LEFT JOIN log_type lt ON lt.name = r.log_type_name
+  LEFT JOIN action_type act ON act.name = r.action_type_name
+WHERE lt.id IS NULL OR act.id IS NULL"""))
+def i01_reject(spark, sf_dir):
+    t = fixture_tables(spark, sf_dir)
+    return append_logs(t, _requests(spark, sf_dir), keep=["event_id"]).rejected
+
+
+# --- scalar functions over values derived from events -------------------------
+
+@register("f_uuid5", f"""
+SELECT name, {O.uuid5_sql('name')} AS id
+FROM (SELECT DISTINCT concat(event_type, '-', CAST(user_id % 50 AS VARCHAR)) AS name FROM events) d""")
+def f_uuid5(spark, sf_dir):
+    ev = read_events(spark, sf_dir)
+    names = ev.select(F.concat("event_type", F.lit("-"), (F.col("user_id") % 50).cast("string"))
+                      .alias("name")).distinct()
+    return names.select("name", uuid5(F.col("name")).alias("id"))
+
+
+@register("f_ip_valid", """
+SELECT event_id, cand, regexp_matches(cand, '""" + IPV4_PATTERN + """') AS valid FROM (
+  SELECT event_id, concat(CAST(user_id % 300 AS VARCHAR), '.', CAST(event_id % 260 AS VARCHAR), '.0.',
+    CAST(user_id % 7 AS VARCHAR)) AS cand FROM events) c""")
+def f_ip_valid(spark, sf_dir):
+    ev = read_events(spark, sf_dir)
+    cand = F.concat((F.col("user_id") % 300).cast("string"), F.lit("."),
+                    (F.col("event_id") % 260).cast("string"), F.lit(".0."),
+                    (F.col("user_id") % 7).cast("string"))
+    return ev.select("event_id", cand.alias("cand")).select("event_id", "cand",
+                                                            is_ip(F.col("cand")).alias("valid"))
+
+
+@register("f_timestamps", """
+SELECT event_id,
+  date_trunc('second', ts) - to_minutes(CASE event_id % 3 WHEN 0 THEN 180 WHEN 1 THEN -480 ELSE 0 END) AS access_ts,
+  date_trunc('second', ts) AS hdfs_ts FROM events""")
+def f_timestamps(spark, sf_dir):
+    ev = read_events(spark, sf_dir)
+    off = F.when(F.col("event_id") % 3 == 0, "+0300").when(F.col("event_id") % 3 == 1, "-0800") \
+           .otherwise("+0000")
+    stamp = F.concat(F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), F.lit(" "), off)
+    return ev.select(
+        "event_id",
+        as_wall_clock(access_timestamp(stamp)).alias("access_ts"),
+        as_wall_clock(hdfs_timestamp(F.date_format("ts", "yyMMdd"),
+                                     F.date_format("ts", "HHmmss"))).alias("hdfs_ts"))
+
+
+# --- archived variants -------------------------------------------------------
+
+@register("x06_offset_limit", O.with_model("""
+SELECT resource, frequency FROM (SELECT resource, COUNT(*) AS frequency FROM log_access_detail GROUP BY resource) c
+ORDER BY frequency DESC, resource ASC NULLS FIRST LIMIT 1 OFFSET 1"""))
+def x06(spark, sf_dir):
+    return X.second_resource_offset(fixture_tables(spark, sf_dir))
+
+
+@register("x09_text_key", O.with_model("""
+SELECT le.block_id FROM log_entry le
+JOIN action_type act ON le.action_type_id = act.id AND act.name IN ('replicate', 'served')
+GROUP BY le.block_id, concat(CAST(CAST(le.log_timestamp AS DATE) AS VARCHAR), CAST(EXTRACT(HOUR FROM le.log_timestamp) AS VARCHAR))
+HAVING COUNT(DISTINCT act.name) > 1 ORDER BY le.block_id DESC NULLS FIRST"""))
+def x09(spark, sf_dir):
+    return X.blocks_same_day_hour_text_key(fixture_tables(spark, sf_dir))
+
+
+# --- streaming parse of the derived text --------------------------------------
+
+_STREAM_COLS = [c for c in ALL_OUT if c != "event_id"]
+
+
+@register("st01_stream_parse", O.with_parsed(f"SELECT {', '.join(_STREAM_COLS)} FROM parsed"))
+def st01(spark, sf_dir):
+    import uuid as _u
+
+    from ..session import scratch_path
+    from ..streaming.ingest import run_to_memory
+    folder = scratch_path(spark, "stream-src")
+    lines = fixture_lines(spark, sf_dir)
+    out = []
+    for kind in P.KINDS:
+        lines.filter(F.col("kind") == kind).select("line").write.text(f"{folder}/{kind}")
+        name = f"st01_{kind}_{_u.uuid4().hex[:8]}"
+        out.append(run_to_memory(spark, kind, f"{folder}/{kind}", name))
+    rows = M.union_all(out)
+    return rows.withColumn("log_timestamp", as_wall_clock(F.col("log_timestamp"))) \
+               .select(*_STREAM_COLS)

@@ -64,20 +64,17 @@ def ingest(spark: SparkSession, inputs: dict, root: str, mode: str = "overwrite"
     dimension from the dictionary-encoded ``action_name`` column.
     """
     typed = _typed_all(spark, inputs, validate_ips)
+    # One projection, routed by ``status``: each line is read and parsed once;
+    # accepted rows keep no line text, rejects keep the line and reason.
+    w = M.to_wide(typed, extra=["_line", "reject_reason", "kind"])
     ok = F.col("reject_reason").isNull()
-    wide = M.to_wide(typed.filter(ok).select(*S.PARSED_FIELDS))
-    # One frame, routed by ``status``: accepted rows keep no line text,
-    # rejects keep the line and reason.
-    acc = wide.select(*[c for c in wide.columns], F.lit(None).cast("string").alias("_line"),
-                      F.lit(None).cast("string").alias("reject_reason"),
-                      F.lit(None).cast("string").alias("kind"), F.lit("ok").alias("status"))
-    rej = typed.filter(~ok).select(
-        F.lit(None).cast("string").alias("id"), "log_type_id",
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in WIDE_SCHEMA.fields
-          if f.name in ("action_type_id", "log_timestamp", "source_ip", "dest_ip", "block_id",
-                        "size_bytes", *S.DETAIL_VALUE_FIELDS, "action_name", "log_date")],
-        "_line", "reject_reason", "kind", F.lit("rejected").alias("status"))
-    both = acc.unionByName(rej)
+    both = w.select(
+        F.when(ok, F.col("id")).alias("id"),
+        *[c for c in w.columns if c not in ("id", "_line", "kind")],
+        F.when(~ok, F.col("_line")).alias("_line_out"),
+        F.when(~ok, F.col("kind")).alias("kind_out"),
+        F.when(ok, F.lit("ok")).otherwise(F.lit("rejected")).alias("status"),
+    ).withColumnRenamed("_line_out", "_line").withColumnRenamed("kind_out", "kind")
     # Rebalance on the partition columns: AQE splits a hot day/type into
     # several tasks and merges small ones, so one busy day cannot make one
     # task write a third of the data.
