@@ -133,7 +133,7 @@ SELECT event_id, CAST(3 AS SMALLINT) AS log_type_id, 'update' AS action_name,
   TRY_CAST(nullif({_x(P_UPDATE, 5)}, '') AS BIGINT) AS size_bytes, {_HDFS_TAIL}
 FROM lines WHERE kind = 'namesystem' AND regexp_matches(line, '{P_UPDATE}')"""
 
-PARSED_REPLICATE = f"""
+PARSED_REPLICATE = rf"""
 SELECT event_id, CAST(3 AS SMALLINT) AS log_type_id, 'replicate' AS action_name, log_timestamp,
   source_ip, split_part(tok, ':', 1) AS dest_ip, block_id, CAST(NULL AS BIGINT) AS size_bytes, {_HDFS_TAIL}
 FROM (SELECT event_id, {_hdfs_ts(_x(P_REPLICATE, 1), _x(P_REPLICATE, 2))} AS log_timestamp,
