@@ -50,14 +50,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder under the system temp directory is created and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc_dir = spark.sparkContext.getCheckpointDir()
+    if d and not sc_dir:
+        # Named in the conf but not yet applied to the context: apply it, so
+        # reliable DataFrame.checkpoint() writes to that shared folder.
+        spark.sparkContext.setCheckpointDir(d)
+        return d
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        d = sc_dir
     if not d:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="logwright-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - a core conf may be read-only at runtime
+            pass
         spark.sparkContext.setCheckpointDir(d)
     return d
 

@@ -97,14 +97,23 @@ def ingest(spark: SparkSession, inputs: dict, root: str, mode: str = "overwrite"
 
 
 def read_wide(spark: SparkSession, root: str) -> DataFrame:
-    df = spark.read.schema(WIDE_SCHEMA).option("basePath", f"{root}/parsed") \
-        .parquet(f"{root}/parsed/status=ok")
+    df = _read_status(spark, root, "ok")
     return df.select(*S.ENTRY_FIELDS, *S.DETAIL_VALUE_FIELDS, "action_name", "log_date")
 
 
+def _read_status(spark: SparkSession, root: str, status: str) -> DataFrame:
+    """Rows of one ``status`` partition; empty (same schema) if none exist."""
+    reader = spark.read.schema(WIDE_SCHEMA).option("basePath", f"{root}/parsed")
+    try:
+        return reader.parquet(f"{root}/parsed/status={status}")
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], WIDE_SCHEMA)
+
+
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
-    df = spark.read.schema(WIDE_SCHEMA).option("basePath", f"{root}/parsed") \
-        .parquet(f"{root}/parsed/status=rejected")
+    df = _read_status(spark, root, "rejected")
     return df.select("kind", "log_type_id", F.col("_line").alias("line"),
                      F.col("reject_reason").alias("reason"))
 

@@ -43,19 +43,35 @@ def run_to_memory(spark: SparkSession, kind: str, folder: str, table: str,
     return spark.table(table)
 
 
-def run_to_store(spark: SparkSession, inputs: dict, root: str, checkpoint: str | None = None):
-    """Start one ``foreachBatch`` stream per kind that appends to the store."""
+def run_to_store(spark: SparkSession, inputs: dict, root: str, checkpoint: str | None = None,
+                 available_now: bool = False):
+    """One stream over the folders of all kinds, appending to the store.
+
+    The kinds are unioned into a single streaming query so there is exactly
+    one writer per store (concurrent appends to one path would collide in
+    the committer's staging folder). Each micro-batch goes through the batch
+    ``ingest`` (one parse, one write). The sink is at-least-once: a batch
+    re-run after a failure appends again. With ``available_now`` the stream
+    processes the files present now and stops."""
     from ..sources.store import ingest
 
-    queries = []
-    for kind, folder in inputs.items():
-        lines = spark.readStream.format("text").load(folder)
+    streams = [spark.readStream.format("text").load(folder).withColumn("kind", F.lit(kind))
+               for kind, folder in inputs.items()]
+    lines = streams[0]
+    for st in streams[1:]:
+        lines = lines.unionByName(st)
+    kinds = list(inputs)
 
-        def sink(batch: DataFrame, epoch: int, kind=kind) -> None:
-            ingest(spark, {kind: batch}, root, mode="append")
+    def sink(batch: DataFrame, epoch: int) -> None:
+        batch.persist()
+        try:
+            ingest(spark, {k: batch.filter(F.col("kind") == k).select("value") for k in kinds},
+                   root, mode="append")
+        finally:
+            batch.unpersist()
 
-        queries.append(lines.writeStream.foreachBatch(sink)
-                       .option("checkpointLocation",
-                               (checkpoint or scratch_path(spark, "stream")) + f"/{kind}")
-                       .start())
-    return queries
+    w = (lines.writeStream.foreachBatch(sink)
+         .option("checkpointLocation", checkpoint or scratch_path(spark, "stream")))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()

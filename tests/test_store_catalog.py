@@ -83,3 +83,14 @@ def test_catalog_validation_and_audit(spark, store):
     listing = audit.listing().collect()
     assert [r["query_text"] for r in listing][:2] == ["q05_referrers_multiple_resources",
                                                      "q02_logs_per_day_for_action"]
+
+
+def test_stream_to_store(spark, store):
+    from logwright.streaming.ingest import run_to_store
+    work, res = store
+    q = run_to_store(spark, {k: f"{work}/raw/{k}" for k in ("access", "dataxceiver", "namesystem")},
+                     f"{work}/streamed", available_now=True)
+    q.awaitTermination()
+    t = read_store(spark, f"{work}/streamed")
+    assert t.log_entry.count() == res.tables.log_entry.count()
+    assert t.log_access_detail.count() == res.tables.log_access_detail.count()
