@@ -26,6 +26,7 @@ from .. import schema as S
 from ..operators import model as M
 from ..operators import parse as P
 from .logs import read_log
+from ..functions.ids import random_id
 
 WIDE_SCHEMA = T.StructType(
     [f for f in S.LOG_ENTRY.fields if f.name != "log_type_id"]
@@ -66,10 +67,10 @@ def ingest(spark: SparkSession, inputs: dict, root: str, mode: str = "overwrite"
     typed = _typed_all(spark, inputs, validate_ips)
     # One projection, routed by ``status``: each line is read and parsed once;
     # accepted rows keep no line text, rejects keep the line and reason.
-    w = M.to_wide(typed, extra=["_line", "reject_reason", "kind"])
+    w = M.to_wide(typed, id_col=F.lit(None).cast("string"),
+                  extra=["_line", "reject_reason", "kind"])
     ok = F.col("reject_reason").isNull()
-    both = w.select(
-        F.when(ok, F.col("id")).alias("id"),
+    routed = w.select(
         *[c for c in w.columns if c not in ("id", "_line", "kind")],
         F.when(~ok, F.col("_line")).alias("_line_out"),
         F.when(~ok, F.col("kind")).alias("kind_out"),
@@ -77,18 +78,26 @@ def ingest(spark: SparkSession, inputs: dict, root: str, mode: str = "overwrite"
     ).withColumnRenamed("_line_out", "_line").withColumnRenamed("kind_out", "kind")
     # Rebalance on the partition columns: AQE splits a hot day/type into
     # several tasks and merges small ones, so one busy day cannot make one
-    # task write a third of the data.
-    (both.hint("rebalance", "status", "log_type_id", "log_date")
-         .write.mode(mode).partitionBy("status", "log_type_id", "log_date")
+    # task write a third of the data. The random id is drawn after this
+    # shuffle, inside the write task: the shuffle's map stage stays
+    # deterministic, and a retried write task simply draws new ids for rows
+    # whose earlier attempt was never committed.
+    both = (routed.hint("rebalance", "status", "log_type_id", "log_date")
+                  .withColumn("id", F.when(F.col("status") == "ok", random_id())))
+    (both.write.mode(mode).partitionBy("status", "log_type_id", "log_date")
          .parquet(f"{root}/parsed"))
     M.log_type_table(spark).write.mode("overwrite").parquet(f"{root}/log_type")
-    ok_rows = read_wide(spark, root)
+    # Overwrite: names from the store just written (one dictionary-encoded
+    # column). Append: names of the new rows only, so a micro-batch costs
+    # O(batch), not O(store).
+    ok_rows = (read_wide(spark, root) if mode != "append"
+               else typed.filter(F.col("reject_reason").isNull()))
     new_dim = M.action_type_table(M.action_names(ok_rows))
     if mode == "append":
         try:
             old = spark.read.parquet(f"{root}/action_type")
+            M.check_action_ids(old, new_dim)
             new_dim = new_dim.join(old.select("name"), "name", "left_anti").select("id", "name")
-            M.check_action_ids(old, M.action_type_table(M.action_names(ok_rows)))
         except Exception as e:  # noqa: BLE001 - no dimension yet
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
