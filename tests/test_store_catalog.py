@@ -94,3 +94,31 @@ def test_stream_to_store(spark, store):
     t = read_store(spark, f"{work}/streamed")
     assert t.log_entry.count() == res.tables.log_entry.count()
     assert t.log_access_detail.count() == res.tables.log_access_detail.count()
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans_prune_and_avoid_shuffles(spark, store):
+    from logwright.plans import queries as Q
+    _, res = store
+    t = res.tables
+    p7 = _plan(Q.q07_access_logs_below_size(t, 1000))
+    assert "Exchange" not in p7 and "Join" not in p7          # 1:1 join is a filter
+    assert "PartitionFilters: [isnotnull(log_type_id" in p7
+    p1 = _plan(Q.q01_total_logs_per_action_type(t, "2024-01-05 00:00:00", "2024-01-10 00:00:00"))
+    assert "log_date" in p1.split("PartitionFilters:")[1].split("]")[0]
+    assert "ReadSchema: struct<action_type_id:string,log_timestamp:timestamp>" in p1
+    assert "BroadcastHashJoin" in p1
+    p11 = _plan(Q.q11_ips_with_method_in_range(t, "ACCESS", "GET", "2024-01-02 00:00:00",
+                                              "2024-01-03 00:00:00"))
+    assert "dynamicpruning" in p11
+
+
+def test_archived_access_format(spark):
+    from logwright.operators import parse as P
+    line = '1.2.3.4 - - [07/Mar/2004:16:05:49 -0800] "PROPFIND /a HTTP/1.1" 207 - "-" "ua"'
+    df = spark.createDataFrame([(line,)], "value string")
+    r = P.parse_lines(df, P.ARCHIVED_ACCESS).rows.collect()[0]
+    assert (r["action_name"], r["resource"], r["http_status"], r["size_bytes"]) == ("PROPFIND", "/a", 207, None)
