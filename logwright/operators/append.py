@@ -31,9 +31,11 @@ class AppendResult:
     rejected: DataFrame   # request passthrough columns + reason
 
 
-def append_logs(t: Tables, requests: DataFrame, keep=(), validate_ips: bool = False) -> AppendResult:
+def append_logs(t: Tables, requests: DataFrame, keep=(), validate_ips: bool = False,
+                ignore_case: bool = False) -> AppendResult:
     """Resolve, validate and shape new rows. Optional detail columns may
-    be missing from ``requests`` (they default to NULL)."""
+    be missing from ``requests`` (they default to NULL). ``ignore_case``
+    matches names upper-cased on both sides (F15, the older loader's rule)."""
     req = requests
     for c in REQUEST_FIELDS:
         if c not in req.columns:
@@ -47,8 +49,9 @@ def append_logs(t: Tables, requests: DataFrame, keep=(), validate_ips: bool = Fa
     at = bounded_broadcast(t.action_type.select(F.col("id").alias("_at_id"),
                                                 F.col("name").alias("_at_name")),
                            known_rows=t.action_type_rows)
-    j = (req.join(lt, F.col("log_type_name") == F.col("_lt_name"), "left")
-            .join(at, F.col("action_type_name") == F.col("_at_name"), "left"))
+    norm = (lambda c: F.upper(F.col(c))) if ignore_case else F.col
+    j = (req.join(lt, norm("log_type_name") == norm("_lt_name"), "left")
+            .join(at, norm("action_type_name") == norm("_at_name"), "left"))
     reason = (F.when(F.col("_lt_id").isNull(),
                      F.concat(F.lit("Unknown log_type: "), F.coalesce("log_type_name", F.lit(""))))
                .when(F.col("_at_id").isNull(),
@@ -61,7 +64,7 @@ def append_logs(t: Tables, requests: DataFrame, keep=(), validate_ips: bool = Fa
                         .when(F.col("dest_ip").isNotNull() & ~is_ip(F.col("dest_ip")),
                               F.lit("invalid dest_ip")))
     j = j.withColumn("_reason", reason)
-    is_access = F.col("log_type_name") == F.lit("ACCESS")
+    is_access = F.col("_lt_name") == F.lit("ACCESS")
     accepted = j.filter(F.col("_reason").isNull()).select(
         *keep,
         random_id().alias("id"),

@@ -76,3 +76,15 @@ def test_q13_exactly_n(spark):
     t = _tables(spark, ents)
     rows = Q.q13_ips_with_n_methods_in_range(t, "ACCESS", 2, "2024-01-01", "2024-01-04").collect()
     assert [(r["source_ip"], r["cnt"], r["methods"]) for r in rows] == [("1.1.1.1", 2, "GET|POST")]
+
+
+def test_append_ignore_case(spark):
+    from logwright.operators.append import append_logs
+    t = _tables(spark, [(1, "GET", datetime(2024, 1, 1), "1.1.1.1", None, 1)])
+    req = spark.createDataFrame(
+        [("access", "get", "2024-01-01 00:00:00", "1.1.1.1", None, None, None)],
+        "log_type_name string, action_type_name string, log_timestamp string, source_ip string, "
+        "dest_ip string, block_id bigint, size_bytes bigint")
+    assert append_logs(t, req).accepted.count() == 0
+    acc = append_logs(t, req, ignore_case=True).accepted.collect()
+    assert len(acc) == 1 and acc[0]["action_name"] == "GET" and acc[0]["log_type_id"] == 1
