@@ -81,7 +81,9 @@ def q03_most_common_action_per_source_ip(t: Tables, day) -> DataFrame:
     return (per_name.withColumn("rnk", F.rank().over(w))
                     .filter(F.col("rnk") == 1)
                     .select("source_ip", "action_type_name", "frequency")
-                    .orderBy(F.desc("frequency")))
+                    # Secondary keys keep ORDER BY frequency DESC but let the
+                    # range partitioner split a run of equal counts.
+                    .orderBy(F.desc("frequency"), "source_ip", "action_type_name"))
 
 
 # Q4 -------------------------------------------------------------------------
@@ -225,4 +227,6 @@ def q13_ips_with_n_methods_in_range(t: Tables, log_type_name, required_methods,
              .agg(F.size(names).cast("int").alias("cnt"),
                   F.array_join(F.array_sort(names), "|").alias("methods"))
              .filter(F.col("cnt") == F.lit(required_methods).cast("int"))
-             .orderBy(F.desc("cnt")))
+             # Every row has cnt = n: sorting on cnt alone would range-partition
+             # all rows into one task; the address spreads them.
+             .orderBy(F.desc("cnt"), "source_ip"))
