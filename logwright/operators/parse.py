@@ -194,7 +194,10 @@ def _typed(classified: DataFrame, kind: LogKind, keep: Sequence[str], line_col:
                               "bad source ip")
                         .when(F.col("dest_ip").isNotNull() & ~is_ip(F.col("dest_ip")),
                               "bad dest ip"))
-    return df.withColumn("reject_reason", reason).drop("_size_raw", "_block_raw", "_alt")
+    # The raw text is kept only where it is needed: on rejected rows.
+    return (df.withColumn("reject_reason", reason)
+              .withColumn("_line", F.when(F.col("reject_reason").isNotNull(), F.col("_line")))
+              .drop("_size_raw", "_block_raw", "_alt"))
 
 
 def parse_typed(lines: DataFrame, kind: str | LogKind, line_col: str = "value",
