@@ -88,3 +88,31 @@ def test_append_ignore_case(spark):
     assert append_logs(t, req).accepted.count() == 0
     acc = append_logs(t, req, ignore_case=True).accepted.collect()
     assert len(acc) == 1 and acc[0]["action_name"] == "GET" and acc[0]["log_type_id"] == 1
+
+
+def test_integrity_checks_find_violations(spark):
+    from logwright.operators import quality as K
+    d = datetime(2024, 1, 1)
+    t = _tables(spark, [(1, "GET", d, "1.1.1.1", None, 1), (2, "served", d, None, 5, None)],
+                [("e1", "-", "-", "/a", 200, None, "x"),       # detail on an HDFS entry
+                 ("e9", "-", "-", "/b", 200, None, "x")])      # detail without entry
+    le = t.log_entry.unionByName(t.log_entry.limit(1))         # duplicate id e0
+    bad_fk = spark.createDataFrame([("e7", 1, "no-such-id", d, None, None, None, None)], S.LOG_ENTRY)
+    assert K.duplicate_keys(le, "id").collect()[0]["id"] == "e0"
+    assert K.orphans(t.log_entry.unionByName(bad_fk), "action_type_id", t.action_type, "id",
+                     t.action_type_rows).collect()[0]["id"] == "e7"
+    assert sorted(r["log_entry_id"] for r in K.detail_scope_violations(t).collect()) == ["e1", "e9"]
+    nulls = spark.createDataFrame([("e8", 1, None, None, None, None, None, None)],
+                                  "id string, log_type_id short, action_type_id string, "
+                                  "log_timestamp timestamp, source_ip string, dest_ip string, "
+                                  "block_id long, size_bytes long")
+    assert K.null_violations(nulls, "id", "log_type_id", "log_timestamp").count() == 1
+
+
+def test_bounded_broadcast_falls_back(spark):
+    from logwright.operators.joins import bounded_broadcast
+    df = spark.range(50)
+    hinted = bounded_broadcast(df, max_rows=100)
+    plain = bounded_broadcast(df, max_rows=10)
+    assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in plain._jdf.queryExecution().logical().toString().lower()
