@@ -35,6 +35,12 @@ def _actions(t: Tables, names=None) -> DataFrame:
     return bounded_broadcast(a, known_rows=bound)
 
 
+def _names_unique(t: Tables) -> bool:
+    """True for action dimensions this library built (one id per name, so a
+    re-aggregation by name after the id join would change nothing)."""
+    return t.action_type_rows is not None
+
+
 def _log_types(t: Tables, name) -> DataFrame:
     lt = t.log_type.filter(F.col("name") == F.lit(name))
     return bounded_broadcast(lt, known_rows=t.log_type_rows)
@@ -50,9 +56,13 @@ def q01_total_logs_per_action_type(t: Tables, start, end) -> DataFrame:
     per_id = (t.entries_in(start, end, closed=True)
                .groupBy("action_type_id").agg(F.count(F.lit(1)).alias("n")))
     act = _actions(t)
-    return (per_id.join(act, per_id["action_type_id"] == act["id"], "inner")
-                  .groupBy(act["name"].alias("action_type_name"))
-                  .agg(F.sum("n").cast("bigint").alias("logs"))
+    j = per_id.join(act, per_id["action_type_id"] == act["id"], "inner")
+    if _names_unique(t):
+        named = j.select(act["name"].alias("action_type_name"), F.col("n").cast("bigint").alias("logs"))
+    else:
+        named = (j.groupBy(act["name"].alias("action_type_name"))
+                  .agg(F.sum("n").cast("bigint").alias("logs")))
+    return (named
                   # One row per action name (bounded by the dimension): a
                   # single-partition sort, no range-sampling job.
                   .repartition(1).sortWithinPartitions(F.desc("logs")))
@@ -77,9 +87,13 @@ def q03_most_common_action_per_source_ip(t: Tables, day) -> DataFrame:
     le = t.entries_on_days(day, day, hi_inclusive=True)
     per_id = le.groupBy("source_ip", "action_type_id").agg(F.count(F.lit(1)).alias("n"))
     act = _actions(t)
-    per_name = (per_id.join(act, per_id["action_type_id"] == act["id"], "inner")
-                      .groupBy("source_ip", act["name"].alias("action_type_name"))
-                      .agg(F.sum("n").cast("bigint").alias("frequency")))
+    j = per_id.join(act, per_id["action_type_id"] == act["id"], "inner")
+    if _names_unique(t):
+        per_name = j.select("source_ip", act["name"].alias("action_type_name"),
+                            F.col("n").cast("bigint").alias("frequency"))
+    else:
+        per_name = (j.groupBy("source_ip", act["name"].alias("action_type_name"))
+                     .agg(F.sum("n").cast("bigint").alias("frequency")))
     w = Window.partitionBy("source_ip").orderBy(F.desc("frequency"))
     return (per_name.withColumn("rnk", F.rank().over(w))
                     .filter(F.col("rnk") == 1)
