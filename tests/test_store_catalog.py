@@ -122,3 +122,17 @@ def test_archived_access_format(spark):
     df = spark.createDataFrame([(line,)], "value string")
     r = P.parse_lines(df, P.ARCHIVED_ACCESS).rows.collect()[0]
     assert (r["action_name"], r["resource"], r["http_status"], r["size_bytes"]) == ("PROPFIND", "/a", 207, None)
+
+
+def test_match_stats_per_file(spark, store):
+    from logwright.operators import parse as P
+    from logwright.sources.logs import read_log
+    work, _ = store
+    stats = P.match_stats(read_log(spark, f"{work}/raw/dataxceiver"), "dataxceiver").collect()
+    assert stats and all(r["file"].startswith("file:") for r in stats)
+    total = sum(r["total_lines"] for r in stats)
+    matched = sum(r["matched_lines"] for r in stats)
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    shapes = events.select((F.col("event_id") % 7).alias("s"))
+    assert total == shapes.filter("s IN (1, 2, 3, 6)").count()
+    assert matched == shapes.filter("s IN (1, 2, 3)").count()     # shape 6 is the WARN reject
