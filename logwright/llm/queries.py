@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import piece_bpe
+from . import packing, piece_bpe
 from .runtime import prepare, table
 
 QUERIES: dict = {}
@@ -34,3 +34,9 @@ def _tokenizer(name: str) -> str:
 def op7(spark, sf_dir):
     return piece_bpe.encode_digests(table(spark, sf_dir, "documents"),
                                     _tokenizer("piece_bpe_32k.model"))
+
+
+@_query("op6_best_fit_packing")
+def op6(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"),
+                                  _tokenizer("byte_bpe_50k.json"))
