@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, piece_bpe
+from . import packing, piece_bpe, quality_model, toxicity
 from .runtime import prepare, table
 
 QUERIES: dict = {}
@@ -40,3 +40,13 @@ def op7(spark, sf_dir):
 def op6(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"),
                                   _tokenizer("byte_bpe_50k.json"))
+
+
+@_query("op3_toxicity")
+def op3(spark, sf_dir):
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query("op9_quality_classifier")
+def op9(spark, sf_dir):
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

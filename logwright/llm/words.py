@@ -91,12 +91,15 @@ class Slice:
 
     def hashes(self) -> np.ndarray:
         """64-bit hash of each word."""
-        s, e = self.starts, self.ends
+        return self.span_hashes(self.starts, self.ends)
+
+    def span_hashes(self, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+        """64-bit hashes of byte spans that follow each other (words, lines)."""
         out = np.empty(len(s), U)
         long = np.flatnonzero(e - s > LONG_WORD)
         i = 0
         for stop in [*long.tolist(), len(s)]:
-            while i < stop:  # words i..j lie within SLICE + LONG_WORD bytes
+            while i < stop:  # spans i..j lie within SLICE + LONG_WORD bytes
                 j = max(i + 1, int(np.searchsorted(s[i:stop], s[i] + SLICE)) + i)
                 out[i:j] = self._short(s[i:j], e[i:j])
                 i = j
@@ -106,6 +109,18 @@ class Slice:
                 i = stop + 1
         return out
 
+    def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and ends of the newline-separated lines, and the line borders of each text.
+
+        Every text has at least one line, so n newlines make n + 1 lines.
+        """
+        newline = np.flatnonzero(self.data == 10)
+        before = np.searchsorted(newline, self.offsets)
+        # each text: its start, then one after each newline
+        starts = np.sort(np.concatenate([self.offsets[:-1], newline + 1]), kind="stable")
+        ends = np.sort(np.concatenate([self.offsets[1:], newline]), kind="stable")
+        return starts, ends, before + np.arange(len(self.offsets))
+
     def _short(self, s: np.ndarray, e: np.ndarray) -> np.ndarray:
         lo, hi = int(s[0]), int(e[-1])
         power, inverse = _powers(hi - lo + 1)
