@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, piece_bpe, quality_model, toxicity
+from . import line_rules, packing, piece_bpe, quality_model, toxicity
 from .runtime import prepare, table
 
 QUERIES: dict = {}
@@ -50,3 +50,53 @@ def op3(spark, sf_dir):
 @_query("op9_quality_classifier")
 def op9(spark, sf_dir):
     return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_RULES = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce(source, '') AS host, text,
+    coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+raw_lines AS (
+  SELECT row_id, host, t, unnest(string_split(t, chr(10))) AS line FROM d),
+lines AS (
+  SELECT *, translate(array_to_string(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), ' '),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm,
+    len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+  FROM raw_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup AS (SELECT row_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY row_id),
+hosts AS (SELECT host, count(DISTINCT text) + max(CASE WHEN text IS NULL THEN 1 ELSE 0 END) AS documents
+  FROM d GROUP BY host),
+flagged AS (
+  SELECT host, norm FROM (SELECT host, norm, count(DISTINCT t) AS n FROM lines GROUP BY host, norm) x
+  JOIN hosts USING (host) WHERE n * 100 > greatest(__FLOOR__ * 100, documents * __SHARE__)),
+removed AS (
+  SELECT row_id, sum(n) AS gone FROM lines JOIN flagged USING (host, norm) GROUP BY row_id),
+pos AS (SELECT row_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+win AS (
+  SELECT row_id, i, count(*) OVER (PARTITION BY row_id, array_to_string(w[i:i + 4], ' ')) AS c
+  FROM pos WHERE i + 4 <= len(w)),
+covered AS (
+  SELECT row_id, count(DISTINCT i + k) AS n_repeat_words
+  FROM win, range(0, 5) AS r(k) WHERE c > 1 GROUP BY row_id),
+counts AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+    CAST(len(w) - coalesce(gone, 0) AS BIGINT) AS left_words
+  FROM d LEFT JOIN dup USING (row_id) LEFT JOIN covered USING (row_id) LEFT JOIN removed USING (row_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, left_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+    AND left_words >= __WORDS__ AND 100 * left_words >= __KEEP__ * n_words AS kept
+FROM counts""".replace("__FLOOR__", str(line_rules.LINE_FLOOR)).replace(
+    "__SHARE__", str(line_rules.LINE_SHARE)).replace(
+    "__WORDS__", str(line_rules.MIN_WORDS)).replace("__KEEP__", str(line_rules.KEEP_SHARE))
+
+
+@_query("op10_quality_rules", _RULES)
+def op10(spark, sf_dir):
+    return line_rules.rules(table(spark, sf_dir, "documents"))
