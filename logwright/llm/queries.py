@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_rules, packing, piece_bpe, quality_model, toxicity
+from . import line_rules, neighbours, packing, piece_bpe, quality_model, toxicity, url_rules
 from .runtime import prepare, table
 
 QUERIES: dict = {}
@@ -100,3 +100,31 @@ FROM counts""".replace("__FLOOR__", str(line_rules.LINE_FLOOR)).replace(
 @_query("op10_quality_rules", _RULES)
 def op10(spark, sf_dir):
     return line_rules.rules(table(spark, sf_dir, "documents"))
+
+
+def _url_sql() -> str:
+    q = lambda t: "'" + t.replace("'", "''") + "'"
+    fits = [(h + p, v, f"(host = {q(h)} OR ends_with(host, {q('.' + h)})) AND starts_with(path, {q(p)})")
+            for h, p, v in sorted(url_rules.HOST_RULES, key=lambda r: -len(r[0] + r[1]))]
+    case = lambda k: "CASE " + " ".join(f"WHEN {f[2]} THEN {q(f[k])}" for f in fits) + " END"
+    hit = " OR ".join(f"regexp_matches(lower(url), {q(url_rules.regex_of(p))})" for p in url_rules.PATTERNS)
+    split = "(?s)^.*?://([^/?#]*)([^?#]*)"
+    return f"""
+WITH p AS (
+  SELECT page_id, url, translate(regexp_extract(coalesce(url, ''), '{split}', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '{split}', 2) AS path
+  FROM pages)
+SELECT page_id, host, path, {case(0)} AS rule,
+  coalesce({case(1)}, CASE WHEN {hit} THEN 'block' ELSE 'allow' END) AS verdict
+FROM p"""
+
+
+@_query("op8_url_filters", _url_sql())
+def op8(spark, sf_dir):
+    return url_rules.judge_pages(table(spark, sf_dir, "pages"))
+
+
+@_query("op4_nearest_neighbours")
+def op4(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
