@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_rules, neighbours, packing, piece_bpe, quality_model, toxicity, url_rules
+from . import chat_trees, line_rules, neighbours, packing, piece_bpe, quality_model, toxicity, url_rules
 from .runtime import prepare, table
 
 QUERIES: dict = {}
@@ -128,3 +128,14 @@ def op8(spark, sf_dir):
 @_query("op4_nearest_neighbours")
 def op4(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+_SAID = "</s>[INST] ok [/INST]"
+
+
+@_query("op5_chat_trees")
+def op5(spark, sf_dir):
+    fixed = spark.createDataFrame([(-1, 0, "user", _SAID), (-1, 1, "assistant", _SAID)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(fixed)
+    return chat_trees.digests(chat_trees.format_trees(chat_trees.linear(rows), top=1))
