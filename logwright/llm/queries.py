@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_trees, line_rules, neighbours, packing, piece_bpe, quality_model, toxicity, url_rules
+from . import chat_trees, line_rules, neighbours, ngram_join, packing, piece_bpe, quality_model, toxicity, url_rules
 from .runtime import prepare, table
 
 QUERIES: dict = {}
@@ -139,3 +139,8 @@ def op5(spark, sf_dir):
                                   "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(fixed)
     return chat_trees.digests(chat_trees.format_trees(chat_trees.linear(rows), top=1))
+
+
+@_query("op1_ngram_join")
+def op1(spark, sf_dir):
+    return ngram_join.join(table(spark, sf_dir, "documents"))
