@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_trees, line_rules, neighbours, ngram_join, packing, piece_bpe, quality_model, toxicity, url_rules
+from . import (chat_trees, line_rules, neighbours, ngram_join, packing, piece_bpe, quality_model,
+               substring_dedup, toxicity, url_rules)
 from .runtime import prepare, table
 
 QUERIES: dict = {}
@@ -144,3 +145,8 @@ def op5(spark, sf_dir):
 @_query("op1_ngram_join")
 def op1(spark, sf_dir):
     return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+@_query("op2_substring_dedup")
+def op2(spark, sf_dir):
+    return substring_dedup.dedup_digests(table(spark, sf_dir, "documents"))
