@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from . import (chat_trees, line_rules, neighbours, ngram_join, packing, piece_bpe, quality_model,
                substring_dedup, toxicity, url_rules)
 from .runtime import prepare, table
@@ -150,3 +152,8 @@ def op1(spark, sf_dir):
 @_query("op2_substring_dedup")
 def op2(spark, sf_dir):
     return substring_dedup.dedup_digests(table(spark, sf_dir, "documents"))
+
+
+@_query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
