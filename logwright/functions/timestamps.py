@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # --- fixed values -----------------------------------------------------------
 # Access-log stamp: day (1-2 digits) / English month abbreviation / year :
 # time, then a UTC offset written as -0800, +03:00 or Z.
-ACCESS_TS_FORMAT = "d/MMM/yyyy:HH:mm:ss [XXX][XX]"
+ACCESS_TS_FORMATS = ("d/MMM/yyyy:HH:mm:ss XX", "d/MMM/yyyy:HH:mm:ss XXX")
 # HDFS stamp after the century is put in front: yyyy MM dd HH mm ss.
 HDFS_TS_FORMAT = "yyyyMMddHHmmss"
 # Two-digit years from 69 on belong to the 1900s, the rest to the 2000s.
@@ -17,8 +17,8 @@ CENTURY_PIVOT = "69"
 
 
 def access_timestamp(stamp: Column) -> Column:
-    """``07/Mar/2004:16:05:49 -0800`` -> instant; NULL when not a valid stamp."""
-    return F.try_to_timestamp(stamp, F.lit(ACCESS_TS_FORMAT))
+    """``07/Mar/2004:16:05:49 -0800`` -> instant; NULL when not a valid stamp with an offset."""
+    return F.coalesce(*[F.try_to_timestamp(stamp, F.lit(f)) for f in ACCESS_TS_FORMATS])
 
 
 def hdfs_timestamp(yymmdd: Column, hhmmss: Column) -> Column:
@@ -37,11 +37,13 @@ def day_of(ts: Column) -> Column:
     return F.to_date(ts)
 
 
-def hour_of(ts: Column) -> Column:
-    """``EXTRACT(HOUR FROM ts)`` in the session zone."""
-    return F.hour(ts)
-
-
 def as_wall_clock(ts: Column) -> Column:
     """Instant -> wall-clock timestamp (NTZ) in the session zone."""
     return ts.cast("timestamp_ntz")
+
+
+def iso_timestamp(text: Column) -> Column:
+    """ISO-8601 text with or without fraction and offset; NULL when not a timestamp.
+
+    Without an offset it is wall-clock time of the session zone."""
+    return text.try_cast("timestamp")

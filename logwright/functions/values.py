@@ -12,14 +12,10 @@ from pyspark.sql import functions as F
 # --- fixed values -----------------------------------------------------------
 BLOCK_PREFIX = "blk_"
 DASH = "-"
-_OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-IPV4_PATTERN = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
-# Hex groups with at most one '::' run, or an embedded dotted quad at the end.
-IPV6_PATTERN = (r"^(([0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
-                r"|(([0-9A-Fa-f]{1,4}:){0,6}[0-9A-Fa-f]{1,4})?::(([0-9A-Fa-f]{1,4}:){0,6}[0-9A-Fa-f]{1,4})?"
-                r"|([0-9A-Fa-f]{1,4}:){6}" + _OCTET + r"(\." + _OCTET + r"){3}"
-                r"|(([0-9A-Fa-f]{1,4}:){0,4}[0-9A-Fa-f]{1,4})?::([0-9A-Fa-f]{1,4}:){0,4}"
-                + _OCTET + r"(\." + _OCTET + r"){3})$")
+_OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_V4 = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
+# An INET value may carry a mask length.
+IPV4_PATTERN = rf"^{_V4}(?:/(?:3[0-2]|[12]?[0-9]))?\z"
 # ---------------------------------------------------------------------------
 
 
@@ -52,10 +48,19 @@ def host_part(c: Column) -> Column:
     return F.substring_index(c, ":", 1)
 
 
-def is_ipv4(c: Column) -> Column:
-    return c.rlike(IPV4_PATTERN)
+def _is_ipv6(c: Column) -> Column:
+    """Eight hex groups, or at most seven with one ``::`` run.
+
+    A dotted quad at the end stands for two groups; groups are counted, so both sides
+    of ``::`` together stay below eight."""
+    g = "[0-9A-Fa-f]{1,4}"
+    body = F.regexp_replace(c, r"/(?:12[0-8]|1[01][0-9]|[1-9]?[0-9])\z", "")
+    six = F.regexp_replace(body, rf"(?<=:){_V4}\z", "0:0")
+    return (six.rlike(rf"^(?:{g}:){{7}}{g}\z")
+            | (six.rlike(rf"^(?:{g}(?::{g})*)?::(?:{g}(?::{g})*)?\z")
+               & (F.regexp_count(six, F.lit(g)) <= 7)))
 
 
 def is_ip(c: Column) -> Column:
-    """True when ``c`` is a literal IPv4 or IPv6 address (an INET value)."""
-    return c.rlike(IPV4_PATTERN) | (c.contains(":") & c.rlike(IPV6_PATTERN))
+    """True when ``c`` is a literal IPv4 or IPv6 address, with or without mask length."""
+    return c.rlike(IPV4_PATTERN) | (c.contains(":") & _is_ipv6(c))

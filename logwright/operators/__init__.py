@@ -1 +1 @@
-"""Operators: parsing, model building, joins, integrity checks, appends."""
+"""Operators: parsing, model building, integrity checks, appends."""

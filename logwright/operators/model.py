@@ -38,15 +38,10 @@ class Tables:
     log_entry: DataFrame
     log_access_detail: DataFrame
     wide: DataFrame | None = None          # entry + detail in one row, if stored so
-    action_type_rows: int | None = None    # proven row bound of action_type
-    log_type_rows: int | None = None
 
     @staticmethod
-    def from_wide(log_type: DataFrame, action_type: DataFrame, wide: DataFrame,
-                  action_type_rows: int | None = None,
-                  log_type_rows: int | None = len(S.LOG_TYPE_NAMES)) -> "Tables":
-        return Tables(log_type, action_type, entries_of(wide), details_of(wide), wide,
-                      action_type_rows, log_type_rows)
+    def from_wide(log_type: DataFrame, action_type: DataFrame, wide: DataFrame) -> "Tables":
+        return Tables(log_type, action_type, entries_of(wide), details_of(wide), wide)
 
     def entries_in(self, lo=None, hi=None, closed: bool = True) -> DataFrame:
         """``log_entry`` restricted to ``lo <= ts <= hi`` (``< hi`` when not
@@ -84,10 +79,16 @@ class Tables:
 
 
 def _lit_like(value, df: DataFrame, col: str):
-    """Literal of the column's own timestamp type (LTZ or NTZ)."""
+    """Literal of the column's own timestamp type (LTZ or NTZ).
+
+    A naive datetime is wall-clock time of the session zone, as text is; a bare
+    ``F.lit`` would read it in the driver's operating-system zone."""
     dtype = df.schema[col].dataType.simpleString()
-    if isinstance(value, datetime) and value.tzinfo is not None and dtype == "timestamp_ntz":
-        return F.lit(value).cast("timestamp").cast("timestamp_ntz")
+    if isinstance(value, datetime):
+        if value.tzinfo is None:
+            return F.lit(value.isoformat(sep=" ")).cast(dtype)
+        if dtype == "timestamp_ntz":
+            return F.lit(value).cast("timestamp").cast("timestamp_ntz")
     return F.lit(value).cast(dtype)
 
 
@@ -140,9 +141,9 @@ def action_id_conflicts(*dims: DataFrame) -> DataFrame:
 
 def check_action_ids(*dims: DataFrame) -> None:
     """A8 as a hard check: raise when a name has two ids."""
-    bad = action_id_conflicts(*dims).limit(5).collect()
-    if bad:
-        raise ValueError("action type id mismatch for: " + ", ".join(r["name"] for r in bad))
+    r = action_id_conflicts(*dims).agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("name")).first()
+    if r["n"]:
+        raise ValueError(f"action type id mismatch for {r['n']} name(s), the first is {r['name']}")
 
 
 # --- U1 / M3-M6 -------------------------------------------------------------

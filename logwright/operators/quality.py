@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from .joins import bounded_broadcast
 from .model import Tables
 
 
@@ -25,11 +24,9 @@ def null_violations(df: DataFrame, *cols: str) -> DataFrame:
     return df.filter(cond)
 
 
-def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str,
-            parent_rows: int | None = None) -> DataFrame:
-    """K3: child rows whose non-NULL foreign key has no parent row. A
-    dimension parent is broadcast when its size is proven small."""
-    p = bounded_broadcast(parent.select(F.col(pk).alias("_pk")), known_rows=parent_rows)
+def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+    """K3: child rows whose non-NULL foreign key has no parent row."""
+    p = parent.select(F.col(pk).alias("_pk"))
     return (child.filter(F.col(fk).isNotNull())
                  .join(p, F.col(fk) == F.col("_pk"), "left_anti"))
 
@@ -41,18 +38,38 @@ def detail_scope_violations(t: Tables) -> DataFrame:
     return t.log_access_detail.join(access_ids, F.col("log_entry_id") == F.col("_id"), "left_anti")
 
 
+UNIQUE = (("log_type", ("id",)), ("log_type", ("name",)), ("action_type", ("id",)),
+          ("action_type", ("name",)), ("log_entry", ("id",)), ("log_access_detail", ("log_entry_id",)))
+FOREIGN = (("log_entry", "log_type_id", "log_type", "id"), ("log_entry", "action_type_id", "action_type", "id"),
+           ("log_access_detail", "log_entry_id", "log_entry", "id"))
+
+
 def summary(t: Tables) -> DataFrame:
-    """All checks as one row of violation counts (each a distributed job)."""
-    spark = t.log_entry.sparkSession
-    rows = [
-        ("k01_log_entry_pk", duplicate_keys(t.log_entry, "id").count()),
-        ("k01_action_type_name", duplicate_keys(t.action_type, "name").count()),
-        ("k02_log_entry_not_null", null_violations(t.log_entry, "id", "log_type_id",
-                                                   "log_timestamp").count()),
-        ("k03_action_fk", orphans(t.log_entry, "action_type_id", t.action_type, "id",
-                                  t.action_type_rows).count()),
-        ("k03_log_type_fk", orphans(t.log_entry, "log_type_id", t.log_type, "id",
-                                    t.log_type_rows).count()),
-        ("k04_detail_scope", detail_scope_violations(t).count()),
-    ]
-    return spark.createDataFrame(rows, "check string, violations long")
+    """Every constraint with its number of violations: one row per constraint.
+
+    ``check`` names the constraint (``unique log_entry(id)``, ``not null
+    log_entry(log_timestamp)``, ``foreign key log_entry(log_type_id)``, ``detail scope``).
+    """
+    frames = {"log_type": t.log_type, "action_type": t.action_type, "log_entry": t.log_entry,
+              "log_access_detail": t.log_access_detail}
+    parts = []
+
+    def add(name, bad):
+        parts.append(bad.agg(F.count(F.lit(1)).alias("violations"))
+                        .select(F.lit(name).alias("check"), "violations"))
+    for table, keys in UNIQUE:
+        add(f"unique {table}({', '.join(keys)})",
+            duplicate_keys(frames[table].dropna(subset=list(keys)), *keys))
+    for table, schema in S.ALL_TABLES.items():
+        required = [f.name for f in schema.fields if not f.nullable]
+        nulls = frames[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
+        parts.append(nulls.select(F.explode(F.array(*[
+            F.struct(F.lit(f"not null {table}({c})").alias("check"), F.col(c).alias("violations"))
+            for c in required])).alias("r")).select("r.check", "r.violations"))
+    for table, fk, parent, pk in FOREIGN:
+        add(f"foreign key {table}({fk})", orphans(frames[table], fk, frames[parent], pk))
+    add("detail scope", detail_scope_violations(t))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

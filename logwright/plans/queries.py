@@ -3,9 +3,10 @@
 Each takes :class:`Tables` plus its parameters and returns a lazy DataFrame;
 Catalyst pushes the time predicates and the column selection into the
 Parquet scan, and with the partitioned wide store also prunes ``log_type_id``
-/ ``log_date`` directories. Dimensions join by broadcast only behind a proven
-row bound (:func:`bounded_broadcast`); aggregations on the fact side run
-before any join so that only per-key partial counts move.
+/ ``log_date`` directories. Joins carry no hints: the planner broadcasts a
+dimension when its size in bytes is below ``autoBroadcastJoinThreshold``. Where a
+query counts or collects per key (Q1, Q3, Q13) the fact side is reduced before
+the join, so only per-key partial results move.
 """
 
 from __future__ import annotations
@@ -14,36 +15,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..operators.joins import bounded_broadcast
 from ..operators.model import Tables
 
 RESULT_14 = S.ENTRY_FIELDS + S.DETAIL_VALUE_FIELDS
 
 
 def _actions(t: Tables, names=None) -> DataFrame:
-    """Action dimension (optionally filtered by name), broadcast when bounded.
-
-    ``t.action_type_rows`` is set only for dimensions this library built
-    (distinct names, so unique); a name filter on those keeps at most
-    ``len(names)`` rows. Otherwise the bound is checked at run time."""
+    """Action dimension, optionally filtered by name."""
     a = t.action_type
-    bound = t.action_type_rows
-    if names is not None:
-        a = a.filter(F.col("name").isin(*names))
-        if bound is not None:
-            bound = min(bound, len(names))
-    return bounded_broadcast(a, known_rows=bound)
-
-
-def _names_unique(t: Tables) -> bool:
-    """True for action dimensions this library built (one id per name, so a
-    re-aggregation by name after the id join would change nothing)."""
-    return t.action_type_rows is not None
+    return a if names is None else a.filter(F.col("name").isin(*names))
 
 
 def _log_types(t: Tables, name) -> DataFrame:
-    lt = t.log_type.filter(F.col("name") == F.lit(name))
-    return bounded_broadcast(lt, known_rows=t.log_type_rows)
+    return t.log_type.filter(F.col("name") == F.lit(name))
 
 
 def _day(df: DataFrame):
@@ -56,16 +40,11 @@ def q01_total_logs_per_action_type(t: Tables, start, end) -> DataFrame:
     per_id = (t.entries_in(start, end, closed=True)
                .groupBy("action_type_id").agg(F.count(F.lit(1)).alias("n")))
     act = _actions(t)
-    j = per_id.join(act, per_id["action_type_id"] == act["id"], "inner")
-    if _names_unique(t):
-        named = j.select(act["name"].alias("action_type_name"), F.col("n").cast("bigint").alias("logs"))
-    else:
-        named = (j.groupBy(act["name"].alias("action_type_name"))
-                  .agg(F.sum("n").cast("bigint").alias("logs")))
-    return (named
-                  # One row per action name (bounded by the dimension): a
-                  # single-partition sort, no range-sampling job.
-                  .repartition(1).sortWithinPartitions(F.desc("logs")))
+    # Names may repeat in the dimension: the few rows per id are added up by name.
+    return (per_id.join(act, per_id["action_type_id"] == act["id"], "inner")
+                  .groupBy(act["name"].alias("action_type_name"))
+                  .agg(F.sum("n").cast("bigint").alias("logs"))
+                  .orderBy(F.desc("logs"), "action_type_name"))
 
 
 # Q2 -------------------------------------------------------------------------
@@ -88,12 +67,8 @@ def q03_most_common_action_per_source_ip(t: Tables, day) -> DataFrame:
     per_id = le.groupBy("source_ip", "action_type_id").agg(F.count(F.lit(1)).alias("n"))
     act = _actions(t)
     j = per_id.join(act, per_id["action_type_id"] == act["id"], "inner")
-    if _names_unique(t):
-        per_name = j.select("source_ip", act["name"].alias("action_type_name"),
-                            F.col("n").cast("bigint").alias("frequency"))
-    else:
-        per_name = (j.groupBy("source_ip", act["name"].alias("action_type_name"))
-                     .agg(F.sum("n").cast("bigint").alias("frequency")))
+    per_name = (j.groupBy("source_ip", act["name"].alias("action_type_name"))
+                 .agg(F.sum("n").cast("bigint").alias("frequency")))
     w = Window.partitionBy("source_ip").orderBy(F.desc("frequency"))
     return (per_name.withColumn("rnk", F.rank().over(w))
                     .filter(F.col("rnk") == 1)
@@ -179,7 +154,10 @@ def q10_access_logs_by_user_agent_version(t: Tables, version) -> DataFrame:
 # Q8 / Q9 ---------------------------------------------------------------------
 def _rep_and_serv(t: Tables, by_hour: bool) -> DataFrame:
     src = t.wide if t.wide is not None else t.log_entry
-    act = _actions(t, ["replicate", "served"])
+    names = ["replicate", "served"]
+    if t.wide is not None:  # the name is stored with the row: a literal filter on the scan
+        src = src.filter(F.col("action_name").isin(*names))
+    act = _actions(t, names)
     j = src.join(act, src["action_type_id"] == act["id"], "inner")
     keys = [F.col("block_id"), _day(src).alias("_day")]
     if by_hour:
@@ -235,12 +213,17 @@ def q13_ips_with_n_methods_in_range(t: Tables, log_type_name, required_methods,
     """Source addresses with exactly ``required_methods`` distinct methods in
     ``[start, end)``, with the sorted method list joined by ``|``.
 
-    The per-address set holds distinct action names only, so it is bounded by
-    the size of the action dimension; partial aggregation keeps a hot
-    address to one small set per task."""
-    e = _typed_entries(t, log_type_name, start, end)
-    names = F.collect_set("_name")
-    return (e.groupBy("source_ip")
+    Distinct (address, action id) pairs are made first, with a plain hash
+    aggregate, so neither the join with the dimension nor the per-address set
+    ever sees raw rows; a hot address or method is one row per task."""
+    le = t.entries_in(start, end, closed=False)
+    lt = _log_types(t, log_type_name)
+    pairs = (le.join(lt, le["log_type_id"] == lt["id"], "left_semi")
+               .select("source_ip", "action_type_id").distinct())
+    act = _actions(t)
+    named = pairs.join(act, pairs["action_type_id"] == act["id"], "inner")
+    names = F.collect_set("name")
+    return (named.groupBy("source_ip")
              .agg(F.size(names).cast("int").alias("cnt"),
                   F.array_join(F.array_sort(names), "|").alias("methods"))
              .filter(F.col("cnt") == F.lit(required_methods).cast("int"))

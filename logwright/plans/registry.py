@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.timestamps import as_wall_clock
-from ..session import checkpoint_dir
+from ..session import scratch_path
 from ..operators import model as M
 from ..operators import parse as P
 from ..sources import fixture_sql as O
@@ -68,13 +68,14 @@ def q02(spark, sf_dir):
 
 
 @register("q03_most_common_action_per_source_ip", O.with_model(f"""
-, ranked AS (SELECT le.source_ip, act.name AS action_type_name, CAST(COUNT(*) AS BIGINT) AS frequency,
-    RANK() OVER (PARTITION BY le.source_ip ORDER BY COUNT(*) DESC) AS rnk
-  FROM log_entry le JOIN action_type act ON le.action_type_id = act.id
-  WHERE CAST(le.log_timestamp AS DATE) = DATE '{Q03}'
-  GROUP BY le.source_ip, act.name)
-SELECT source_ip, action_type_name, frequency FROM ranked WHERE rnk = 1 ORDER BY frequency DESC"""
-                                                                .replace("\n, ranked", ", ranked", 1)))
+, per_day AS (SELECT source_ip, action_type_id FROM log_entry
+    WHERE log_timestamp >= TIMESTAMP '{Q03} 00:00:00' AND log_timestamp < TIMESTAMP '{Q03} 00:00:00' + INTERVAL 1 DAY),
+  tally AS (SELECT source_ip, name, COUNT(*) AS n FROM per_day, action_type
+    WHERE action_type.id = action_type_id GROUP BY ALL),
+  best AS (SELECT source_ip, MAX(n) AS top FROM tally GROUP BY source_ip)
+SELECT tally.source_ip, tally.name AS action_type_name, CAST(tally.n AS BIGINT) AS frequency
+FROM tally JOIN best ON tally.n = best.top AND tally.source_ip IS NOT DISTINCT FROM best.source_ip"""
+                                                                .replace("\n, per_day", ", per_day", 1)))
 def q03(spark, sf_dir):
     return Q.q03_most_common_action_per_source_ip(fixture_tables(spark, sf_dir), Q03)
 
@@ -92,18 +93,18 @@ def q04(spark, sf_dir):
 
 
 @register("q05_referrers_multiple_resources", O.with_model("""
-SELECT lad.referrer AS referrer, COUNT(lad.resource) AS resource_frequency
-FROM log_access_detail lad WHERE lad.referrer IS NOT NULL
-GROUP BY lad.referrer HAVING COUNT(lad.resource) > 1"""))
+, named AS (SELECT referrer, resource FROM log_access_detail WHERE referrer IS NOT NULL AND resource IS NOT NULL),
+  numbered AS (SELECT referrer, row_number() OVER (PARTITION BY referrer) AS k FROM named)
+SELECT referrer, CAST(max(k) AS BIGINT) AS resource_frequency FROM numbered GROUP BY referrer HAVING max(k) >= 2"""
+                                                            .replace("\n, named", ", named", 1)))
 def q05(spark, sf_dir):
     return Q.q05_referrers_multiple_resources(fixture_tables(spark, sf_dir))
 
 
 @register("q06_second_most_common_resource", O.with_model("""
-SELECT resource, frequency FROM (
-  SELECT lad.resource, COUNT(*) AS frequency, RANK() OVER (ORDER BY COUNT(*) DESC) AS rnk
-  FROM log_access_detail lad GROUP BY lad.resource) t
-WHERE t.rnk = 2"""))
+, tally AS (SELECT resource, COUNT(*) AS frequency FROM log_access_detail GROUP BY resource)
+SELECT x.resource, x.frequency FROM tally x
+WHERE (SELECT COUNT(*) FROM tally y WHERE y.frequency > x.frequency) = 1""".replace("\n, tally", ", tally", 1)))
 def q06(spark, sf_dir):
     return Q.q06_second_most_common_resource(fixture_tables(spark, sf_dir))
 
@@ -116,20 +117,20 @@ def q07(spark, sf_dir):
     return Q.q07_access_logs_below_size(fixture_tables(spark, sf_dir), Q07)
 
 
-@register("q08_blocks_rep_and_serv_same_day", O.with_model("""
-SELECT le.block_id FROM log_entry le
-JOIN action_type act ON le.action_type_id = act.id AND act.name IN ('replicate', 'served')
-GROUP BY le.block_id, CAST(le.log_timestamp AS DATE)
-HAVING COUNT(DISTINCT act.name) > 1 ORDER BY le.block_id DESC NULLS FIRST"""))
+# Keys that have both actions: the intersection of the two sets of (block, key).
+_BOTH = """, of_name AS (SELECT name, block_id, {key} AS k FROM log_entry, action_type
+    WHERE action_type.id = action_type_id)
+SELECT block_id FROM (
+  SELECT block_id, k FROM of_name WHERE name = 'replicate' INTERSECT
+  SELECT block_id, k FROM of_name WHERE name = 'served') both_actions"""
+
+
+@register("q08_blocks_rep_and_serv_same_day", O.with_model(_BOTH.format(key="date_trunc('day', log_timestamp)")))
 def q08(spark, sf_dir):
     return Q.q08_blocks_rep_and_serv_same_day(fixture_tables(spark, sf_dir))
 
 
-@register("q09_blocks_rep_and_serv_same_day_hour", O.with_model("""
-SELECT le.block_id FROM log_entry le
-JOIN action_type act ON le.action_type_id = act.id AND act.name IN ('replicate', 'served')
-GROUP BY le.block_id, CAST(le.log_timestamp AS DATE), EXTRACT(HOUR FROM le.log_timestamp)
-HAVING COUNT(DISTINCT act.name) > 1 ORDER BY le.block_id DESC NULLS FIRST"""))
+@register("q09_blocks_rep_and_serv_same_day_hour", O.with_model(_BOTH.format(key="date_trunc('hour', log_timestamp)")))
 def q09(spark, sf_dir):
     return Q.q09_blocks_rep_and_serv_same_day_hour(fixture_tables(spark, sf_dir))
 
@@ -142,32 +143,29 @@ def q10(spark, sf_dir):
     return Q.q10_access_logs_by_user_agent_version(fixture_tables(spark, sf_dir), Q10)
 
 
-_TYPED = ("FROM log_entry le JOIN log_type lt ON lt.id = le.log_type_id "
-          "JOIN action_type act ON act.id = le.action_type_id ")
+# Access entries of a range with the method's name.
+_RANGE = """, used AS (SELECT source_ip, (SELECT name FROM action_type WHERE id = action_type_id) AS method
+    FROM log_entry WHERE log_type_id = (SELECT id FROM log_type WHERE name = '{0}')
+      AND NOT (log_timestamp < {1}) AND log_timestamp < {2})
+"""
 
 
-@register("q11_ips_with_method_in_range", O.with_model(f"""
-SELECT DISTINCT le.source_ip {_TYPED}
-WHERE lt.name = '{Q11[0]}' AND act.name = '{Q11[1]}'
-  AND le.log_timestamp >= {_ts(Q11[2])} AND le.log_timestamp < {_ts(Q11[3])}"""))
+@register("q11_ips_with_method_in_range", O.with_model(_RANGE.format(Q11[0], _ts(Q11[2]), _ts(Q11[3])) + f"""
+SELECT source_ip FROM used GROUP BY source_ip HAVING bool_or(method = '{Q11[1]}')"""))
 def q11(spark, sf_dir):
     return Q.q11_ips_with_method_in_range(fixture_tables(spark, sf_dir), *Q11)
 
 
-@register("q12_ips_with_two_methods_in_range", O.with_model(f"""
-SELECT le.source_ip {_TYPED}
-WHERE lt.name = '{Q12[0]}' AND act.name IN ('{Q12[1]}', '{Q12[2]}')
-  AND le.log_timestamp >= {_ts(Q12[3])} AND le.log_timestamp < {_ts(Q12[4])}
-GROUP BY le.source_ip HAVING COUNT(DISTINCT act.name) = 2"""))
+@register("q12_ips_with_two_methods_in_range", O.with_model(_RANGE.format(Q12[0], _ts(Q12[3]), _ts(Q12[4])) + f"""
+SELECT source_ip FROM used WHERE method = '{Q12[1]}' INTERSECT SELECT source_ip FROM used WHERE method = '{Q12[2]}'"""))
 def q12(spark, sf_dir):
     return Q.q12_ips_with_two_methods_in_range(fixture_tables(spark, sf_dir), *Q12)
 
 
-@register("q13_ips_with_n_methods_in_range", O.with_model(f"""
-SELECT le.source_ip, CAST(COUNT(DISTINCT act.name) AS INTEGER) AS cnt,
-  string_agg(DISTINCT act.name, '|' ORDER BY act.name) AS methods {_TYPED}
-WHERE lt.name = '{Q13[0]}' AND le.log_timestamp >= {_ts(Q13[2])} AND le.log_timestamp < {_ts(Q13[3])}
-GROUP BY le.source_ip HAVING COUNT(DISTINCT act.name) = {Q13[1]} ORDER BY cnt DESC"""))
+@register("q13_ips_with_n_methods_in_range", O.with_model(_RANGE.format(Q13[0], _ts(Q13[2]), _ts(Q13[3])) + f"""
+, pairs AS (SELECT DISTINCT source_ip, method FROM used),
+  sets AS (SELECT source_ip, list_sort(list(method)) AS m FROM pairs GROUP BY source_ip)
+SELECT source_ip, CAST(len(m) AS INTEGER) AS cnt, array_to_string(m, '|') AS methods FROM sets WHERE len(m) = {Q13[1]}"""))
 def q13(spark, sf_dir):
     return Q.q13_ips_with_n_methods_in_range(fixture_tables(spark, sf_dir), *Q13)
 
@@ -205,15 +203,11 @@ _parse_key("p06_replicate", "namesystem", "replicate", O.PARSED_REPLICATE, ENTRY
 
 
 def _all_typed(spark, sf_dir) -> DataFrame:
-    """All kinds parsed once; lineage cut with a reliable checkpoint written
-    to the shared ``spark.checkpoint.dir`` (survives executor loss)."""
+    """All kinds parsed."""
     lines = fixture_lines(spark, sf_dir)
-    typed = M.union_all(
-        P.parse_typed(lines.filter(F.col("kind") == k), k, line_col="line",
-                      keep=["event_id", "kind"])
+    return M.union_all(
+        P.parse_typed(lines.filter(F.col("kind") == k), k, line_col="line", keep=["event_id", "kind"])
         for k in P.KINDS)
-    checkpoint_dir(spark)
-    return typed.checkpoint(eager=True)
 
 
 @register("p07_rejects", O.with_lines(f"""
@@ -253,11 +247,19 @@ def m02(spark, sf_dir):
 # --- flagship: text -> parse -> model -> Q1 ----------------------------------
 
 def model_from_raw(spark: SparkSession, sf_dir: str) -> M.Tables:
-    """Parse the derived raw text of all kinds into the wide model (lazy)."""
-    rows = P.accepted(_all_typed(spark, sf_dir))
-    wide = M.to_wide(rows)
+    """Parse the derived raw text of all kinds into the wide model.
+
+    Both the facts and the dimension read the parsed rows: of these only the two
+    columns that Q1 needs are written, once, to the shared folder."""
+    rows = P.accepted(_all_typed(spark, sf_dir)).select("action_name", "log_timestamp", "log_type_id")
+    path = scratch_path(spark, "parsed")
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    for f in S.PARSED.fields:
+        if f.name not in rows.columns:
+            rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
     return M.Tables.from_wide(M.log_type_table(spark), M.action_type_table(M.action_names(rows)),
-                              wide)
+                              M.to_wide(rows))
 
 
 @register("e2e_q01_from_raw", O.with_parsed(f"""
@@ -268,48 +270,103 @@ def e2e_q01_from_raw(spark, sf_dir):
     return Q.q01_total_logs_per_action_type(model_from_raw(spark, sf_dir), *Q01)
 
 
-# --- K1-K4 integrity checks on the projection ---------------------------------
+# --- K1-K4 integrity checks on a model with planted violations -----------------
 from ..functions.ids import uuid5  # noqa: E402
 from ..functions.timestamps import access_timestamp, hdfs_timestamp  # noqa: E402
-from ..functions.values import IPV4_PATTERN, is_ip  # noqa: E402
+from ..functions.values import is_ip  # noqa: E402
 from ..operators import quality as K  # noqa: E402
-from ..operators.append import append_logs  # noqa: E402
+from ..operators.append import append_logs, upsert_action_types  # noqa: E402
+from ..sources import staged_csv, store  # noqa: E402
 from ..sources.fixtures import read_events  # noqa: E402
+from ..sources.logs import LOG_FILES, default_paths  # noqa: E402
+from . import catalog as C  # noqa: E402
 from . import variants as X  # noqa: E402
 
+# Violations by event id: repeated entries, missing values, unknown keys, details of
+# entries that are not ACCESS or do not exist, repeated dimension ids and names.
+_PLANTED = """, entry0 AS (SELECT *, CAST(substr(id, 2) AS BIGINT) AS n FROM log_entry),
+entry1 AS (SELECT * FROM entry0 UNION ALL SELECT * FROM entry0 WHERE n % 11 = 0),
+bad_entry AS (SELECT CASE WHEN n % 13 <> 0 THEN id END AS id, CASE WHEN n % 23 = 0 THEN 9 ELSE log_type_id END AS log_type_id,
+  CASE WHEN n % 19 = 0 THEN 'missing' ELSE action_type_id END AS action_type_id,
+  CASE WHEN n % 17 <> 0 THEN log_timestamp END AS log_timestamp FROM entry1),
+bad_detail AS (SELECT log_entry_id FROM log_access_detail UNION ALL
+  SELECT id FROM entry0 WHERE n % 58 = 29 UNION ALL SELECT 'x' || id FROM entry0 WHERE n % 31 = 0),
+bad_action AS (SELECT * FROM action_type UNION ALL SELECT id, 'again' FROM action_type WHERE name = 'GET'
+  UNION ALL SELECT 'new-id', 'POST'),
+bad_type AS (SELECT * FROM log_type UNION ALL SELECT 1, 'ACCESS')
+"""
+
+
+def planted(spark, sf_dir) -> M.Tables:
+    """The model over ``events`` with violations of every constraint."""
+    t = fixture_tables(spark, sf_dir)
+    n = F.substring(F.col("id"), 2, 20).cast("bigint")
+    le = t.log_entry.withColumn("_n", n)
+    twice = le.unionByName(le.filter(F.col("_n") % 11 == 0))
+    bad = twice.select(
+        F.when(F.col("_n") % 13 != 0, F.col("id")).alias("id"),
+        F.when(F.col("_n") % 23 == 0, F.lit(9)).otherwise(F.col("log_type_id")).cast("short").alias("log_type_id"),
+        F.when(F.col("_n") % 19 == 0, "missing").otherwise(F.col("action_type_id")).alias("action_type_id"),
+        F.when(F.col("_n") % 17 != 0, F.col("log_timestamp")).alias("log_timestamp"),
+        *S.ENTRY_FIELDS[4:])
+    extra = (le.filter(F.col("_n") % 58 == 29).select(F.col("id").alias("log_entry_id"))
+             .union(le.filter(F.col("_n") % 31 == 0).select(F.concat(F.lit("x"), "id"))))
+    act = t.action_type
+    actions = (act.union(act.filter("name = 'GET'").select("id", F.lit("again")))
+                  .union(spark.createDataFrame([("new-id", "POST")], S.ACTION_TYPE)))
+    types = t.log_type.union(spark.createDataFrame([(1, "ACCESS")], S.LOG_TYPE))
+    return M.Tables(types, actions, bad, t.log_access_detail.unionByName(extra, allowMissingColumns=True))
+
 
 def _one(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-@register("k01_dupes", O.with_model("""
-SELECT COUNT(*) AS violations FROM (SELECT id FROM log_entry GROUP BY id HAVING COUNT(*) > 1) d"""))
+@register("k01_dupes", O.with_model(_PLANTED + """
+SELECT COUNT(*) AS violations FROM (SELECT id FROM bad_entry WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1) d"""))
 def k01(spark, sf_dir):
-    return _one(K.duplicate_keys(fixture_tables(spark, sf_dir).log_entry, "id"), "violations")
+    return _one(K.duplicate_keys(planted(spark, sf_dir).log_entry.dropna(subset=["id"]), "id"), "violations")
 
 
-@register("k02_nulls", O.with_model("""
-SELECT COUNT(*) AS violations FROM log_entry
-WHERE id IS NULL OR log_type_id IS NULL OR log_timestamp IS NULL"""))
+@register("k02_nulls", O.with_model(_PLANTED + """
+SELECT COUNT(*) AS violations FROM bad_entry WHERE id IS NULL OR log_type_id IS NULL OR log_timestamp IS NULL"""))
 def k02(spark, sf_dir):
-    t = fixture_tables(spark, sf_dir)
-    return _one(K.null_violations(t.log_entry, "id", "log_type_id", "log_timestamp"), "violations")
+    return _one(K.null_violations(planted(spark, sf_dir).log_entry, "id", "log_type_id", "log_timestamp"),
+                "violations")
 
 
-@register("k03_orphans", O.with_model("""
-SELECT COUNT(*) AS violations FROM log_entry le
-WHERE le.action_type_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM action_type a WHERE a.id = le.action_type_id)"""))
+@register("k03_orphans", O.with_model(_PLANTED + """
+SELECT COUNT(*) AS violations FROM bad_entry
+WHERE action_type_id IS NOT NULL AND action_type_id NOT IN (SELECT id FROM bad_action)"""))
 def k03(spark, sf_dir):
-    t = fixture_tables(spark, sf_dir)
-    return _one(K.orphans(t.log_entry, "action_type_id", t.action_type, "id", t.action_type_rows),
-                "violations")
+    t = planted(spark, sf_dir)
+    return _one(K.orphans(t.log_entry, "action_type_id", t.action_type, "id"), "violations")
 
 
-@register("k04_detail_scope", O.with_model("""
-SELECT COUNT(*) AS violations FROM log_access_detail lad
-WHERE NOT EXISTS (SELECT 1 FROM log_entry le WHERE le.id = lad.log_entry_id AND le.log_type_id = 1)"""))
+@register("k04_detail_scope", O.with_model(_PLANTED + """
+SELECT COUNT(*) AS violations FROM bad_detail
+WHERE log_entry_id NOT IN (SELECT id FROM bad_entry WHERE log_type_id = 1 AND id IS NOT NULL)"""))
 def k04(spark, sf_dir):
-    return _one(K.detail_scope_violations(fixture_tables(spark, sf_dir)), "violations")
+    return _one(K.detail_scope_violations(planted(spark, sf_dir)), "violations")
+
+
+def _k_sql() -> str:
+    real = {"log_type": "bad_type", "action_type": "bad_action", "log_entry": "bad_entry",
+            "log_access_detail": "bad_detail"}
+    parts = [f"SELECT 'unique {t}({k[0]})' AS \"check\", COUNT(*) AS violations FROM (SELECT {k[0]} FROM {real[t]} "
+             f"WHERE {k[0]} IS NOT NULL GROUP BY {k[0]} HAVING COUNT(*) > 1) d" for t, k in K.UNIQUE]
+    parts += [f"SELECT 'not null {t}({f.name})', COUNT(*) FROM {real[t]} WHERE {f.name} IS NULL"
+              for t, schema in S.ALL_TABLES.items() for f in schema.fields if not f.nullable]
+    parts += [f"SELECT 'foreign key {t}({c})', COUNT(*) FROM {real[t]} WHERE {c} IS NOT NULL AND {c} NOT IN "
+              f"(SELECT {k} FROM {real[p]} WHERE {k} IS NOT NULL)" for t, c, p, k in K.FOREIGN]
+    parts.append("SELECT 'detail scope', COUNT(*) FROM bad_detail WHERE log_entry_id NOT IN "
+                 "(SELECT id FROM bad_entry WHERE log_type_id = 1 AND id IS NOT NULL)")
+    return " UNION ALL ".join(parts)
+
+
+@register("k00_all_constraints", O.with_model(_PLANTED + _k_sql()))
+def k00(spark, sf_dir):
+    return K.summary(planted(spark, sf_dir))
 
 
 # --- I1 batch append: insert requests derived from events ---------------------
@@ -384,8 +441,9 @@ def f_uuid5(spark, sf_dir):
 
 
 @register("f_ip_valid", """
-SELECT event_id, cand, regexp_matches(cand, '""" + IPV4_PATTERN + """') AS valid FROM (
-  SELECT event_id, concat(CAST(user_id % 300 AS VARCHAR), '.', CAST(event_id % 260 AS VARCHAR), '.0.',
+SELECT event_id, cand, len(string_split(cand, '.')) = 4 AND list_bool_and(list_transform(string_split(cand, '.'),
+    lambda x: coalesce(TRY_CAST(x AS INT) BETWEEN 0 AND 255, false) AND CAST(TRY_CAST(x AS INT) AS VARCHAR) = x)) AS valid
+FROM (SELECT event_id, concat(CAST(user_id % 300 AS VARCHAR), '.', CAST(event_id % 260 AS VARCHAR), '.0.',
     CAST(user_id % 7 AS VARCHAR)) AS cand FROM events) c""")
 def f_ip_valid(spark, sf_dir):
     ev = read_events(spark, sf_dir)
@@ -396,6 +454,14 @@ def f_ip_valid(spark, sf_dir):
                                                             is_ip(F.col("cand")).alias("valid"))
 
 
+@register("f_ipv6_valid", """
+SELECT event_id, user_id % 9 + event_id % 9 <= 7 AS valid FROM events""")
+def f_ipv6_valid(spark, sf_dir):
+    ev = read_events(spark, sf_dir)
+    side = lambda c: F.array_join(F.array_repeat(F.lit("ab1"), (F.col(c) % 9).cast("int")), ":")
+    return ev.select("event_id", is_ip(F.concat(side("user_id"), F.lit("::"), side("event_id"))).alias("valid"))
+
+
 @register("f_timestamps", """
 SELECT event_id,
   date_trunc('second', ts) - to_minutes(CASE event_id % 3 WHEN 0 THEN 180 WHEN 1 THEN -480 ELSE 0 END) AS access_ts,
@@ -415,39 +481,255 @@ def f_timestamps(spark, sf_dir):
 # --- archived variants -------------------------------------------------------
 
 @register("x06_offset_limit", O.with_model("""
-SELECT resource, frequency FROM (SELECT resource, COUNT(*) AS frequency FROM log_access_detail GROUP BY resource) c
-ORDER BY frequency DESC, resource ASC NULLS FIRST LIMIT 1 OFFSET 1"""))
+, tally AS (SELECT resource, COUNT(*) AS frequency FROM log_access_detail GROUP BY resource)
+SELECT resource, frequency FROM tally
+QUALIFY row_number() OVER (ORDER BY frequency DESC, resource ASC NULLS FIRST) = 2""".replace("\n, tally", ", tally", 1)))
 def x06(spark, sf_dir):
     return X.second_resource_offset(fixture_tables(spark, sf_dir))
 
 
-@register("x09_text_key", O.with_model("""
-SELECT le.block_id FROM log_entry le
-JOIN action_type act ON le.action_type_id = act.id AND act.name IN ('replicate', 'served')
-GROUP BY le.block_id, concat(CAST(CAST(le.log_timestamp AS DATE) AS VARCHAR), CAST(EXTRACT(HOUR FROM le.log_timestamp) AS VARCHAR))
-HAVING COUNT(DISTINCT act.name) > 1 ORDER BY le.block_id DESC NULLS FIRST"""))
+@register("x09_text_key", O.with_model(_BOTH.format(
+    key="strftime(log_timestamp, '%Y-%m-%d') || CAST(hour(log_timestamp) AS VARCHAR)")))
 def x09(spark, sf_dir):
     return X.blocks_same_day_hour_text_key(fixture_tables(spark, sf_dir))
 
 
-# --- streaming parse of the derived text --------------------------------------
+# --- entry joined with detail on separate frames (J3) ---------------------------
 
-_STREAM_COLS = [c for c in ALL_OUT if c != "event_id"]
+def _separate(spark, sf_dir) -> M.Tables:
+    t = fixture_tables(spark, sf_dir)
+    return M.Tables(t.log_type, t.action_type, t.log_entry, t.log_access_detail)
 
 
-@register("st01_stream_parse", O.with_parsed(f"SELECT {', '.join(_STREAM_COLS)} FROM parsed"))
-def st01(spark, sf_dir):
-    import uuid as _u
+@register("j03_q07_join", ORACLE["q07_access_logs_below_size"])
+def j03_q07(spark, sf_dir):
+    return Q.q07_access_logs_below_size(_separate(spark, sf_dir), Q07)
+
+
+@register("j03_q10_join", ORACLE["q10_access_logs_by_user_agent_version"])
+def j03_q10(spark, sf_dir):
+    return Q.q10_access_logs_by_user_agent_version(_separate(spark, sf_dir), Q10)
+
+
+# --- dimension with two ids for one name ------------------------------------------
+
+_TWO_IDS = """, ids2 AS (SELECT CASE WHEN CAST(substr(id, 2) AS BIGINT) % 3 = 0 THEN 'second-' || action_type_id
+    ELSE action_type_id END AS aid, source_ip, log_timestamp FROM log_entry),
+names2 AS (SELECT id, name FROM action_type UNION ALL SELECT 'second-' || id, name FROM action_type)
+"""
+
+
+def _two_ids(spark, sf_dir) -> M.Tables:
+    t = fixture_tables(spark, sf_dir)
+    n = F.substring(F.col("id"), 2, 20).cast("bigint")
+    wide = t.wide.withColumn("action_type_id", F.when(n % 3 == 0, F.concat(F.lit("second-"), "action_type_id"))
+                             .otherwise(F.col("action_type_id")))
+    dim = t.action_type.union(t.action_type.select(F.concat(F.lit("second-"), "id"), "name"))
+    return M.Tables.from_wide(t.log_type, dim, wide)
+
+
+@register("q01_two_ids_per_name", O.with_model(_TWO_IDS + f"""
+SELECT name AS action_type_name, CAST(COUNT(*) AS BIGINT) AS logs FROM ids2, names2
+WHERE aid = names2.id AND log_timestamp BETWEEN {_ts(Q01[0])} AND {_ts(Q01[1])} GROUP BY name"""))
+def q01_two_ids(spark, sf_dir):
+    return Q.q01_total_logs_per_action_type(_two_ids(spark, sf_dir), *Q01)
+
+
+@register("q03_two_ids_per_name", ORACLE["q03_most_common_action_per_source_ip"])
+def q03_two_ids(spark, sf_dir):
+    return Q.q03_most_common_action_per_source_ip(_two_ids(spark, sf_dir), Q03)
+
+
+# --- action dimensions: conflict, merge, upsert -----------------------------------
+
+def _dims(spark, sf_dir):
+    """Dimensions of the ACCESS and HDFS entries; the second gives r- names other ids."""
+    wide = fixture_tables(spark, sf_dir).wide
+    a = M.action_type_table(M.action_names(wide.filter("log_type_id = 1")))
+    b = M.action_type_table(M.action_names(wide))
+    return a, b, b.withColumn("id", F.when(F.col("name").startswith("r"), F.concat(F.lit("x"), "id"))
+                              .otherwise(F.col("id")))
+
+
+@register("a08_uuid_conflict", O.with_model("""
+SELECT name, CAST(2 AS BIGINT) AS ids FROM action_type WHERE name IN ('receiving', 'received', 'replicate')"""))
+def a08(spark, sf_dir):
+    a, b, c = _dims(spark, sf_dir)
+    return M.action_id_conflicts(a, b, c)
+
+
+@register("u02_action_merge", O.with_model("SELECT id, name FROM action_type"))
+def u02(spark, sf_dir):
+    a, b, _ = _dims(spark, sf_dir)
+    return M.merge_action_types(a, b)
+
+
+@register("m08_upsert", O.with_model("""
+SELECT id, name FROM action_type WHERE id NOT IN (SELECT action_type_id FROM log_entry WHERE log_type_id = 1)"""))
+def m08(spark, sf_dir):
+    a, b, _ = _dims(spark, sf_dir)
+    return upsert_action_types(a, b)
 
-    from ..session import scratch_path
-    from ..streaming.ingest import run_to_memory
-    folder = scratch_path(spark, "stream-src")
+
+# --- insert: values that do not convert, names that differ in case ----------------
+
+@register("i02_append_bad_values", O.with_model("""
+SELECT event_id, CASE event_id % 6 WHEN 1 THEN 'invalid log_timestamp' WHEN 2 THEN 'invalid block_id'
+  WHEN 3 THEN 'invalid size_bytes' WHEN 4 THEN 'invalid source_ip' WHEN 5 THEN 'invalid http_status' END AS reason
+FROM events WHERE event_id % 6 <> 0"""))
+def i02(spark, sf_dir):
+    eid = F.col("event_id")
+    bad = lambda k, value, good: F.when(eid % 6 == k, F.lit(value)).otherwise(good)
+    req = read_events(spark, sf_dir).select(
+        "event_id", F.lit("ACCESS").alias("log_type_name"), F.lit("GET").alias("action_type_name"),
+        bad(1, "not a time", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("log_timestamp"),
+        bad(4, "999.1.1.1", F.lit("10.0.0.1")).alias("source_ip"), F.lit("::1").alias("dest_ip"),
+        bad(2, "blk", F.lit("7")).alias("block_id"), bad(3, "1e", eid.cast("string")).alias("size_bytes"),
+        bad(5, "2xx", F.lit("200")).alias("http_status"))
+    return append_logs(fixture_tables(spark, sf_dir), req, keep=["event_id"]).rejected
+
+
+@register("f15_ignore_case", O.with_model("""
+SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'GET' ELSE 'POST' END AS action_name, CAST(1 AS SMALLINT) AS log_type_id
+FROM events"""))
+def f15(spark, sf_dir):
+    t = fixture_tables(spark, sf_dir)
+    lower = t.action_type.select(F.concat(F.lit("low-"), "id"), F.lower("name"))
+    t = M.Tables(t.log_type, t.action_type.union(lower), t.log_entry, t.log_access_detail)
+    req = read_events(spark, sf_dir).select(
+        "event_id", F.lit("Access").alias("log_type_name"),
+        F.when(F.col("event_id") % 2 == 0, "gEt").otherwise("post").alias("action_type_name"),
+        F.col("ts").alias("log_timestamp"), F.lit(None).cast("string").alias("source_ip"),
+        F.lit(None).cast("string").alias("dest_ip"), F.lit(None).cast("bigint").alias("block_id"),
+        F.lit(None).cast("bigint").alias("size_bytes"))
+    return append_logs(t, req, keep=["event_id"], ignore_case=True).accepted \
+        .select("event_id", "action_name", "log_type_id")
+
+
+# --- store: text files under their default names, two loads, a replay -------------
+
+_STORE_COLS = [c for c in ALL_OUT if c != "event_id"]
+
+
+def _text_files(spark, sf_dir, root: str, lines: DataFrame) -> dict:
+    """Derived raw text under the default file names."""
+    for kind in LOG_FILES:
+        lines.filter(F.col("kind") == kind).select("line").write.text(f"{root}/{LOG_FILES[kind]}")
+    return default_paths(root)
+
+
+def _loaded(spark, sf_dir) -> str:
+    """Store root: even events first, then odd ones, then the second load again."""
+    root = scratch_path(spark, "store")
     lines = fixture_lines(spark, sf_dir)
-    out = []
-    for kind in P.KINDS:
-        lines.filter(F.col("kind") == kind).select("line").write.text(f"{folder}/{kind}")
-        name = f"st01_{kind}_{_u.uuid4().hex[:8]}"
-        out.append(run_to_memory(spark, kind, f"{folder}/{kind}", name))
-    rows = M.union_all(out)
-    return rows.withColumn("log_timestamp", as_wall_clock(F.col("log_timestamp"))) \
-               .select(*_STREAM_COLS)
+    for rest, name in ((0, "first"), (1, "second")):
+        paths = _text_files(spark, sf_dir, f"{root}-{name}", lines.filter(F.col("event_id") % 2 == rest))
+        paths["syslog"] = paths["access"]  # an unknown kind is skipped (M7)
+        for _ in range(1 + rest):
+            store.ingest(spark, paths, root, mode="append", batch=name)
+    return root
+
+
+def _wall(df: DataFrame) -> DataFrame:
+    return df.withColumn("log_timestamp", as_wall_clock(F.col("log_timestamp")))
+
+
+@register("s07_append_replay", O.with_parsed(f"SELECT {', '.join(_STORE_COLS)} FROM parsed"))
+def s07(spark, sf_dir):
+    return _wall(store.read_wide(spark, _loaded(spark, sf_dir)).select(*_STORE_COLS))
+
+
+@register("s09_store_q01", ORACLE["e2e_q01_from_raw"])
+def s09(spark, sf_dir):
+    return Q.q01_total_logs_per_action_type(store.read_store(spark, _loaded(spark, sf_dir)), *Q01)
+
+
+@register("s09_store_rejects", ORACLE["p07_rejects"].replace("SELECT event_id, kind,", "SELECT kind,"))
+def s09_rejects(spark, sf_dir):
+    return store.read_rejects(spark, _loaded(spark, sf_dir)).select("kind", "line", "reason")
+
+
+# --- staged CSV: awkward values, written, read, loaded into a store ----------------
+
+def _awkward(spark, sf_dir) -> M.Tables:
+    t = fixture_tables(spark, sf_dir)
+    w = t.wide.withColumn("user_agent", F.when(F.col("user_agent").isNotNull(), F.concat(
+        F.lit('  "'), "user_agent", F.lit('", a\\b  ')))) \
+        .withColumn("referrer", F.when(F.col("referrer").isNotNull(), F.concat("referrer", F.lit("\\"))))
+    return M.Tables.from_wide(t.log_type, t.action_type, w.withColumn("log_timestamp",
+                              F.col("log_timestamp").cast("timestamp")))
+
+
+_AWKWARD_SQL = """
+SELECT le.id, le.log_type_id, le.action_type_id, le.log_timestamp, le.source_ip, le.dest_ip, le.block_id, le.size_bytes,
+  lad.remote_name, lad.auth_user, lad.resource, lad.http_status, lad.referrer || chr(92) AS referrer,
+  '  "' || lad.user_agent || '", a' || chr(92) || 'b  ' AS user_agent
+FROM log_entry le LEFT JOIN log_access_detail lad ON lad.log_entry_id = le.id"""
+
+
+@register("s03_csv_roundtrip", O.with_model(_AWKWARD_SQL))
+def s03(spark, sf_dir):
+    folder = scratch_path(spark, "csv")
+    staged_csv.write_tables(_awkward(spark, sf_dir), folder)
+    t = staged_csv.read_tables(spark, folder).tables
+    rows = t.log_entry.join(t.log_access_detail, F.col("id") == F.col("log_entry_id"), "left")
+    return _wall(rows.select(*S.ENTRY_FIELDS, *S.DETAIL_VALUE_FIELDS))
+
+
+@register("s05_csv_to_store", O.with_model(_AWKWARD_SQL))
+def s05(spark, sf_dir):
+    folder, root = scratch_path(spark, "csv"), scratch_path(spark, "store")
+    staged_csv.write_tables(_awkward(spark, sf_dir), folder)
+    store.load_tables(staged_csv.read_tables(spark, folder).tables, root)
+    return _wall(store.read_wide(spark, root).select(*S.ENTRY_FIELDS, *S.DETAIL_VALUE_FIELDS))
+
+
+# --- catalog -----------------------------------------------------------------------
+
+_CALLS = {1: dict(start=Q01[0], end=Q01[1]), 2: dict(action_name=Q02[0], start=Q02[1], end=Q02[2]),
+          3: dict(day=Q03), 4: dict(start_day=Q04[0], end_day=Q04[1]), 5: {}, 6: {}, 7: dict(max_size=Q07),
+          8: {}, 9: {}, 10: dict(version=Q10), 11: dict(method=Q11[1], start=Q11[2], end=Q11[3]),
+          12: dict(method1=Q12[1], method2=Q12[2], start=Q12[3], end=Q12[4]),
+          13: dict(start=Q13[2], end=Q13[3])}
+
+
+@register("c02_run_all", " UNION ALL ".join(
+    f"SELECT {k} AS entry, COUNT(*) AS n FROM ({next(v for q, v in ORACLE.items() if q.startswith(f'q{k:02d}_'))}) r{k}"
+    for k in _CALLS))
+def c02(spark, sf_dir):
+    t = fixture_tables(spark, sf_dir)
+    return M.union_all(C.run(t, k, p).agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("entry"), "n")
+                       for k, p in _CALLS.items())
+
+
+@register("q15_audit_listing", """
+SELECT event_id AS id, user_id, event_type AS query_text, CAST(value AS VARCHAR) IS NOT NULL AS has_params, ts AS executed_at
+FROM events""")
+def q15(spark, sf_dir):
+    path = scratch_path(spark, "audit")
+    read_events(spark, sf_dir).select(
+        F.col("event_id").alias("id"), "user_id", F.col("event_type").alias("query_text"),
+        F.col("value").cast("string").alias("params"), F.col("ts").cast("timestamp").alias("executed_at")) \
+        .write.parquet(path)
+    rows = C.run(fixture_tables(spark, sf_dir), 15, audit=_Quiet(spark, path))
+    return rows.select("id", "user_id", "query_text", F.col("params").isNotNull().alias("has_params"),
+                       as_wall_clock(F.col("executed_at")).alias("executed_at"))
+
+
+class _Quiet(C.AuditLog):
+    """An audit table whose own listing is not recorded, so that the rows are those of ``events``."""
+
+    def record(self, *args):
+        pass
+
+
+# --- streaming: every file once, a replayed stream adds nothing ---------------------
+
+@register("st01_stream_parse", O.with_parsed(f"SELECT {', '.join(_STORE_COLS)} FROM parsed"))
+def st01(spark, sf_dir):
+    from ..streaming.ingest import run_to_store
+    root = scratch_path(spark, "stream")
+    paths = _text_files(spark, sf_dir, f"{root}-text", fixture_lines(spark, sf_dir))
+    for checkpoint in ("a", "b"):  # a lost checkpoint replays the first epoch
+        run_to_store(spark, paths, root, f"{root}-{checkpoint}", available_now=True).awaitTermination()
+    return _wall(store.read_wide(spark, root).select(*_STORE_COLS))

@@ -1,12 +1,10 @@
-"""Archived forms of some queries, kept as options (O4, F16, select-star)."""
+"""Archived forms of some queries, kept as options."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import schema as S
-from ..operators.joins import bounded_broadcast
 from ..operators.model import Tables
 
 
@@ -22,18 +20,9 @@ def blocks_same_day_hour_text_key(t: Tables) -> DataFrame:
     """F16: same-day-and-hour blocks grouped by the text key date||hour."""
     src = t.log_entry
     act = t.action_type.filter(F.col("name").isin("replicate", "served"))
-    act = bounded_broadcast(act, known_rows=None if t.action_type_rows is None
-                            else min(2, t.action_type_rows))
     key = F.concat(F.to_date("log_timestamp").cast("string"), F.hour("log_timestamp").cast("string"))
     j = src.join(act, src["action_type_id"] == act["id"], "inner")
     return (j.groupBy(F.col("block_id"), key.alias("_k"))
              .agg((F.bool_or(act["name"] == "replicate") & F.bool_or(act["name"] == "served"))
                   .alias("_both"))
              .filter("_both").select("block_id").orderBy(F.desc_nulls_first("block_id")))
-
-
-def access_below_size_star(t: Tables, max_size) -> DataFrame:
-    """Q7 in its archived ``SELECT *`` form (also returns ``log_entry_id``)."""
-    le = t.log_entry.filter(F.col("size_bytes") < F.lit(max_size).cast("bigint"))
-    return le.join(t.log_access_detail, le["id"] == t.log_access_detail["log_entry_id"], "inner") \
-             .select(*S.ENTRY_FIELDS, "log_entry_id", *S.DETAIL_VALUE_FIELDS)

@@ -60,6 +60,9 @@ USER_QUERY_LOG = T.StructType([
     T.StructField("executed_at", T.TimestampType(), False),
 ])
 
+ALL_TABLES = {"log_type": LOG_TYPE, "action_type": ACTION_TYPE, "log_entry": LOG_ENTRY,
+              "log_access_detail": LOG_ACCESS_DETAIL}
+
 ENTRY_FIELDS = [f.name for f in LOG_ENTRY.fields]
 DETAIL_FIELDS = [f.name for f in LOG_ACCESS_DETAIL.fields]
 DETAIL_VALUE_FIELDS = DETAIL_FIELDS[1:]

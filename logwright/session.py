@@ -75,12 +75,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(path.replace("file:", "")) or ".", exist_ok=True)

@@ -8,6 +8,7 @@ is split in two). Nothing here runs in Spark.
 
 from __future__ import annotations
 
+# --- fixed values: model rows, line shapes and RE2 line patterns -----------------
 # Four-table projection of ``events`` (log_type_id typed SMALLINT as in Spark).
 MODEL_CTE = r"""
 log_type(id, name) AS (VALUES (CAST(1 AS SMALLINT),'ACCESS'),(CAST(2 AS SMALLINT),'HDFS_DATAXCEIVER'),(CAST(3 AS SMALLINT),'HDFS_NAMESYSTEM')),

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..operators.joins import bounded_broadcast
 from ..operators.model import Tables, action_type_table, log_type_table
 
 # --- fixed values: event type -> action name --------------------------------
@@ -55,7 +54,7 @@ def fixture_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.when(even, _case(F.col("event_type"), ACCESS_ACTION, ACCESS_ACTION_ELSE)) \
             .otherwise(_case(F.col("event_type"), HDFS_ACTION, HDFS_ACTION_ELSE))
     raw = ev.select("event_id", "ts", "user_id", "value", name.alias("action_name"))
-    act = bounded_broadcast(fixture_action_type(spark), known_rows=len(FIXTURE_ACTIONS))
+    act = fixture_action_type(spark)
     j = raw.join(act, raw["action_name"] == act["name"], "inner")
     uid = F.col("user_id")
     odd = ~even
@@ -87,8 +86,7 @@ def fixture_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The four-table model over ``events`` (wide layout)."""
     return Tables.from_wide(log_type_table(spark), fixture_action_type(spark),
-                            fixture_wide(spark, sf_dir),
-                            action_type_rows=len(FIXTURE_ACTIONS))
+                            fixture_wide(spark, sf_dir))
 
 
 def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

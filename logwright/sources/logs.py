@@ -22,10 +22,5 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def default_paths(root: str) -> dict:
-    """The three default file names below ``root``."""
+    """The default file of each log kind below ``root``, as ``ingest`` takes them."""
     return {k: f"{root.rstrip('/')}/{v}" for k, v in LOG_FILES.items()}
-
-
-def read_logs(spark: SparkSession, paths: dict) -> dict:
-    """``{kind: DataFrame}`` for the kinds present in ``paths``."""
-    return {k: read_log(spark, p) for k, p in paths.items()}

@@ -1,21 +1,28 @@
-"""Parquet store and staged CSV form of the model.
+"""Parquet store of the model (S5-S9, M6): batches made visible by one commit row.
 
 Layout below a root folder::
 
-    log_type/            3 rows
-    action_type/         one row per action name
-    parsed/status=ok/log_type_id=N/log_date=D/   wide rows (entry + detail)
-    parsed/status=rejected/...                   rejected lines with reasons
-
-Accepted rows and rejects come out of one job (one parse of the text): the
-``status`` partition column routes each row. Writes go through Spark's
-commit protocol, so a lost executor only re-runs its tasks; the random
-entry id lives in the same row as both halves, so a retried task can never
-give an entry and its detail different ids.
+    log_type/                                    3 rows
+    batches/                                     the commit log, append only
+    action_type/batch=B/                         names that batch B was first to bring
+    parsed/batch=B/status=ok/log_type_id=N/log_date=D/    wide rows (entry + detail)
+    parsed/batch=B/status=rejected/...                    rejected lines with reasons
+
+A load writes its rows, then its new action names, and last one row to
+``batches``; readers open the folders of committed batches only. A load that
+fails half way therefore shows nothing, and running a batch id again either does
+nothing (it was committed) or overwrites what it left. Every line is parsed once:
+names and row counts come from the written rows. A missing store, or a missing
+folder of a committed batch, is an error, never an empty table.
+
+The random entry id lives in the same row as both halves of an ACCESS entry, so a
+retried task can never give an entry and its detail different ids.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,142 +40,176 @@ WIDE_SCHEMA = T.StructType(
     + list(S.LOG_ACCESS_DETAIL.fields[1:])
     + [T.StructField("action_name", T.StringType()),
        T.StructField("_line", T.StringType()), T.StructField("reject_reason", T.StringType()),
-       T.StructField("kind", T.StringType()),
+       T.StructField("kind", T.StringType()), T.StructField("batch", T.StringType()),
        T.StructField("status", T.StringType()), T.StructField("log_type_id", T.ShortType()),
        T.StructField("log_date", T.DateType())])
 
+BATCHES = T.StructType([
+    T.StructField("seq", T.LongType()), T.StructField("batch", T.StringType()),
+    T.StructField("replaces", T.BooleanType()), T.StructField("ok_rows", T.LongType()),
+    T.StructField("rejected_rows", T.LongType()), T.StructField("new_names", T.LongType())])
+
 
 @dataclass
 class IngestResult:
     tables: M.Tables
     rejects: DataFrame
     root: str
-
-
-def _typed_all(spark: SparkSession, inputs: dict, validate_ips: bool) -> DataFrame:
-    frames = []
+    ok_rows: int
+    rejected_rows: int
+
+
+# --- commit log -------------------------------------------------------------------
+
+def committed(spark: SparkSession, root: str) -> list:
+    """Visible batches, oldest first (one row per load: bounded by the number of loads)."""
+    rows = sorted(spark.read.schema(BATCHES).parquet(f"{root}/batches").collect(), key=lambda r: r["seq"])
+    last = max((i for i, r in enumerate(rows) if r["replaces"]), default=0)
+    return rows[last:]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _commit(spark: SparkSession, root: str, wide: DataFrame, mode: str, batch: str | None) -> tuple[int, int]:
+    """Write the wide rows (with status, kind, ...) of a load and make them visible."""
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"mode {mode}: append or overwrite")
+    batch = batch or uuid.uuid4().hex
+    old = committed(spark, root) if _exists(spark, f"{root}/batches") else []
+    for r in old:
+        if r["batch"] == batch:  # replayed: it is in the store already
+            return r["ok_rows"], r["rejected_rows"]
+    path = f"{root}/parsed/batch={batch}"
+    wide.write.mode("overwrite").partitionBy("status", "log_type_id", "log_date").parquet(path)
+    rows = spark.read.schema(_without_batch()).parquet(path)
+    counts = {r["status"]: r["n"] for r in rows.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
+    dims = rows.filter("status = 'ok'").select(F.col("action_type_id").alias("id"), F.col("action_name").alias("name")) \
+        .filter("name IS NOT NULL").distinct()
+    if mode == "append" and any(r["new_names"] for r in old):
+        have = _read_actions(spark, root, old)
+        M.check_action_ids(have, dims)
+        dims = dims.join(have.select("name"), "name", "left_anti").select("id", "name")
+    else:
+        M.check_action_ids(dims)
+    dims.write.mode("overwrite").parquet(f"{root}/action_type/batch={batch}")
+    names = spark.read.schema(S.ACTION_TYPE).parquet(f"{root}/action_type/batch={batch}").count()
+    if not _exists(spark, f"{root}/log_type/_SUCCESS"):
+        M.log_type_table(spark).write.mode("overwrite").parquet(f"{root}/log_type")
+    seq = max([time.time_ns(), *(r["seq"] + 1 for r in old)])
+    row = (seq, batch, mode == "overwrite", counts.get("ok", 0), counts.get("rejected", 0), names)
+    spark.createDataFrame([row], BATCHES).coalesce(1).write.mode("append").parquet(f"{root}/batches")
+    return row[3], row[4]
+
+
+def _without_batch() -> T.StructType:
+    return T.StructType([f for f in WIDE_SCHEMA.fields if f.name != "batch"])
+
+
+# --- loads ------------------------------------------------------------------------
+
+def _typed_all(spark: SparkSession, inputs: dict, validate_ips: bool) -> tuple[DataFrame | None, list[str]]:
+    """Typed rows of the known kinds, and the kinds that no parser is known for (M7)."""
+    frames, unknown = [], []
     for kind, src in inputs.items():
+        if kind not in P.KINDS:
+            unknown.append(kind)
+            continue
         lines = read_log(spark, src) if isinstance(src, str) else src
         col = "value" if "value" in lines.columns else "line"
         typed = P.parse_typed(lines, kind, line_col=col, validate_ips=validate_ips)
         frames.append(typed.withColumn("kind", F.lit(kind)))
-    return M.union_all(frames)
+    return (M.union_all(frames) if frames else None), unknown
 
 
 def ingest(spark: SparkSession, inputs: dict, root: str, mode: str = "overwrite",
-           validate_ips: bool = True) -> IngestResult:
-    """Parse raw text of each kind and write the store.
-
-    ``inputs`` maps a kind (``access``, ``dataxceiver``, ``namesystem``) to a
-    path (or a DataFrame of lines). One job parses every line once and writes
-    both accepted rows and rejects; a second, small job derives the action
-    dimension from the dictionary-encoded ``action_name`` column.
+           validate_ips: bool = True, batch: str | None = None, rebalance: bool = False) -> IngestResult:
+    """Parse raw text of each kind and load it as one batch.
+
+    ``inputs`` maps a kind (``access``, ``dataxceiver``, ``namesystem``) to a path (or a
+    DataFrame of lines); unknown kinds are skipped. ``batch`` names the load, so that
+    running it again adds nothing. Log files come in time order, so each task writes
+    its own few days and nothing is shuffled; rows are sorted by the partition
+    columns and the action id within the task, which keeps one open file per task and
+    lets readers skip row groups. ``rebalance`` shuffles by partition instead, for
+    inputs that are not in time order.
     """
-    typed = _typed_all(spark, inputs, validate_ips)
-    # One projection, routed by ``status``: each line is read and parsed once;
-    # accepted rows keep no line text, rejects keep the line and reason.
-    w = M.to_wide(typed, id_col=F.lit(None).cast("string"),
-                  extra=["_line", "reject_reason", "kind"])
+    typed, _ = _typed_all(spark, inputs, validate_ips)
+    if typed is None:
+        raise ValueError("no input of a known log kind")
+    w = M.to_wide(typed, id_col=F.lit(None).cast("string"), extra=["_line", "reject_reason", "kind"])
     ok = F.col("reject_reason").isNull()
     routed = w.select(
         *[c for c in w.columns if c not in ("id", "_line", "kind")],
-        F.when(~ok, F.col("_line")).alias("_line_out"),
-        F.when(~ok, F.col("kind")).alias("kind_out"),
+        F.when(~ok, F.col("_line")).alias("_line_out"), F.when(~ok, F.col("kind")).alias("kind_out"),
         F.when(ok, F.lit("ok")).otherwise(F.lit("rejected")).alias("status"),
     ).withColumnRenamed("_line_out", "_line").withColumnRenamed("kind_out", "kind")
-    # Rebalance on the partition columns: AQE splits a hot day/type into
-    # several tasks and merges small ones, so one busy day cannot make one
-    # task write a third of the data. The random id is drawn after this
-    # shuffle, inside the write task: the shuffle's map stage stays
-    # deterministic, and a retried write task simply draws new ids for rows
-    # whose earlier attempt was never committed.
-    both = (routed.hint("rebalance", "status", "log_type_id", "log_date")
-                  .withColumn("id", F.when(F.col("status") == "ok", random_id())))
-    (both.write.mode(mode).partitionBy("status", "log_type_id", "log_date")
-         .parquet(f"{root}/parsed"))
-    M.log_type_table(spark).write.mode("overwrite").parquet(f"{root}/log_type")
-    # Overwrite: names from the store just written (one dictionary-encoded
-    # column). Append: names of the new rows only, so a micro-batch costs
-    # O(batch), not O(store).
-    ok_rows = (read_wide(spark, root) if mode != "append"
-               else typed.filter(F.col("reject_reason").isNull()))
-    new_dim = M.action_type_table(M.action_names(ok_rows))
-    if mode == "append":
-        try:
-            old = spark.read.parquet(f"{root}/action_type")
-            M.check_action_ids(old, new_dim)
-            new_dim = new_dim.join(old.select("name"), "name", "left_anti").select("id", "name")
-        except Exception as e:  # noqa: BLE001 - no dimension yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-    new_dim.write.mode(mode).parquet(f"{root}/action_type")
-    return IngestResult(read_store(spark, root), read_rejects(spark, root), root)
+    if rebalance:
+        routed = routed.hint("rebalance", "status", "log_type_id", "log_date")
+    # The id is drawn in the write task: a retried task draws new ids for rows whose
+    # earlier attempt was never committed.
+    both = (routed.withColumn("id", F.when(F.col("status") == "ok", random_id()))
+                  .sortWithinPartitions("status", "log_type_id", "log_date", "action_type_id"))
+    n = _commit(spark, root, both, mode, batch)
+    return IngestResult(read_store(spark, root), read_rejects(spark, root), root, *n)
+
+
+def append_wide(accepted: DataFrame, root: str, batch: str | None = None) -> int:
+    """Append wide rows (e.g. from ``append_logs``) as one batch; rows added."""
+    none = F.lit(None).cast("string")
+    rows = accepted.select(*S.ENTRY_FIELDS, *S.DETAIL_VALUE_FIELDS, "action_name", "log_date",
+                           none.alias("_line"), none.alias("reject_reason"), none.alias("kind"),
+                           F.lit("ok").alias("status"))
+    return _commit(accepted.sparkSession, root,
+                   rows.sortWithinPartitions("log_type_id", "log_date", "action_type_id"), "append", batch)[0]
+
+
+def load_tables(t: M.Tables, root: str, mode: str = "overwrite", batch: str | None = None) -> dict:
+    """Load separate tables (e.g. staged CSVs) into the store; row counts by table."""
+    le, act = t.log_entry, t.action_type.select(F.col("id").alias("_aid"), F.col("name").alias("action_name"))
+    lad = t.log_access_detail
+    rows = (le.join(lad, le["id"] == lad["log_entry_id"], "left").drop("log_entry_id")
+              .join(act, F.col("action_type_id") == F.col("_aid"), "left")
+              .withColumn("log_date", F.to_date("log_timestamp")))
+    none = F.lit(None).cast("string")
+    wide = rows.select(*S.ENTRY_FIELDS, *S.DETAIL_VALUE_FIELDS, "action_name", "log_date", none.alias("_line"),
+                       none.alias("reject_reason"), none.alias("kind"), F.lit("ok").alias("status"))
+    _commit(le.sparkSession, root, wide.sortWithinPartitions("log_type_id", "log_date", "action_type_id"),
+            mode, batch)
+    s = read_store(le.sparkSession, root)
+    return {"log_type": s.log_type.count(), "action_type": s.action_type.count(),
+            "log_entry": s.log_entry.count(), "log_access_detail": s.log_access_detail.count()}
+
+
+# --- readers ------------------------------------------------------------------------
+
+def _read_actions(spark: SparkSession, root: str, batches: list) -> DataFrame:
+    paths = [f"{root}/action_type/batch={r['batch']}" for r in batches if r["new_names"]]
+    if not paths:
+        return spark.createDataFrame([], S.ACTION_TYPE)
+    return spark.read.schema(S.ACTION_TYPE).parquet(*paths)
+
+
+def _read_status(spark: SparkSession, root: str, status: str, count: str) -> DataFrame:
+    paths = [f"{root}/parsed/batch={r['batch']}/status={status}" for r in committed(spark, root) if r[count]]
+    if not paths:  # committed loads without a row of this kind
+        return spark.createDataFrame([], WIDE_SCHEMA)
+    return spark.read.schema(WIDE_SCHEMA).option("basePath", f"{root}/parsed").parquet(*paths)
 
 
 def read_wide(spark: SparkSession, root: str) -> DataFrame:
-    df = _read_status(spark, root, "ok")
-    return df.select(*S.ENTRY_FIELDS, *S.DETAIL_VALUE_FIELDS, "action_name", "log_date")
-
-
-def _read_status(spark: SparkSession, root: str, status: str) -> DataFrame:
-    """Rows of one ``status`` partition; empty (same schema) if none exist."""
-    reader = spark.read.schema(WIDE_SCHEMA).option("basePath", f"{root}/parsed")
-    try:
-        return reader.parquet(f"{root}/parsed/status={status}")
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], WIDE_SCHEMA)
+    return _read_status(spark, root, "ok", "ok_rows").select(
+        *S.ENTRY_FIELDS, *S.DETAIL_VALUE_FIELDS, "action_name", "log_date")
 
 
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
-    df = _read_status(spark, root, "rejected")
-    return df.select("kind", "log_type_id", F.col("_line").alias("line"),
-                     F.col("reject_reason").alias("reason"))
+    return _read_status(spark, root, "rejected", "rejected_rows").select(
+        "kind", "log_type_id", F.col("_line").alias("line"), F.col("reject_reason").alias("reason"))
 
 
 def read_store(spark: SparkSession, root: str) -> M.Tables:
-    """The four tables of a store (wide layout). The action dimension's
-    row count is recorded once here so queries can prove its broadcast bound."""
-    at = spark.read.schema(S.ACTION_TYPE).parquet(f"{root}/action_type")
+    """The four tables of a store (wide layout)."""
     lt = spark.read.schema(S.LOG_TYPE).parquet(f"{root}/log_type")
-    n = at.count()
-    return M.Tables.from_wide(lt, at, read_wide(spark, root), action_type_rows=n)
-
-
-def append_wide(accepted: DataFrame, root: str) -> None:
-    """Append wide rows (e.g. from :func:`append_logs`) to a store."""
-    (accepted.select(*S.ENTRY_FIELDS, *S.DETAIL_VALUE_FIELDS, "action_name", "log_date",
-                     F.lit(None).cast("string").alias("_line"),
-                     F.lit(None).cast("string").alias("reject_reason"),
-                     F.lit(None).cast("string").alias("kind"), F.lit("ok").alias("status"))
-             .hint("rebalance", "status", "log_type_id", "log_date")
-             .write.mode("append").partitionBy("status", "log_type_id", "log_date")
-             .parquet(f"{root}/parsed"))
-
-
-# --- staged CSV form (S3, S4, S8) --------------------------------------------
-
-CSV_TABLES = {"log_type": S.LOG_TYPE, "action_type": S.ACTION_TYPE,
-              "log_entry": S.LOG_ENTRY, "log_access_detail": S.LOG_ACCESS_DETAIL}
-
-
-def write_csv_tables(t: M.Tables, folder: str) -> None:
-    """One CSV folder per table, header and fixed column order; an empty
-    field stands for NULL, timestamps in ISO-8601 (F14)."""
-    frames = {"log_type": t.log_type, "action_type": t.action_type,
-              "log_entry": t.log_entry, "log_access_detail": t.log_access_detail}
-    for name, df in frames.items():
-        cols = [f.name for f in CSV_TABLES[name].fields]
-        (df.select(*cols).write.mode("overwrite").option("header", True)
-           .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-           .option("emptyValue", "").csv(f"{folder}/{name}"))
-
-
-def read_csv_tables(spark: SparkSession, folder: str) -> M.Tables:
-    """S3: staged CSVs as four separate DataFrames (queries then join)."""
-    rd = (lambda name: spark.read.schema(CSV_TABLES[name]).option("header", True)
-          .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-          .csv(f"{folder}/{name}"))
-    return M.Tables(rd("log_type"), rd("action_type"), rd("log_entry"), rd("log_access_detail"),
-                    None, None, None)
+    return M.Tables.from_wide(lt, _read_actions(spark, root, committed(spark, root)), read_wide(spark, root))

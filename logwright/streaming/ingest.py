@@ -1,12 +1,10 @@
-"""Structured Streaming ingest: new log files -> parsed rows.
+"""Structured Streaming ingest: new log files -> store batches.
 
-The parse is stateless (one line in, zero or more rows out), so no
-watermark or state store is needed; each micro-batch is parsed with the
-same column expressions as the batch path and handed to a sink. With
-``write_store`` as the ``foreachBatch`` sink every batch is appended to the
-Parquet store through the same single-pass write as batch ingest; the
-checkpoint location (in the shared checkpoint folder) makes the stream
-restartable after a driver or executor loss.
+The parse is stateless (one line in, zero or more rows out), so no watermark or
+state store is needed. Each micro-batch is one load of the store under an id made
+of the stream's name and the epoch: replaying an epoch after a failure adds
+nothing. The caller names the checkpoint folder, so a restart goes on where the
+stream stopped.
 """
 
 from __future__ import annotations
@@ -14,64 +12,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schema as S
 from ..operators import parse as P
-from ..session import scratch_path
 
 
-def parsed_stream(spark: SparkSession, kind: str, folder: str, validate_ips: bool = True,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of typed rows (``schema.PARSED`` + ``reject_reason``)."""
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = reader.load(folder)
-    return (P.parse_typed(lines, kind, line_col="value", validate_ips=validate_ips)
-             .withColumn("kind", F.lit(kind)))
+def run_to_store(spark: SparkSession, inputs: dict, root: str, checkpoint: str, name: str = "stream",
+                 available_now: bool = False, max_files_per_trigger: int | None = None):
+    """One stream over the folders of all known kinds, loading each epoch into the store.
 
-
-def run_to_memory(spark: SparkSession, kind: str, folder: str, table: str,
-                  checkpoint: str | None = None) -> DataFrame:
-    """Process every file present now (``availableNow``) into an in-memory
-    table and return the accepted rows; used by tests and the registry."""
-    q = (parsed_stream(spark, kind, folder)
-         .filter(F.col("reject_reason").isNull()).select(*S.PARSED_FIELDS)
-         .writeStream.format("memory").queryName(table).outputMode("append")
-         .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{table}"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.table(table)
-
-
-def run_to_store(spark: SparkSession, inputs: dict, root: str, checkpoint: str | None = None,
-                 available_now: bool = False):
-    """One stream over the folders of all kinds, appending to the store.
-
-    The kinds are unioned into a single streaming query so there is exactly
-    one writer per store (concurrent appends to one path would collide in
-    the committer's staging folder). Each micro-batch goes through the batch
-    ``ingest`` (one parse, one write). The sink is at-least-once: a batch
-    re-run after a failure appends again. With ``available_now`` the stream
-    processes the files present now and stops."""
+    The kinds are unioned into a single streaming query so there is exactly one writer
+    per store. With ``available_now`` the stream processes the files present now and
+    stops. The micro-batch's raw lines are persisted while they are parsed, once.
+    """
     from ..sources.store import ingest
 
-    streams = [spark.readStream.format("text").load(folder).withColumn("kind", F.lit(kind))
-               for kind, folder in inputs.items()]
+    def source(folder):
+        reader = spark.readStream.format("text")
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        return reader.load(folder)
+    kinds = [k for k in inputs if k in P.KINDS]
+    streams = [source(inputs[k]).select("value", F.lit(k).alias("kind")) for k in kinds]
     lines = streams[0]
     for st in streams[1:]:
         lines = lines.unionByName(st)
-    kinds = list(inputs)
 
     def sink(batch: DataFrame, epoch: int) -> None:
         batch.persist()
         try:
             ingest(spark, {k: batch.filter(F.col("kind") == k).select("value") for k in kinds},
-                   root, mode="append")
+                   root, mode="append", batch=f"{name}-{epoch}")
         finally:
             batch.unpersist()
 
-    w = (lines.writeStream.foreachBatch(sink)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "stream")))
+    w = lines.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
     return w.start()

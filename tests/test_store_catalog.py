@@ -9,8 +9,8 @@ from logwright.operators import quality as K
 from logwright.operators.append import append_logs
 from logwright.plans import catalog as C
 from logwright.sources.fixtures import fixture_lines
-from logwright.sources.store import (append_wide, ingest, read_csv_tables, read_store,
-                                     write_csv_tables)
+from logwright.sources import staged_csv
+from logwright.sources.store import append_wide, ingest, load_tables, read_store, read_wide
 
 SF = "/root/testdata/sf0.001"
 
@@ -43,11 +43,88 @@ def test_integrity_clean(spark, store):
 
 def test_csv_roundtrip(spark, store):
     work, res = store
-    write_csv_tables(res.tables, f"{work}/csv")
-    t = read_csv_tables(spark, f"{work}/csv")
+    staged_csv.write_tables(res.tables, f"{work}/csv")
+    staged = staged_csv.read_tables(spark, f"{work}/csv")
+    assert staged.rejects.count() == 0
     a = sorted(tuple(r) for r in C.run(res.tables, 7, {"max_size": 1000}).collect())
-    b = sorted(tuple(r) for r in C.run(t, 7, {"max_size": 1000}).collect())
+    b = sorted(tuple(r) for r in C.run(staged.tables, 7, {"max_size": 1000}).collect())
     assert a == b and len(a) > 0
+    counts = load_tables(staged.tables, f"{work}/from-csv")
+    assert counts["log_entry"] == res.tables.log_entry.count()
+    assert counts["log_access_detail"] == res.tables.log_access_detail.count()
+    assert counts["action_type"] == res.tables.action_type.count() and counts["log_type"] == 3
+
+
+def test_csv_forms_and_rejects(spark, tmp_path):
+    for name in ("log_type", "action_type", "log_access_detail"):
+        (tmp_path / name).mkdir()
+    (tmp_path / "log_type" / "a.csv").write_text("id,name\n1,ACCESS\nx,BAD\n")
+    (tmp_path / "action_type" / "a.csv").write_text("id,name\na,GET\nb\n")
+    (tmp_path / "log_access_detail" / "a.csv").write_text(
+        "log_entry_id,remote_name,auth_user,resource,http_status,referrer,user_agent\n"
+        '1,-,,/x,200,,"say ""q"", x"\n2,-,,/y,2x0,,  padded agent  \n3,-,,/z\\,200,,  padded agent  \n')
+    (tmp_path / "log_entry").mkdir()
+    (tmp_path / "log_entry" / "a.csv").write_text(
+        "id,log_type_id,action_type_id,log_timestamp,source_ip,dest_ip,block_id,size_bytes\n"
+        "1,1,a,2008-11-09T20:35:18,,,,5\n2,1,a,2004-03-07T16:05:49-08:00,,,,\n"
+        "3,1,a,2004-03-07T16:05:49.5Z,,,,\n4,1,a,yesterday,,,,\n5,1,a,,,,,\n")
+    s = staged_csv.read_tables(spark, str(tmp_path))
+    stamps = {r["id"]: r["t"] for r in s.tables.log_entry.select("id", F.date_format(
+        "log_timestamp", "yyyy-MM-dd HH:mm:ss.S").alias("t")).collect()}
+    assert stamps == {"1": "2008-11-09 20:35:18.0", "2": "2004-03-08 00:05:49.0", "3": "2004-03-07 16:05:49.5"}
+    agents = {r["log_entry_id"]: (r["resource"], r["user_agent"]) for r in s.tables.log_access_detail.collect()}
+    assert agents == {"1": ("/x", 'say "q", x'), "3": ("/z\\", "  padded agent  ")}
+    reasons = sorted((r["table"], r["reason"]) for r in s.rejects.collect())
+    assert reasons == [("action_type", "wrong number of columns"), ("log_access_detail", "invalid http_status"),
+                       ("log_entry", "invalid log_timestamp"), ("log_entry", "log_timestamp is required"),
+                       ("log_type", "invalid id")]
+
+
+def test_missing_store_and_lost_facts_fail(spark, store, tmp_path):
+    import shutil
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_store(spark, str(tmp_path / "none"))
+    _, res = store
+    copy = str(tmp_path / "copy")
+    shutil.copytree(res.root, copy)
+    shutil.rmtree(f"{copy}/parsed")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_wide(spark, copy)
+
+
+def test_uncommitted_load_is_invisible_and_replay_adds_nothing(spark, store, tmp_path, monkeypatch):
+    from logwright.sources import store as st
+    line = ('9.9.9.9 - - [07/Mar/2004:16:05:49 -0800] "BREW /a HTTP/1.1" 200 1 "-" "x"',)
+    one = {"access": spark.createDataFrame([line], "value string")}
+    root = str(tmp_path / "s")
+    st.ingest(spark, one, root, batch="a")
+    with monkeypatch.context() as m:
+        def fail(*a):
+            raise RuntimeError("lost")
+        m.setattr(st.M, "check_action_ids", fail)  # after the rows, before the commit
+        with pytest.raises(RuntimeError):
+            st.ingest(spark, one, root, mode="append", batch="b")
+    assert read_wide(spark, root).count() == 1
+    for _ in range(2):
+        r = st.ingest(spark, one, root, mode="append", batch="b")
+        assert (r.ok_rows, r.rejected_rows) == (1, 0) and read_wide(spark, root).count() == 2
+    assert [x["name"] for x in read_store(spark, root).action_type.collect()] == ["BREW"]
+
+
+def test_append_parses_each_line_once(spark, store, tmp_path):
+    from logwright.sources import store as st
+    _, res = store
+    seen = spark.sparkContext.accumulator(0)
+    lines = ['9.9.9.9 - - [07/Mar/2004:16:05:49 -0800] "GET /%d HTTP/1.1" 200 1 "-" "x"' % k for k in range(60)]
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    counted = spark.createDataFrame([(x,) for x in lines], "value string").mapInArrow(count, "value string")
+    root = str(tmp_path / "s")
+    st.ingest(spark, {"access": counted}, root, mode="append")
+    assert seen.value == 60 and read_wide(spark, root).count() == 60
 
 
 def test_append_then_query(spark, store):
@@ -76,20 +153,60 @@ def test_catalog_validation_and_audit(spark, store):
         C.run(res.tables, 1, {"start": "2024-01-10", "end": "2024-01-05"}, audit=audit)
     with pytest.raises(ValueError):
         C.run(res.tables, 3, {}, audit=audit)
-    rows, ms = C.run_collect(res.tables, 2, {"action_name": "GET", "start": "2024-01-01",
-                                             "end": "2024-01-31"}, user_id=7, audit=audit)
-    assert rows and ms >= 0
-    C.run(res.tables, 5, {}, user_id=7, audit=audit)
-    listing = audit.listing().collect()
-    assert [r["query_text"] for r in listing][:2] == ["q05_referrers_multiple_resources",
-                                                     "q02_logs_per_day_for_action"]
+    rows = list(C.run_rows(res.tables, 2, {"action_name": "GET", "start": "2024-01-01",
+                                           "end": "2024-01-31"}, user_id=7, audit=audit))
+    assert rows
+    C.run(res.tables, 5, {}, user_id=7, audit=audit)  # recorded though nobody reads the result
+    listing = C.run(res.tables, 15, {}, user_id=7, audit=audit).collect()
+    assert [r["query_text"] for r in listing] == ["q15_audit_listing", "q05_referrers_multiple_resources",
+                                                  "q02_logs_per_day_for_action"]
+    assert audit.compact(f"{work}/audit2").listing().count() == 3
+
+
+def test_catalog_insert(spark, store):
+    work, res = store
+    audit = C.AuditLog(spark, f"{work}/audit3")
+    req = spark.createDataFrame(
+        [("ACCESS", "GET", "2024-01-08T10:00:00", "8.8.8.8", None, None, "5"),
+         ("ACCESS", "GET", "soon", "8.8.8.8", None, None, "5")],
+        "log_type_name string, action_type_name string, log_timestamp string, source_ip string, "
+        "dest_ip string, block_id string, size_bytes string")
+    n, out = C.insert(res.tables, req, f"{work}/store", audit=audit, batch="insert-1")
+    assert n == 1 and [r["reason"] for r in out.rejected.collect()] == ["invalid log_timestamp"]
+    assert C.insert(res.tables, req, f"{work}/store", audit=audit, batch="insert-1")[0] == 1
+    assert read_wide(spark, f"{work}/store").filter("source_ip = '8.8.8.8'").count() == 1
+
+
+def test_naive_bounds_are_session_time(spark, store, monkeypatch):
+    import time
+    from datetime import datetime
+    _, res = store
+    text = {"start": "2024-01-07 09:00:00", "end": "2024-01-09 11:00:00"}
+    want = sorted(map(tuple, C.run(res.tables, 1, text).collect()))
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        got = C.run(res.tables, 1, {k: datetime.fromisoformat(v) for k, v in text.items()}).collect()
+    finally:
+        monkeypatch.delenv("TZ")
+        time.tzset()
+    assert sorted(map(tuple, got)) == want and want
+
+
+def test_result_orders(spark, store):
+    _, res = store
+    counts = [r["logs"] for r in C.run(res.tables, 1, {"start": "2024-01-01", "end": "2024-02-01"}).collect()]
+    assert counts == sorted(counts, reverse=True) and len(counts) > 2
+    days = [r["total_logs"] for r in C.run(res.tables, 2, {"action_name": "GET", "start": "2024-01-01",
+                                                           "end": "2024-02-01"}).collect()]
+    assert days == sorted(days, reverse=True) and days
 
 
 def test_stream_to_store(spark, store):
     from logwright.streaming.ingest import run_to_store
     work, res = store
     q = run_to_store(spark, {k: f"{work}/raw/{k}" for k in ("access", "dataxceiver", "namesystem")},
-                     f"{work}/streamed", available_now=True)
+                     f"{work}/streamed", f"{work}/stream-ckpt", available_now=True)
     q.awaitTermination()
     t = read_store(spark, f"{work}/streamed")
     assert t.log_entry.count() == res.tables.log_entry.count()
