@@ -11,15 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logwright.llm import line_rules, ngram_join, packing, quality_model, substring_dedup
-from logwright.llm.runtime import prepare, table, written
+from logwright.llm.runtime import Shield, prepare, table, written
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the boosted trees score below the threshold."""
     prepare(spark)
     model = quality_model.train(docs, table(spark, sf_dir, "labels"))
-    scored = quality_model.score(docs, model, out="_quality")
-    return scored.filter(F.col("_quality") >= quality_model.THRESHOLD).drop("_quality")
+    shield = Shield(docs)
+    scored = quality_model.score(shield.inner, model)
+    return shield.restore(scored.filter(F.col("score") >= quality_model.THRESHOLD))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
-from .runtime import prepare, written
+from .runtime import Shield, prepare, written
 from .words import U, mix, slices, windows
 
 MIN_WORDS, MAX_REPEAT, WINDOW = 10, 20, 5
@@ -146,13 +146,11 @@ def judge(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """``docs`` (with text, source) with the rule columns, optionally with ``left_text``.
 
     ``left_text`` is the text without its flagged lines, the other lines unchanged. The
-    input's own ``text`` column is kept only if ``with_text``.
+    input's own ``text`` column is kept only if ``with_text``. Input columns named like a
+    column of the result are replaced.
     """
     prepare(docs.sparkSession)
-    names = {f.name for f in _OUT} | {"left_text"}
-    clash = [c for c in docs.columns if c in names]
-    if clash:
-        raise ValueError(f"columns {clash} exist; rename them first")
+    docs = docs.drop("left_text", "_host", "flagged", *[f.name for f in _OUT])
     flagged = frequent_lines(docs).withColumnRenamed("host", "_host")
     joined = (docs.join(flagged, F.coalesce("source", F.lit("")) == F.col("_host"), "left"))
     keep = [f for f in docs.schema.fields if with_text or f.name != "text"]
@@ -224,16 +222,7 @@ def apply_rules(docs: DataFrame) -> DataFrame:
 
     ``n_chars``, if there, follows the new text where lines were removed.
     """
-    out = judge(docs, with_text=True).filter("kept")
+    shield = Shield(docs, "source")
+    out = judge(shield.inner, with_text=True).filter("kept")
     changed = F.col("left_words") < F.col("n_words")
-    text = F.when(changed, F.col("left_text")).otherwise(F.col("text"))
-    cols = []
-    for c in docs.columns:
-        if c == "text":
-            cols.append(text.alias(c))
-        elif c == "n_chars":
-            cols.append(F.when(changed, F.length("left_text").cast(docs.schema[c].dataType))
-                        .otherwise(F.col(c)).alias(c))
-        else:
-            cols.append(F.col(c))
-    return out.select(*cols)
+    return shield.restore(out, F.when(changed, F.col("left_text")).otherwise(F.col("text")), changed)

@@ -239,8 +239,7 @@ def encode_texts(df: DataFrame, model_path: str, text_col: str = "text",
     from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
     prepare(df.sparkSession)
-    if out_col in df.columns:
-        raise ValueError(f"column {out_col} exists; choose another out_col")
+    df = df.drop(out_col)  # an input column of this name is replaced
 
     def run(batches):
         m = load(model_path)
@@ -258,8 +257,7 @@ def decode_ids(df: DataFrame, model_path: str, ids_col: str = "piece_ids",
     from pyspark.sql.types import StringType, StructField, StructType
 
     prepare(df.sparkSession)
-    if out_col in df.columns:
-        raise ValueError(f"column {out_col} exists; choose another out_col")
+    df = df.drop(out_col)  # an input column of this name is replaced
 
     def run(batches):
         m = load(model_path)

@@ -215,12 +215,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: i
 
 
 def score(docs: DataFrame, model: Trees, out: str = "score") -> DataFrame:
-    """``docs`` with the probability of label 1 for each whole text."""
+    """``docs`` with the probability of label 1 for each whole text, in place of any ``out``."""
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     prepare(docs.sparkSession)
-    if out in docs.columns:
-        raise ValueError(f"column {out} exists; choose another name")
+    docs = docs.drop(out)
 
     def run(batches):
         for b in batches:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
 
@@ -38,3 +39,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+class Shield:
+    """Rows of a table behind a struct, so that no column name can clash with a step's own.
+
+    ``inner`` has ``row`` (all columns but ``text``), ``text`` and the columns named in
+    ``take``; ``restore`` gives the table's columns back, with another text if wanted.
+    """
+
+    def __init__(self, docs: DataFrame, *take: str):
+        self.schema = docs.schema
+        rest = [f.name for f in docs.schema.fields if f.name != "text"]
+        self.inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), "text", *take)
+
+    def restore(self, df: DataFrame, text: Column | None = None, changed: Column | None = None) -> DataFrame:
+        """``changed``: rows whose text is another one; their ``n_chars``, if there, follows it."""
+        text = F.col("text") if text is None else text
+        cols = []
+        for f in self.schema.fields:
+            if f.name == "text":
+                cols.append(text.alias("text"))
+            elif f.name == "n_chars" and changed is not None:
+                cols.append(F.when(changed, F.length(text).cast(f.dataType))
+                            .otherwise(F.col("row.n_chars")).alias("n_chars"))
+            else:
+                cols.append(F.col(f"row.`{f.name}`").alias(f.name))
+        return df.select(*cols)

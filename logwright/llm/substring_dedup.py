@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import prepare, written
+from .runtime import Shield, prepare, written
 from .words import slices, windows
 
 LENGTH = 13
@@ -211,23 +211,22 @@ def covered(found: DataFrame) -> DataFrame:
 def _removed(docs: DataFrame, length: int) -> DataFrame:
     """doc_id, text, gone (hashes of covered windows, or null), copy: every row."""
     texts = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull())
-    # copies of a text: every one but those of its smallest id
+    # copies of a text: every one but those of its smallest id (an id may have several texts)
     marks = texts.filter(F.col("text").isNotNull()).select("doc_id", F.md5("text").alias("m"))
     firsts = marks.groupBy(F.col("m").alias("m1")).agg(F.min("doc_id").alias("first"))
     copies = written(marks.join(firsts, F.col("m") == F.col("m1")).filter(F.col("doc_id") > F.col("first"))
-                     .select("doc_id").distinct(), "copies")
+                     .groupBy("doc_id").agg(F.collect_set("m").alias("marks")), "copies").hint("shuffle_hash")
+    is_copy = F.coalesce(F.array_contains("marks", F.md5("text")), F.lit(False))
     by_id = texts.repartition("doc_id")
-    take_part = by_id.join(copies.hint("shuffle_hash"), "doc_id", "left_anti").select("doc_id", "text")
+    take_part = by_id.join(copies, "doc_id", "left").filter(~is_copy).select("doc_id", "text")
     shared = (shared_anchors(anchors(take_part, length))
               .groupBy("doc_id").agg(F.collect_list("anchor").alias("shared")))
     around = by_id.join(shared.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "shared")
-    gone = (covered(extensions(around, length)).groupBy("doc_id").agg(F.collect_list("a").alias("gone"))
-            .select("doc_id", "gone", F.lit(False).alias("copy"))
-            .union(copies.select("doc_id", F.lit(None).cast("array<long>"), F.lit(True))))
+    gone = covered(extensions(around, length)).groupBy("doc_id").agg(F.collect_list("a").alias("gone"))
     alone = docs.filter(F.col("doc_id").isNull()).select(
-        "doc_id", "text", F.lit(None).cast("array<long>").alias("gone"), F.lit(None).cast("boolean").alias("copy"))
-    return (by_id.join(gone.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "gone", "copy")
-            .unionByName(alone))
+        "doc_id", "text", F.lit(None).cast("array<long>").alias("gone"), F.lit(False).alias("copy"))
+    return (by_id.join(gone.hint("shuffle_hash"), "doc_id", "left").join(copies, "doc_id", "left")
+            .select("doc_id", "text", "gone", is_copy.alias("copy")).unionByName(alone))
 
 
 def _masks(batch: pa.RecordBatch, length: int):
@@ -315,15 +314,7 @@ def apply_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     cut = (dedup_texts(docs, length).dropDuplicates(["doc_id", "t"])
            .withColumnsRenamed({"doc_id": "_id", "t": "_t", "new_text": "_new", "left_words": "_left"}))
-    joined = (docs.join(cut, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_t")), "left")
+    shield = Shield(docs, "doc_id")
+    joined = (shield.inner.join(cut, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_t")), "left")
               .filter(F.coalesce(F.col("_left"), F.lit(1)) > 0))
-    cols = []
-    for c in docs.columns:
-        if c == "text":
-            cols.append(F.coalesce("_new", "text").alias(c))
-        elif c == "n_chars":
-            cols.append(F.when(F.col("_new").isNotNull(), F.length("_new").cast(docs.schema[c].dataType))
-                        .otherwise(F.col(c)).alias(c))
-        else:
-            cols.append(F.col(c))
-    return joined.select(*cols)
+    return shield.restore(joined, F.coalesce("_new", "text"), F.col("_new").isNotNull())
