@@ -24,7 +24,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import prepare
+from .runtime import prepare, written
 
 #: (host, path, verdict)
 HOST_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -105,10 +105,14 @@ def rule_index(urls: DataFrame, patterns=PATTERNS) -> DataFrame:
 
 
 def blocked_urls(pages: DataFrame, patterns=PATTERNS) -> DataFrame:
-    """Distinct urls that a pattern blocks."""
+    """Distinct urls that a pattern blocks.
+
+    The index is written first, so the planner knows its size when it plans the join.
+    """
+    index = written(rule_index(pages, patterns), "rules")
     urls = pages.select("url").filter(F.col("url").isNotNull()).distinct()
     found = (urls.select("url", F.explode(_tokens(F.col("url"))).alias("token"))
-             .join(rule_index(pages, patterns), "token")
+             .join(index, "token")
              .filter(F.regexp_like(F.lower("url"), F.col("regex"))).select("url"))
     for p in sorted(set(patterns)):
         if not tokens_of(p):  # no literal token: runs on every url
