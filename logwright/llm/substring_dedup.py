@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import Shield, prepare, written
-from .words import slices, windows
+from .words import U, mix, slices, windows
 
 LENGTH = 13
 
@@ -78,6 +78,9 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
                 at = np.flatnonzero(member[(np.arange(len(a)) - ptr[text]) % period])
                 # texts without a whole window cannot match
                 at = at[s.n_words[text[at]] >= length]
+                # once per text, in the order of the texts
+                _, one = np.unique(mix(a[at] + mix(text[at].astype(U))), return_index=True)
+                at = at[np.sort(one)]
                 yield pa.RecordBatch.from_arrays(
                     [_signed(a[at]), pa.array(ids[s.first + text[at]])], names=["anchor", "doc_id"])
     return docs.mapInArrow(run, "anchor long, doc_id long")
