@@ -37,6 +37,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of the bitmap in :func:`likely_members`, as a power of two: 2 MB whatever the data.
+BITMAP = 24
+
+
+def likely_members(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may occur in ``ids``; none that does is missing.
+
+    A bitmap of the keys' hashes, at most 2**18 rows of 64 bits, is broadcast: that bound
+    does not depend on the data. It keeps most rows without a partner out of the shuffle
+    of the exact join that must follow; with very many ids it only filters less.
+    """
+    place = lambda c: F.xxhash64(c).bitwiseAND((1 << BITMAP) - 1)
+    words = (ids.select(place(key).alias("p"))
+             .groupBy(F.shiftright("p", 6).alias("_word"))
+             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"),
+                                           F.col("p").bitwiseAND(63).cast("int"))).alias("_bits")))
+    at = place(key)
+    hit = F.call_function("shiftright", F.col("_bits"), at.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+    return (df.join(F.broadcast(words), F.shiftright(at, 6) == F.col("_word")).filter(hit)
+            .drop("_word", "_bits"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
