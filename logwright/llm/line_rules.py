@@ -5,8 +5,7 @@ hashed; per host (the ``source`` column, null counts as the empty name) each lin
 distinct documents are counted, equal texts being one document. A line found in
 more than ``max(LINE_FLOOR, LINE_SHARE percent of the host's documents)`` of them is
 boilerplate and is removed. A document is rejected when it fails the word rules or
-is depleted: fewer than ``MIN_WORDS`` words or less than ``KEEP_SHARE`` percent of
-its words are left.
+is depleted: less than ``KEEP_SHARE`` percent of its words are left.
 
 Counting pre-aggregates: (host, line, document) triples are made distinct first and
 then counted with partial sums, so a line that a third of all documents hold is no
@@ -184,7 +183,7 @@ def judge(docs: DataFrame, with_text: bool = False) -> DataFrame:
                 np.concatenate(c).astype(np.int64) if parts else np.zeros(0, np.int64)
                 for c in (zip(*parts) if parts else [()] * 6))
             failed = (n < MIN_WORDS) | (100 * repeat > MAX_REPEAT * n)
-            kept = ~failed & (left >= MIN_WORDS) & (100 * left >= KEEP_SHARE * n)
+            kept = ~failed & (100 * left >= KEEP_SHARE * n)
             cols = [pa.array(c) for c in (n, chars, symbols, dup, repeat, failed, left, kept)]
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(f.name) for f in keep), *cols,

@@ -94,10 +94,10 @@ counts AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, left_words,
   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
   NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
-    AND left_words >= __WORDS__ AND 100 * left_words >= __KEEP__ * n_words AS kept
+    AND 100 * left_words >= __KEEP__ * n_words AS kept
 FROM counts""".replace("__FLOOR__", str(line_rules.LINE_FLOOR)).replace(
     "__SHARE__", str(line_rules.LINE_SHARE)).replace(
-    "__WORDS__", str(line_rules.MIN_WORDS)).replace("__KEEP__", str(line_rules.KEEP_SHARE))
+    "__KEEP__", str(line_rules.KEEP_SHARE))
 
 
 @_query("op10_quality_rules", _RULES)
