@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
 
+#: Rows and bytes of an Arrow batch at most.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2048,
+         "spark.sql.execution.arrow.maxBytesPerBatch": 32 << 20}
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -19,6 +22,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     ``--py-files``; the extra path is then without effect.
     """
     configure(spark)
+    # Whole texts travel in Arrow batches: few rows and bytes in each.
+    for key, most in BATCH.items():
+        now = spark.conf.get(key, None)
+        if now is None or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:

@@ -169,7 +169,7 @@ def brute_rules(texts, sources):
                    if 100 * len(counts[s or "", " ".join(WORD.findall(fold(x)))]) > limit)
         failed = len(w) < 10 or 100 * len(cover) > 20 * len(w)
         left = len(w) - gone
-        kept = not failed and left >= line_rules.MIN_WORDS and 100 * left >= line_rules.KEEP_SHARE * len(w)
+        kept = not failed and 100 * left >= line_rules.KEEP_SHARE * len(w)
         out.append((len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)),
                     len(cover), failed, left, kept))
     return out
@@ -254,3 +254,13 @@ def test_packed_documents(spark):
     total = sum(r["length"] for r in rows)
     assert len(seqs) <= -(-total // 1024) + 1
     assert packing.pack_documents(docs_of(spark, []), path).count() == 0
+
+
+def test_likely_members_miss_none(spark, monkeypatch):
+    from logwright.llm import runtime
+    df = spark.range(5000).withColumnRenamed("id", "doc_id")
+    ids = df.filter("doc_id % 50 = 7")
+    for bits, most in ((24, 110), (8, 5000)):
+        monkeypatch.setattr(runtime, "BITMAP", bits)
+        got = {r["doc_id"] for r in runtime.likely_members(df, ids, "doc_id").collect()}
+        assert {r["doc_id"] for r in ids.collect()} <= got and len(got) <= most
