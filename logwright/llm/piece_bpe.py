@@ -15,7 +15,8 @@ Exactness of cutting. No piece of the vocabulary holds the blank mark after
 another character and none spans a character that is outside the vocabulary
 (both are checked when a model is loaded), so no merge crosses a blank or such a
 character. Texts are cut there and each different chunk is encoded once per
-worker (bounded cache). A vocabulary for which the first check fails is encoded
+worker (bounded cache), cut further between characters that no piece holds side by
+side. A vocabulary for which the first check fails is encoded
 with whole texts as chunks.
 
 Null texts count as empty; empty texts encode to the end id only.
@@ -35,7 +36,7 @@ from .runtime import prepare
 BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Chunks whose ids a worker keeps, and the longest chunk that is kept.
-CACHE_CHUNKS, CACHE_CHARS = 400_000, 48
+CACHE_CHUNKS, CACHE_PARTS, CACHE_CHARS = 700_000, 200_000, 48
 
 
 class Model:
@@ -62,16 +63,22 @@ class Model:
                 self.ids[piece] = i
                 self.score[piece] = proc.get_score(i)
         self.known = {c for c in self.ids if len(c) == 1}
+        self._plain = frozenset(self.ids.values())
         self.cut_at_blank = not any(BLANK in p.lstrip(BLANK) for p in self.ids)
         if not all(c in self.known for p in self.ids for c in p) or len(self.bytes) != 256:
             raise ValueError("model needs single characters for all pieces and byte fallback")
         self.auto = ahocorasick.Automaton()
         for p, i in self.ids.items():
-            self.auto.add_word(p, (len(p), i))
+            self.auto.add_word(p, i)
         self.auto.make_automaton()
-        self._fits: dict[tuple[int, int], bool] = {}
-        self._alone: dict[int, bool] = {}
-        self._cache: dict[str, str] = {}
+        self._decimal = [f" {i}" for i in range(n)]
+        # two characters that no piece holds side by side never merge: a place to cut
+        self._pairs = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self._size = [len(p) for p in self.pieces]
+        # by left neighbour: whether a piece is compatible; the last row is the start of a string
+        self._fits: list[dict[int, bool]] = [{} for _ in range(n + 1)]
+        self._words: dict[str, str] = {}  # words after a blank
+        self._cache: dict[str, str] = {}  # parts of words and other chunks
 
     # --- merging, used on two pieces only ---------------------------------
     def merged(self, text: str) -> list[str]:
@@ -88,66 +95,50 @@ class Model:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def alone(self, i: int) -> bool:
-        ok = self._alone.get(i)
-        if ok is None:
-            ok = self._alone[i] = self.merged(self.pieces[i]) == [self.pieces[i]]
-        return ok
-
     def fits(self, a: int, b: int) -> bool:
-        ok = self._fits.get((a, b))
-        if ok is None:
-            p, q = self.pieces[a], self.pieces[b]
-            if len(self._fits) > 2_000_000:
-                self._fits.clear()
-            ok = self._fits[(a, b)] = self.merged(p + q) == [p, q]
+        """Whether piece b may follow piece a (or start a string, if a is past the last id)."""
+        left = [self.pieces[a]] if a < len(self.pieces) else []
+        parts = [*left, self.pieces[b]]
+        ok = self._fits[a][b] = self.merged("".join(parts)) == parts
         return ok
 
     # --- backtracking -------------------------------------------------------
     def span(self, text: str) -> list[int]:
         """Ids of a string of known characters."""
-        n = len(text)
-        starts: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, found in self.auto.iter(text):  # ends ascend: shortest first
-            starts[end - found[0] + 1].append(found)
-        fits, alone, known = self.fits, self.alone, self._fits
+        n, size, rows = len(text), self._size, self._fits
+        starts: list[list[int]] = [[] for _ in range(n + 1)]
+        for end, i in self.auto.iter(text):  # ends ascend: shortest first
+            starts[end + 1 - size[i]].append(i)
         dead = bytearray(n + 1)  # bitfield of failed positions
         ids: list[int] = []
-        undo: list[tuple[int, list[tuple[int, int]], int]] = []
-        pos, options = 0, starts[0] if n else []
+        undo: list[tuple[int, int]] = []
+        last, pos = len(self.pieces), 0
+        options = starts[0]
         k = len(options)  # next option: options[k - 1]
-        last = -1
         while pos < n:
-            found = False
+            row = rows[last]
             while k:
                 k -= 1
-                size, i = options[k]
-                if dead[pos + size]:
+                i = options[k]
+                if dead[pos + size[i]]:
                     continue
-                if last < 0:
-                    ok = alone(i)
-                else:
-                    ok = known.get((last, i))
-                    if ok is None:
-                        ok = fits(last, i)
-                if ok:
-                    found = True
-                    break
-            if found:
-                undo.append((pos, options, k))
-                ids.append(i)
-                last = i
-                pos += size
-                if pos < n:
+                ok = row.get(i)
+                if ok or (ok is None and self.fits(last, i)):
+                    undo.append((pos, k))
+                    ids.append(i)
+                    last = i
+                    pos += size[i]
                     options = starts[pos]
                     k = len(options)
+                    break
             else:
                 if not undo:
                     raise ValueError("no compatible sequence")
                 dead[pos] = 1
-                pos, options, k = undo.pop()
+                pos, k = undo.pop()
+                options = starts[pos]
                 ids.pop()
-                last = ids[-1] if ids else -1
+                last = ids[-1] if ids else len(self.pieces)
         return ids
 
     def chunk(self, text: str) -> list[int]:
@@ -180,6 +171,8 @@ class Model:
 
     def marked(self, ids) -> str:
         """Text of ids with blanks still marked; byte pieces join into characters."""
+        if self._plain.issuperset(ids):
+            return "".join([self.pieces[i] for i in ids])
         out, raw = [], bytearray()
         for i in ids:
             b = self.byte_of.get(i)
@@ -205,13 +198,35 @@ class Model:
         """Decimal ids of a chunk, a blank before each; checked to decode to the chunk.
 
         A chunk ends at a character border, so the decoded texts of chunks can be joined.
+        Chunks are cut further between characters that no piece holds side by side.
         """
+        pairs, cache = self._pairs, self._cache
+        cuts = [k for k in range(1, len(chunk)) if chunk[k - 1:k + 1] not in pairs]
+        if not cuts:
+            return self._line(chunk)
+        out = []
+        for a, z in zip([0, *cuts], [*cuts, len(chunk)]):
+            part = chunk[a:z]
+            got = cache.get(part)
+            if got is None:
+                got = self._line(part)
+                if z - a <= CACHE_CHARS and len(cache) < CACHE_PARTS:
+                    cache[part] = got
+            out.append(got)
+        return "".join(out)
+
+    def word(self, word: str) -> str:
+        """:meth:`line` of a word after a blank, kept under the bare word."""
+        line = self.line(BLANK + word)
+        if len(word) < CACHE_CHARS and len(self._words) < CACHE_CHUNKS:
+            self._words[word] = line
+        return line
+
+    def _line(self, chunk: str) -> str:
         ids = self.chunk(chunk)
         if self.marked(ids) != chunk:
             raise ValueError(f"ids do not decode to {chunk!r}")
-        line = "".join([f" {i}" for i in ids])
-        if len(chunk) <= CACHE_CHARS and len(self._cache) < CACHE_CHUNKS:
-            self._cache[chunk] = line
+        line = "".join([self._decimal[i] for i in ids])
         return line
 
     def digest(self, text: str) -> tuple[int, str, str]:
@@ -220,10 +235,15 @@ class Model:
         Every chunk's ids have been decoded and compared (``line``), so the decoded
         text is the joined chunks.
         """
-        get, line = self._cache.get, self.line
-        parts = self.chunks(text)
-        ids = "".join([get(c) or line(c) for c in parts]) + f" {self.eos}"
-        back = self.unmark("".join(parts))
+        if self.cut_at_blank and text and not ("  " in text or text[0] == " " or text[-1] == " " or BLANK in text):
+            get, word = self._words.get, self.word
+            ids = "".join([get(w) or word(w) for w in text.split(" ")]) + f" {self.eos}"
+            back = text
+        else:
+            get, line = self._cache.get, self.line
+            parts = self.chunks(text)
+            ids = "".join([get(c) or line(c) for c in parts]) + f" {self.eos}"
+            back = self.unmark("".join(parts))
         return (ids.count(" "), hashlib.sha256(ids[1:].encode()).hexdigest(),
                 hashlib.sha256(back.encode()).hexdigest())
 
