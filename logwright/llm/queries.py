@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
@@ -136,7 +138,27 @@ def op4(spark, sf_dir):
 _SAID = "</s>[INST] ok [/INST]"
 
 
-@_query("op5_chat_trees")
+def _chat_sql() -> str:
+    q = lambda t: "'" + t.replace("'", "''") + "'"
+    marks = "|".join(re.escape(c) for c in chat_trees.CONTROLS)
+    extra = (lambda c: f"(length({c}) + length(regexp_replace({c}, '[^\\\\]', '', 'g')) "
+                       f"+ len(regexp_extract_all({c}, {q(marks)})))")
+    frame = len(chat_trees.START) + len(chat_trees.END) + 2
+    return f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', {q(_SAID)} UNION ALL SELECT -1, 1, 'assistant', {q(_SAID)})
+SELECT conv_id, COUNT(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+    AS loss_sha256,
+  CAST(sum({frame} + {extra('role')} + length(regexp_replace(role, '[^\n]', '', 'g')) + {extra('text')}) AS BIGINT)
+    AS formatted_chars
+FROM c GROUP BY conv_id"""
+
+
+@_query("op5_chat_trees", _chat_sql())
 def op5(spark, sf_dir):
     fixed = spark.createDataFrame([(-1, 0, "user", _SAID), (-1, 1, "assistant", _SAID)],
                                   "conv_id long, turn long, role string, text string")
@@ -144,12 +166,49 @@ def op5(spark, sf_dir):
     return chat_trees.digests(chat_trees.format_trees(chat_trees.linear(rows), top=1))
 
 
-@_query("op1_ngram_join")
+_WORDS = """
+d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents)"""
+
+#: For tables with one row per id.
+_JOIN_SQL = "WITH RECURSIVE" + _WORDS + """,
+starts AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0),
+runs AS (SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM starts),
+marks AS (SELECT doc_id, md5(string_agg(s, chr(10) ORDER BY s)) AS m FROM runs GROUP BY doc_id),
+copies AS (SELECT doc_id, count(*) OVER (PARTITION BY m) - 1 AS n_copies FROM marks),
+sets AS (SELECT DISTINCT doc_id, s FROM runs),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id <> y.doc_id
+  GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 5 * c >= 4 * (p.n + q.n - c)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+groups AS (SELECT a, min(b) AS least FROM reach GROUP BY a),
+degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT d.doc_id, CAST(least(d.doc_id, coalesce(g.least, d.doc_id)) AS BIGINT) AS group_id,
+  CAST(coalesce(e.n, 0) AS BIGINT) AS n_links, CAST(coalesce(c.n_copies, 0) AS BIGINT) AS n_copies
+FROM d LEFT JOIN groups g ON g.a = d.doc_id LEFT JOIN degrees e ON e.a = d.doc_id LEFT JOIN copies c ON c.doc_id = d.doc_id"""
+
+
+@_query("op1_ngram_join", _JOIN_SQL)
 def op1(spark, sf_dir):
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
-@_query("op2_substring_dedup")
+#: For tables with one row per id.
+_DEDUP_SQL = "WITH" + _WORDS + """,
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM starts),
+firsts AS (SELECT g, min(doc_id) AS f FROM win GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, i + k AS p, true AS g FROM win JOIN firsts USING (g), range(0, 13) AS r(k)
+  WHERE doc_id > f),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p)
+  GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+@_query("op2_substring_dedup", _DEDUP_SQL)
 def op2(spark, sf_dir):
     return substring_dedup.dedup_digests(table(spark, sf_dir, "documents"))
 
