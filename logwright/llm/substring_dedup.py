@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from .runtime import Shield, prepare, written
 from .words import U, mix, slices, windows
@@ -69,8 +70,8 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            ids = b.column(0).to_numpy()
-            for s in slices(b.column(1)):
+            ids = b.column("doc_id").to_numpy()
+            for s in slices(b.column("text")):
                 a, ptr = windows(s.hashes(), s.ptr, size)
                 if not len(a):
                     continue
@@ -144,13 +145,13 @@ def extensions(docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            ids, known = b.column(0).to_numpy(), b.column(2)
+            ids, known = b.column("doc_id").to_numpy(), b.column("shared")
             have = np.flatnonzero(known.is_valid().to_numpy(zero_copy_only=False))
             if not len(have):
                 continue
             known = known.take(pa.array(have))
             flat, off = known.flatten().to_numpy(), np.concatenate([[0], np.cumsum(known.value_lengths().to_numpy())])
-            for s in slices(b.column(1).take(pa.array(have))):
+            for s in slices(b.column("text").take(pa.array(have))):
                 h = s.hashes()
                 a, ap = windows(h, s.ptr, size)
                 w, wp = windows(h, s.ptr, length)
@@ -211,9 +212,13 @@ def covered(found: DataFrame) -> DataFrame:
             .mapInArrow(run, "doc_id long, a long"))
 
 
-def _removed(docs: DataFrame, length: int) -> DataFrame:
-    """doc_id, text, gone (hashes of covered windows, or null), copy: every row."""
-    texts = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull())
+def _removed(docs: DataFrame, length: int, *carry: str) -> DataFrame:
+    """doc_id, text, gone (hashes of covered windows, or null), copy: every row.
+
+    Columns to ``carry`` go through every pass, so that all passes read the same exchange.
+    """
+    cols = ["doc_id", "text", *carry]
+    texts = docs.select(*cols).filter(F.col("doc_id").isNotNull())
     # copies of a text: every one but those of its smallest id (an id may have several texts)
     marks = texts.filter(F.col("text").isNotNull()).select("doc_id", F.md5("text").alias("m"))
     firsts = marks.groupBy(F.col("m").alias("m1")).agg(F.min("doc_id").alias("first"))
@@ -221,15 +226,15 @@ def _removed(docs: DataFrame, length: int) -> DataFrame:
                      .groupBy("doc_id").agg(F.collect_set("m").alias("marks")), "copies").hint("shuffle_hash")
     is_copy = F.coalesce(F.array_contains("marks", F.md5("text")), F.lit(False))
     by_id = texts.repartition("doc_id")
-    take_part = by_id.join(copies, "doc_id", "left").filter(~is_copy).select("doc_id", "text")
+    take_part = by_id.join(copies, "doc_id", "left").filter(~is_copy).select(*cols)
     shared = (shared_anchors(anchors(take_part, length))
               .groupBy("doc_id").agg(F.collect_list("anchor").alias("shared")))
-    around = by_id.join(shared.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "shared")
+    around = by_id.join(shared.hint("shuffle_hash"), "doc_id", "left").select(*cols, "shared")
     gone = covered(extensions(around, length)).groupBy("doc_id").agg(F.collect_list("a").alias("gone"))
     alone = docs.filter(F.col("doc_id").isNull()).select(
-        "doc_id", "text", F.lit(None).cast("array<long>").alias("gone"), F.lit(False).alias("copy"))
+        *cols, F.lit(None).cast("array<long>").alias("gone"), F.lit(False).alias("copy"))
     return (by_id.join(gone.hint("shuffle_hash"), "doc_id", "left").join(copies, "doc_id", "left")
-            .select("doc_id", "text", "gone", is_copy.alias("copy")).unionByName(alone))
+            .select(*cols, "gone", is_copy.alias("copy")).unionByName(alone))
 
 
 def _masks(batch: pa.RecordBatch, length: int):
@@ -274,50 +279,45 @@ def dedup_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
-def dedup_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, t, new_text, left_words) of the rows that lose words, written.
+def _cut(s, k: int, kept: np.ndarray) -> bytes:
+    """The kept words of a text with the white space between them; around a removed part
+    one newline stays if it held one, else one blank."""
+    parts, last = [], None
+    at = np.flatnonzero(kept) + s.ptr[k]
+    for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1) if len(at) else []:
+        lo, hi = int(s.starts[run[0]]), int(s.ends[run[-1]])
+        if last is not None:
+            parts.append(b"\n" if 10 in s.data[last:lo] else b" ")
+        parts.append(s.data[lo:hi].tobytes())
+        last = hi
+    return b"".join(parts)
+
+
+def apply_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` without the repeated parts; documents that lose every word go.
 
-    ``t`` is the hash of the old text. Kept words keep the white space between them; around
-    a removed part one newline stays if it held one, else one blank.
+    ``n_chars``, if there, follows the new text. Other columns stay as they are, and so
+    does the text of a document that loses nothing.
     """
     prepare(docs.sparkSession)
+    shield = Shield(docs, "doc_id")
+    schema = StructType([shield.inner.schema["row"], StructField("text", StringType()),
+                         StructField("changed", BooleanType())])
 
     def run(batches):
         for b in batches:
-            ids, old, new, left = b.column("doc_id"), b.column("t"), [], []
-            rows = []
+            rows, texts, changed, old = [], [], [], b.column("text")
             for row, s, k, n, kept in _masks(b, length):
                 if kept is None or kept.all():
-                    continue
-                at = np.flatnonzero(kept) + s.ptr[k]
-                parts, last = [], None
-                if len(at):
-                    cut = np.flatnonzero(np.diff(at) > 1) + 1
-                    for run_ in np.split(at, cut):
-                        lo, hi = int(s.starts[run_[0]]), int(s.ends[run_[-1]])
-                        if last is not None:
-                            parts.append(b"\n" if 10 in s.data[last:lo] else b" ")
-                        parts.append(s.data[lo:hi].tobytes())
-                        last = hi
-                rows.append(row)
-                new.append(b"".join(parts).decode())
-                left.append(len(at))
-            take = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([ids.take(take), old.take(take), pa.array(new, pa.string()),
-                                              pa.array(left, pa.int64())],
-                                             names=["doc_id", "t", "new_text", "left_words"])
-    marked = _removed(docs, length).withColumn("t", F.xxhash64("text"))
-    return written(marked.mapInArrow(run, "doc_id long, t long, new_text string, left_words long"), "cut")
-
-
-def apply_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` without the repeated parts; documents that lose every word go.
-
-    ``n_chars``, if there, follows the new text. Other columns stay as they are.
-    """
-    cut = (dedup_texts(docs, length).dropDuplicates(["doc_id", "t"])
-           .withColumnsRenamed({"doc_id": "_id", "t": "_t", "new_text": "_new", "left_words": "_left"}))
-    shield = Shield(docs, "doc_id")
-    joined = (shield.inner.join(cut, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_t")), "left")
-              .filter(F.coalesce(F.col("_left"), F.lit(1)) > 0))
-    return shield.restore(joined, F.coalesce("_new", "text"), F.col("_new").isNotNull())
+                    rows.append(row)
+                    texts.append(old[row].as_py())
+                    changed.append(False)
+                elif kept.any():
+                    rows.append(row)
+                    texts.append(_cut(s, k, kept).decode())
+                    changed.append(True)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("row").take(pa.array(rows, pa.int64())), pa.array(texts, pa.string()),
+                 pa.array(changed, pa.bool_())], names=["row", "text", "changed"])
+    out = _removed(shield.inner, length, "row").select("row", "text", "gone", "copy").mapInArrow(run, schema)
+    return shield.restore(out, changed=F.col("changed"))
