@@ -31,13 +31,13 @@ QUERY_CALLS = {
     "q04": lambda t: Q.q04_top_blocks_by_actions_per_day(t, *R.Q04),
     "q05": lambda t: Q.q05_referrers_multiple_resources(t),
     "q06": lambda t: Q.q06_second_most_common_resource(t),
-    "q07": lambda t: Q.q07_access_logs_below_size(t, 1000),
+    "q07": lambda t: Q.q07_access_logs_below_size(t, R.Q07),
     "q08": lambda t: Q.q08_blocks_rep_and_serv_same_day(t),
     "q09": lambda t: Q.q09_blocks_rep_and_serv_same_day_hour(t),
     "q10": lambda t: Q.q10_access_logs_by_user_agent_version(t, R.Q10),
     "q11": lambda t: Q.q11_ips_with_method_in_range(t, *R.Q11),
     "q12": lambda t: Q.q12_ips_with_two_methods_in_range(t, *R.Q12),
-    "q13": lambda t: Q.q13_ips_with_n_methods_in_range(t, "ACCESS", 3, R.Q13[2], R.Q13[3]),
+    "q13": lambda t: Q.q13_ips_with_n_methods_in_range(t, *R.Q13),
 }
 
 
@@ -45,16 +45,8 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     work = tempfile.mkdtemp(prefix="bench-", dir="/tmp")
-    # The derived raw text is only ~10 MB at sf0.1: below the default 4 MB
-    # open cost Spark would not split it across all cores, and AQE would
-    # coalesce the rebalanced rows into one 64 MB-target write task. Both
-    # sizes are scaled down to the bench data here; at cluster scale the
-    # defaults (128 MB splits, 64 MB shuffle partitions) apply.
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus,
-                          extra={"spark.checkpoint.dir": f"{work}/ckpt",
-                                 "spark.sql.files.openCostInBytes": str(512 * 1024),
-                                 "spark.sql.adaptive.advisoryPartitionSizeInBytes":
-                                     str(1024 * 1024)})
+                          extra={"spark.checkpoint.dir": f"{work}/ckpt"})
     spark.sparkContext.setCheckpointDir(f"{work}/ckpt")
 
     kinds = ("access", "dataxceiver", "namesystem")
