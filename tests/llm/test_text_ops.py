@@ -94,6 +94,25 @@ def test_join_edges(spark):
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 5, 7, 8, 9]
 
 
+def test_hot_family_hides_no_hard_pair(spark):
+    """Pairs at exactly 0.8 are found whatever easy pairs the table holds besides."""
+    rng = random.Random(11)
+    word = iter(range(10 ** 9))
+    fresh = lambda: f"u{next(word)}"
+    pairs, base = 1200, [fresh() for _ in range(300)]
+    texts = []
+    for _ in range(pairs):  # 45 shingles, 40 of them shared: 40 / 50
+        w = [fresh() for _ in range(49)]
+        texts += [" ".join(w), " ".join([*w[:20], fresh(), *w[21:]])]
+    for _ in range(400):  # 79,800 pairs above 0.9
+        k = rng.randrange(300)
+        texts.append(" ".join([*base[:k], fresh(), *base[k + 1:]]))
+    assert 5 * len(shingles(texts[0]) & shingles(texts[1])) == 4 * len(shingles(texts[0]) | shingles(texts[1]))
+    got = {r["doc_id"]: r for r in ngram_join.join(docs_of(spark, texts)).collect()}
+    assert [k for k in range(0, 2 * pairs, 2) if (got[k]["n_links"], got[k + 1]["group_id"]) != (1, k)] == []
+    assert all(got[k]["n_links"] == 399 for k in range(2 * pairs, len(texts)))
+
+
 def brute_dedup(texts, ids):
     first, words = {}, [WORD.findall(t or "") for t in texts]
     for i, w in sorted(zip(ids, words), key=lambda x: (x[0] is None, x[0])):
