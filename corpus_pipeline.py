@@ -46,7 +46,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     import public_tokenizers
 
     prepare(spark)
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
 
 
 STAGES = [("quality_classifier", quality_classifier), ("quality_rules", quality_rules),

@@ -106,15 +106,18 @@ def load(path: str):
     """Byte-level BPE of a ``tokenizers`` file; gives the same ids, several times faster.
 
     Merging by the ids of merged tokens is what this kind of file describes when its
-    merges are listed in the order of their ids, which is checked here. Strings of
-    special tokens inside a text are ordinary text.
+    merges are listed in the order of their ids, which is checked here. The file's added
+    tokens are known to it; whether their strings inside a text count is said per call.
     """
     import tiktoken
     from public_tokenizers import PATTERN
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    special = {t["content"] for t in spec.get("added_tokens", [])}
+    special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+    if any(t[k] for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip")) \
+            or any(a != b and a.startswith(b) for a in special for b in special):
+        raise ValueError("added tokens that are not found as plain strings")
     vocab = {t: i for t, i in spec["model"]["vocab"].items() if t not in special}
     merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
     ids = [vocab[a + b] for a, b in merges]
@@ -125,7 +128,7 @@ def load(path: str):
     back = {chr(b): b for b in plain}
     back |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in back.values())}
     ranks = {bytes(back[c] for c in t): i for t, i in vocab.items()}
-    return tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def borders(n: int, capacity: int) -> list[int]:
@@ -142,11 +145,13 @@ _PIECE = StructType([
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 2,
-                 with_ids: bool = False) -> DataFrame:
+                 with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """Pieces of all texts: doc_id, piece, start, length, ids_crc32 (and ids).
 
     ``part`` and ``nth`` number the pieces of a length within a partition. A null or
-    empty text is the end id alone. Repeated rows are further documents.
+    empty text is the end id alone. Repeated rows are further documents. With
+    ``added_tokens``, the string of an added token inside a text is that token, as the
+    library reads it by default; else it is ordinary text (``encode_special_tokens``).
     """
     prepare(docs.sparkSession)
     schema = StructType([*_PIECE.fields, StructField("ids", ArrayType(IntegerType()))]) \
@@ -154,12 +159,13 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
 
     def run(batches):
         enc = load(tokenizer_path)
+        allowed = enc.special_tokens_set if added_tokens else set()
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for b in batches:
             cols = [[] for _ in schema.fields]
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = enc.encode_to_numpy(text.as_py() or "", disallowed_special=())
+                ids = enc.encode_to_numpy(text.as_py() or "", allowed_special=allowed, disallowed_special=())
                 n = len(ids) + 1
                 raw = ids.astype("<u4").tobytes() + end_id.to_bytes(4, "little")
                 cut = borders(n, capacity)
@@ -222,11 +228,12 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 2,
-                   with_ids: bool = False) -> DataFrame:
+                   with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """All documents cut and packed into sequences of at most ``capacity`` tokens.
 
     Returns doc_id, piece, start, length, ids_crc32, (ids,) sequence_id, offset;
-    further input columns are ignored, a null doc_id stays null.
+    further input columns are ignored, a null doc_id stays null. ``added_tokens`` as in
+    ``token_pieces``; the query and the pipeline ask for it.
     """
-    pieces = written(token_pieces(docs, tokenizer_path, capacity, end_id, with_ids), "pieces")
+    pieces = written(token_pieces(docs, tokenizer_path, capacity, end_id, with_ids, added_tokens), "pieces")
     return assign(pieces, capacity)

@@ -275,6 +275,32 @@ def test_packed_documents(spark):
     assert packing.pack_documents(docs_of(spark, []), path).count() == 0
 
 
+def test_added_tokens_are_read_as_by_the_library(spark, tmp_path):
+    """The registered query against the library's default settings."""
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from logwright.llm import queries
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    rng = random.Random(12)
+    texts = [mark, f"a {mark} b", f"{mark}{mark} x", f"<|{mark}|>", "<|endoftext", f"x  {mark}  \n y{mark}", "a b", None,
+             "".join(rng.choice([mark, " word", "  ", "\n", "é", "<|", "don't"]) for _ in range(3000))]
+    docs_of(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    by = {}
+    for r in queries.QUERIES["op6_best_fit_packing"](spark, str(tmp_path)).collect():
+        by.setdefault(r["doc_id"], []).append(r)
+    for k, t in enumerate(texts):
+        ids = tok.encode(t or "", add_special_tokens=False).ids + [2]
+        parts = sorted(by[k], key=lambda r: r["piece"])
+        assert (50256 in ids) == (mark in (t or "")) and sum(r["length"] for r in parts) == len(ids)
+        for r in parts:
+            cut = ids[r["start"]:r["start"] + r["length"]]
+            assert r["ids_crc32"] == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in cut))
+
+
 def test_likely_members_miss_none(spark, monkeypatch):
     from logwright.llm import runtime
     df = spark.range(5000).withColumnRenamed("id", "doc_id")
