@@ -42,11 +42,11 @@ def substring_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokenize and pack into sequences of 1024 tokens."""
+    """Tokenize and pack into sequences of 1024 tokens; each piece comes with its ids."""
     import public_tokenizers
 
     prepare(spark)
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True, added_tokens=True)
 
 
 STAGES = [("quality_classifier", quality_classifier), ("quality_rules", quality_rules),
@@ -58,7 +58,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of all documents that the stages keep."""
+    """The packed pieces, with their token ids, of all documents that the stages keep."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)

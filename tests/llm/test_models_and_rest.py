@@ -252,6 +252,22 @@ def test_pipeline_stages(spark):
     assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in docs.collect()}
 
 
+def test_pipeline_returns_the_token_ids(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["some words <|endoftext|> and more", "x y " * 3000, "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = corpus_pipeline.STAGES[-1][1](spark, docs, SF).orderBy("doc_id", "piece").collect()
+    seqs = {}
+    for r in rows:
+        seqs.setdefault(r["sequence_id"], []).extend(range(r["offset"], r["offset"] + len(r["ids"])))
+    assert all(sorted(at) == list(range(len(at))) and len(at) <= 1024 for at in seqs.values())
+    for k, t in enumerate(texts):
+        got = [i for r in rows if r["doc_id"] == k for i in r["ids"]]
+        assert got == tok.encode(t or "", add_special_tokens=False).ids + [2]
+
+
 def test_pipeline_on_nothing(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
