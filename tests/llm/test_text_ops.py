@@ -113,6 +113,19 @@ def test_hot_family_hides_no_hard_pair(spark):
     assert all(got[k]["n_links"] == 399 for k in range(2 * pairs, len(texts)))
 
 
+def test_repeated_ids_are_judged_by_row(spark):
+    a, b, c, d, e, f, g = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcdefg")
+    rows = [(3, b), (5, a), (5, b + " z"), (6, c), (6, d), (7, e), (7, e + " z"), (7, f), (8, ""), (8, ""), (8, g),
+            (8, g), (9, "g  " + d), (9, None), (None, a), (10, f)]
+    df = docs_of(spark, [t for _, t in rows], [i for i, _ in rows])
+    out = ngram_join.one_of_each(df)
+    assert out.columns == df.columns and dict(out.dtypes) == dict(df.dtypes)
+    kept = Counter((r["doc_id"], r["text"].replace(" z", "") if r["text"] else r["text"]) for r in out.collect())
+    # 5's second text is 3's, 9's first is 6's, 10's is 7's
+    assert kept == Counter([(3, b), (5, a), (6, c), (6, d), (7, e), (7, f), (8, ""), (8, ""), (8, g), (9, None),
+                            (None, a)])
+
+
 def brute_dedup(texts, ids):
     first, words = {}, [WORD.findall(t or "") for t in texts]
     for i, w in sorted(zip(ids, words), key=lambda x: (x[0] is None, x[0])):
