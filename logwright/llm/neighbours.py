@@ -2,15 +2,13 @@
 
 Method. A table rotates unit vectors by three rounds of random signs and a fast
 Hadamard transform (padded to a power of two) and assigns them to the nearest signed
-axis; with ``hashes`` = 2 two such rotations make the bucket. Queries probe, in each
-table, the buckets whose axes are nearest to them. Candidates of a bucket are scored
+axis, which is its bucket. Queries probe, in each table, the buckets whose axes are nearest to them. Candidates of a bucket are scored
 with the exact cosine in double precision, and the best of all tables are kept.
 
 The number of probes is chosen on a bounded sample (``SAMPLE`` vectors by a hash of
 the id) by brute force so that recall there reaches ``TARGET``; the sample is
 thinner than the table, its neighbours are further away, so recall over the whole
-table is higher. Two hashes are used when they reach the target with up to
-``MAX_PROBES`` probes and one would leave buckets above ``BLOCK`` rows.
+table is higher. The rule is the same for tables of any size.
 
 Spark's part. Rows and probes of a bucket meet in a cogroup whose groups are bounded:
 buckets with more than ``BLOCK`` rows or ``QUERY_BLOCK`` probes are dealt to blocks by
@@ -34,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .runtime import prepare, written
 
-TABLES, SAMPLE, TARGET, MAX_PROBES = 8, 4096, 0.97, 256
+TABLES, SAMPLE, TARGET = 8, 4096, 0.97
 BLOCK, QUERY_BLOCK = 4096, 2048
 PROBES = (4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256)
 TOP, EVERY = 5, 50
@@ -90,7 +88,7 @@ def buckets(x: np.ndarray, table: int, hashes: int, probes: int) -> np.ndarray:
     return code
 
 
-def settings(sample: np.ndarray, rows: int, top: int = TOP) -> tuple[int, int]:
+def settings(sample: np.ndarray, top: int = TOP) -> tuple[int, int]:
     """(hashes, probes) for vectors of one dimension, from a bounded sample."""
     x = unit(sample)
     q = x[: max(1, min(len(x), 256))]
@@ -101,16 +99,15 @@ def settings(sample: np.ndarray, rows: int, top: int = TOP) -> tuple[int, int]:
     if k < 1:
         return 1, width
     near = np.argpartition(-cos, k - 1, axis=1)[:, :k]
-    for hashes in ((2, 1) if rows > BLOCK * width else (1,)):
-        for probes in itertools.chain(PROBES, [width]):
-            if probes > (MAX_PROBES if hashes == 2 else width):
-                continue
-            hit = np.zeros(near.shape, bool)
-            for t in range(TABLES):
-                own = buckets(x, t, hashes, 1)[:, 0]
-                hit |= (own[near][:, :, None] == buckets(q, t, hashes, probes)[:, None, :]).any(axis=2)
-            if hit.mean() >= TARGET:
-                return hashes, probes
+    for probes in itertools.chain(PROBES, [width]):
+        if probes > width:
+            continue
+        hit = np.zeros(near.shape, bool)
+        for t in range(TABLES):
+            own = buckets(x, t, 1, 1)[:, 0]
+            hit |= (own[near][:, :, None] == buckets(q, t, 1, probes)[:, None, :]).any(axis=2)
+        if hit.mean() >= TARGET:
+            return 1, probes
     return 1, width
 
 
@@ -211,10 +208,10 @@ def nearest(vectors: DataFrame, top: int = TOP, every: int = EVERY, id_col: str
     sizes = {r["d"]: r["n"] for r in
              base.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = {}
-    for d, n in sizes.items():
+    for d in sizes:
         some = (base.filter(F.size("embedding") == d).orderBy(F.xxhash64("vec_id"), "vec_id")
                 .limit(SAMPLE).select("embedding").collect())  # bounded sample
-        plan[d] = settings(np.array([r["embedding"] for r in some], np.float64).reshape(-1, d), n, top)
+        plan[d] = settings(np.array([r["embedding"] for r in some], np.float64).reshape(-1, d), top)
     queries = base.filter(F.col("vec_id") % every == 0)
     found = written(_ranked(_meet(_hashed(base, plan, False), _hashed(queries, plan, True), top), top), "near")
     # the exact way for queries with too few candidates: all rows of their dimension, in blocks

@@ -134,6 +134,30 @@ def test_neighbours_recall_and_ties(spark, monkeypatch):
         assert [f[1] for f in got[750]] == [700, 701, 702, 703, 704]
 
 
+def test_neighbours_search_is_the_same_on_either_side_of_a_size(spark, monkeypatch):
+    """Tables above BLOCK x width rows are searched as smaller ones are: here 16 x 64 < 1500."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(60, 24))[rng.integers(0, 60, 1500)] + 0.2 * rng.normal(size=(1500, 24))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    plans, hashed = [], neighbours._hashed
+    monkeypatch.setattr(neighbours, "_hashed", lambda v, plan, p: plans.append(dict(plan)) or hashed(v, plan, p))
+    got = []
+    for block in (4096, 16):
+        monkeypatch.setattr(neighbours, "BLOCK", block)
+        got.append(sorted((r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.nearest(df).collect()))
+    assert plans[0] == plans[-1] and got[0] == got[1]
+
+
+def test_neighbours_recall_on_a_given_table(spark):
+    rows = spark.read.parquet(f"{BIG}/embeddings.parquet").select("vec_id", "embedding").collect()
+    x = np.array([r["embedding"] for r in rows], float)
+    want = _nearest([r["vec_id"] for r in rows], x, neighbours.EVERY, neighbours.TOP)
+    found = {(r["query_id"], r["vec_id"]) for r in queries.QUERIES["op4_nearest_neighbours"](spark, BIG).collect()}
+    recall = np.mean([(q, i) in found for q, near in want.items() for i, _ in near])
+    print(f"recall {recall:.4f} of {sum(map(len, want.values()))}, {len(rows)} rows")
+    assert recall >= 0.9
+
+
 def test_neighbours_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]),
