@@ -292,6 +292,53 @@ def test_pipeline_returns_the_token_ids(spark):
         assert got == tok.encode(t or "", add_special_tokens=False).ids + [2]
 
 
+def test_pipeline_run_keeps_what_plain_python_keeps(spark, monkeypatch, tmp_path):
+    """run() over a small table: ids kept after each stage, and the final ids, by plain Python."""
+    import public_tokenizers
+    from test_text_ops import WORD, brute_dedup, brute_links, brute_rules
+    from tokenizers import Tokenizer
+    rng = random.Random(13)
+    make = lambda n: [f"{rng.choice('abcdefgh')}{rng.randrange(900)}" for _ in range(n)]
+    base, passage = make(120), make(30)
+    texts = [" ".join(make(80)) for _ in range(12)]
+    texts += [" ".join([*base[:k], "other", *base[k + 1:]]) for k in (20, 50, 90)]  # near copies
+    texts += [" ".join(make(40) + passage + make(40)) for _ in range(4)]  # a shared passage
+    texts += [texts[2], "few words", "p q r s t " * 20, "", "bad " + " ".join(make(60)), "bad " + " ".join(make(60)),
+              "<|endoftext|> " + " ".join(make(60))]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    bad = lambda t: t.startswith("bad ")
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(quality_model, "train", lambda *a, **k: None)
+    monkeypatch.setattr(quality_model, "score", lambda d, m: d.withColumn(
+        "score", F.when(F.col("text").startswith("bad "), 0.0).otherwise(1.0)))
+    seen, keep = {}, corpus_pipeline.written
+    monkeypatch.setattr(corpus_pipeline, "written", lambda d, name: seen.setdefault(name, keep(d, name)))
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ids = lambda name: sorted(r["doc_id"] for r in seen[name].collect())
+    left = [k for k, t in enumerate(texts) if not bad(t)]
+    assert ids("quality_classifier") == left
+    judged = brute_rules([texts[k] for k in left], ["s"] * len(left))
+    left = [k for k, w in zip(left, judged) if w[-1]]
+    assert ids("quality_rules") == left
+    _, group = brute_links([texts[k] for k in left])
+    left = [k for n, k in enumerate(left) if group[n] == n]
+    assert ids("near_duplicates") == left
+    cut = brute_dedup([texts[k] for k in left], left)
+    assert ids("substring_duplicates") == [k for k, (n, w) in zip(left, cut) if w or not n]
+    assert any(0 < len(w) < n for n, w in cut) and len(left) < len(texts) - 6
+    final = {r["doc_id"]: r["text"] for r in seen["substring_duplicates"].collect()}
+    assert [WORD.findall(final[k]) for k in left] == [w for _, w in cut]
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = {}
+    for r in sorted(rows, key=lambda r: (r["doc_id"], r["piece"])):
+        got.setdefault(r["doc_id"], []).extend(r["ids"])
+    assert got == {k: tok.encode(t, add_special_tokens=False).ids + [2] for k, t in final.items()}
+
+
 def test_pipeline_on_nothing(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
