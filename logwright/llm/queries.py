@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import (chat_trees, line_rules, neighbours, ngram_join, packing, piece_bpe, quality_model,
+from . import (chat_trees, infill, line_rules, neighbours, ngram_join, packing, piece_bpe, quality_model,
                substring_dedup, toxicity, url_rules)
 from .runtime import prepare, table
 
@@ -213,6 +213,29 @@ def op2(spark, sf_dir):
     return substring_dedup.dedup_digests(table(spark, sf_dir, "documents"))
 
 
+_INFILL_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+  sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+x AS (SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (len(w) + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (len(w) + 1) AS c2,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+    OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= {100 - infill.PLAIN} THEN 'plain'
+  WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < {infill.SPM} THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, array_to_string(w[1:least(c1, c2)], '') AS a,
+  array_to_string(w[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+  array_to_string(w[greatest(c1, c2) + 1:], '') AS z FROM x)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(a) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || m
+    ELSE '<S>' || z || '<P>' || a || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p"""
+
+
+@_query("op13_fill_in_middle", _INFILL_SQL)
+def op13(spark, sf_dir):
+    return infill.digests(infill.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
 @_query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
