@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import (chat_trees, infill, line_rules, neighbours, ngram_join, packing, piece_bpe, quality_model,
-               substring_dedup, toxicity, url_rules)
+from . import (chat_trees, infill, language, line_rules, neighbours, ngram_join, packing, periodic_runs, piece_bpe,
+               quality_model, substring_dedup, toxicity, url_rules)
 from .runtime import prepare, table
 
 QUERIES: dict = {}
@@ -213,6 +213,17 @@ def op2(spark, sf_dir):
     return substring_dedup.dedup_digests(table(spark, sf_dir, "documents"))
 
 
+@_query("op11_periodic_runs")
+def op11(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return periodic_runs.digests(periodic_runs.find_runs(docs, periodic_runs.planted_tail))
+
+
+@_query("op12_language_id")
+def op12(spark, sf_dir):
+    return language.classify(table(spark, sf_dir, "documents"))
+
+
 _INFILL_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
   sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
