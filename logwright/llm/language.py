@@ -188,18 +188,20 @@ def _sample(docs: DataFrame, bound: int) -> DataFrame:
     """
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()) \
         .withColumn("order", F.xxhash64("doc_id", "text").bitwiseAND((1 << 62) - 1))
-    sizes = known.groupBy("lang").agg(F.approx_count_distinct("order", 0.02).alias("n"))
-    limit = (F.lit(1.12 * (bound + 6 * bound ** 0.5)) / F.col("n")) * float(1 << 62)
-    return known.join(sizes, "lang").filter(F.col("order") < limit).select("doc_id", "text", "lang", "order")
+    sizes = (known.groupBy("lang").agg(F.approx_count_distinct("order", 0.02).alias("n"))
+             .limit(LANGUAGES + 1).collect())
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    limits = [(r["lang"], min(1.12 * (bound + 6 * bound ** 0.5) / r["n"], 1.0) * (1 << 62)) for r in sizes]
+    limits = docs.sparkSession.createDataFrame(limits, "lang string, most double")
+    return (known.join(F.broadcast(limits), "lang")  # LANGUAGES rows at most
+            .filter(F.col("order") <= F.col("most")).select("doc_id", "text", "lang", "order"))
 
 
 def train(docs: DataFrame, modulus: int = 4, rest: int = 2, bound: int = SAMPLE) -> Model:
     """Centroids of at most ``bound`` rows a language outside the held-out ids."""
     prepare(docs.sparkSession)
     learned = docs.select("doc_id", "text", "lang").filter(~L.held_out(F.col("doc_id"), modulus, rest))
-    found = learned.filter(F.col("lang").isNotNull()).select("lang").distinct().limit(LANGUAGES + 1).count()
-    if found > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
 
     def vectors(batches):
         for b in batches:
