@@ -19,15 +19,18 @@ def held_out(doc_id: Column, modulus: int, rest: int) -> Column:
     return F.coalesce(remainder(doc_id, modulus) == F.lit(rest), F.lit(False))
 
 
-def sample_ids(labels: DataFrame, label: str, modulus: int, rest: int, bound: int = SAMPLE) -> DataFrame:
+def sample_ids(labels: DataFrame, label: str, modulus: int, rest: int, bound: int = SAMPLE,
+               docs: DataFrame | None = None) -> DataFrame:
     """(doc_id, y) of at most ``bound`` labelled documents outside the held-out rows.
 
     Chosen by a hash of the id, so that the sample is spread over the table and the same
     in every run. Repeated labels of an id count by their majority (a tie as 1); null
-    labels and ids are left out.
+    labels and ids are left out, and with ``docs`` so are ids that no document has.
     """
     known = labels.select("doc_id", F.col(label).alias("y")).filter(
         F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("doc_id"), modulus, rest))
     votes = known.groupBy("doc_id").agg(F.avg("y").alias("y"))
+    if docs is not None:
+        votes = votes.join(docs.select("doc_id"), "doc_id", "left_semi")
     return (votes.select("doc_id", (F.col("y") >= 0.5).cast("int").alias("y"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound))

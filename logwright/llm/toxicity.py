@@ -7,10 +7,11 @@ per text. FTRL-proximal keeps a learning rate per
 coordinate and, through L1, leaves most weights at exactly zero: the model is a
 short list of (place, weight) that goes to the workers with the scoring function.
 
-Fitting uses a bounded sample (``labels.SAMPLE`` documents of up to ``FIT_CHARS``
-characters), dealt by a hash of the id to tasks of about ``SHARD`` documents that each
-run FTRL over their part; the weights are averaged.
-Scoring reads every whole text once. Scores depend on the text alone.
+Fitting uses a bounded sample: ``labels.SAMPLE`` documents, their whole texts. In the order of a
+hash of the id they are dealt to groups of equal shares of feature bytes, as many as keep
+each near ``SHARD_BYTES`` (a document has 4 MB of features at most); every group
+runs FTRL over its part and the weights are averaged. Scoring reads every whole text
+once. Scores depend on the text alone.
 
 Nulls: a null text is an empty text (its score is that of no feature); null ids are
 scored and never held out. Repeated rows give a row each.
@@ -20,15 +21,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import labels as L
-from .runtime import prepare
+from .runtime import prepare, written
 from .words import U, mix, slices
 
 BITS, EPOCHS = 20, 5
-SHARD, FIT_CHARS = 5_000, 200_000
+#: Feature bytes of one fitting group, and what a document counts besides its features.
+SHARD_BYTES, ROW_BYTES = 48 << 20, 64
 STEMS = (4, 5, 6)
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.1
 THRESHOLD = 0.3
@@ -84,14 +86,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int
           bound: int = L.SAMPLE) -> tuple[np.ndarray, np.ndarray]:
     """(places, weights), sorted by place, fitted on at most ``bound`` labelled documents.
 
-    Of repeated rows of an id the text with the smallest hash is taken. Without labels
-    the list is empty and every score is 0.5.
+    Of repeated rows of an id the text with the smallest hash is taken. Without labelled
+    documents the list is empty and every score is 0.5.
     """
     prepare(docs.sparkSession)
-    ids = L.sample_ids(labels, label, modulus, rest, bound)  # bounded: may be broadcast
-    shards = max(1, -(-ids.count() // SHARD))
-    chosen = (docs.select("doc_id", "text").filter(F.coalesce(F.length("text"), F.lit(0)) <= FIT_CHARS)
-              .join(F.broadcast(ids), "doc_id")
+    ids = L.sample_ids(labels, label, modulus, rest, bound, docs)  # bounded: may be broadcast
+    chosen = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
               .withColumn("order", F.coalesce(F.xxhash64("text"), F.lit(0))))
 
     def places(batches):
@@ -112,10 +112,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int
         at, w = ftrl([np.frombuffer(x, "<i4") for x in pdf["x"]], pdf["y"].to_numpy(np.float64))
         return type(pdf)({"place": at, "weight": w})
 
-    rows = (chosen.select("doc_id", "text", "y", "order")
-            .mapInArrow(places, "doc_id long, y int, order long, x binary")
-            .groupBy("doc_id").agg(F.min_by("y", "order").alias("y"), F.min_by("x", "order").alias("x"))
-            .withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    sample = written(chosen.select("doc_id", "text", "y", "order")
+                     .mapInArrow(places, "doc_id long, y int, order long, x binary")
+                     .groupBy("doc_id").agg(F.min_by("y", "order").alias("y"), F.min_by("x", "order").alias("x"))
+                     .withColumn("bytes", F.length("x") + ROW_BYTES), "toxicity-sample")
+    total = sample.agg(F.sum("bytes")).first()[0] or 0
+    shards = max(1, -(-total // SHARD_BYTES))
+    # at most ``bound`` rows of an id and a size
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    share = F.floor(F.coalesce(F.sum("bytes").over(before), F.lit(0)) * shards / F.lit(max(total, 1)))
+    dealt = sample.select("doc_id", "bytes").select("doc_id", share.alias("shard"))
+    rows = (sample.join(F.broadcast(dealt), "doc_id")
             .groupBy("shard").applyInPandas(run, "place long, weight double")
             .groupBy("place").agg((F.sum("weight") / F.lit(shards)).alias("weight"))
             .orderBy("place").collect())  # bounded: at most 2**BITS places, L1 leaves few
