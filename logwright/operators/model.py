@@ -31,6 +31,13 @@ from ..functions.timestamps import day_of
 WIDE_EXTRA = ["action_name", "log_date"]
 
 
+@dataclass
+class Rollups:
+    """Counts kept beside a store: whole days of a range need no row."""
+    days: DataFrame      # log_date, log_type_id, action_type_id, rows
+    blocks: DataFrame    # log_date, block_id, actions (rows with an action type)
+
+
 @dataclass
 class Tables:
     log_type: DataFrame
@@ -38,28 +45,32 @@ class Tables:
     log_entry: DataFrame
     log_access_detail: DataFrame
     wide: DataFrame | None = None          # entry + detail in one row, if stored so
+    rollups: Rollups | None = None
 
     @staticmethod
     def from_wide(log_type: DataFrame, action_type: DataFrame, wide: DataFrame) -> "Tables":
         return Tables(log_type, action_type, entries_of(wide), details_of(wide), wide)
 
-    def entries_in(self, lo=None, hi=None, closed: bool = True) -> DataFrame:
+    def entries_in(self, lo=None, hi=None, closed: bool = True, days=None) -> DataFrame:
         """``log_entry`` restricted to ``lo <= ts <= hi`` (``< hi`` when not
         closed). With the wide layout the matching ``log_date`` partitions
-        are pruned as well (a superset predicate, the ts bound decides)."""
+        are pruned as well (a superset predicate, the ts bound decides), and
+        ``days`` may be a further condition on ``log_date``."""
         src = self.wide if self.wide is not None else self.log_entry
         ts = F.col("log_timestamp")
         cond = F.lit(True)
         if lo is not None:
-            cond = cond & (ts >= _lit_like(lo, src, "log_timestamp"))
+            cond = cond & (ts >= lit_like(lo, src, "log_timestamp"))
         if hi is not None:
-            h = _lit_like(hi, src, "log_timestamp")
+            h = lit_like(hi, src, "log_timestamp")
             cond = cond & ((ts <= h) if closed else (ts < h))
         if "log_date" in src.columns:
             if lo is not None:
-                cond = cond & (F.col("log_date") >= F.to_date(_lit_like(lo, src, "log_timestamp")))
+                cond = cond & (F.col("log_date") >= F.to_date(lit_like(lo, src, "log_timestamp")))
             if hi is not None:
-                cond = cond & (F.col("log_date") <= F.to_date(_lit_like(hi, src, "log_timestamp")))
+                cond = cond & (F.col("log_date") <= F.to_date(lit_like(hi, src, "log_timestamp")))
+            if days is not None:
+                cond = cond & days(F.col("log_date"))
         out = src.filter(cond)
         return entries_of(out) if self.wide is not None else out
 
@@ -78,7 +89,7 @@ class Tables:
         return entries_of(out) if self.wide is not None else out
 
 
-def _lit_like(value, df: DataFrame, col: str):
+def lit_like(value, df: DataFrame, col: str):
     """Literal of the column's own timestamp type (LTZ or NTZ).
 
     A naive datetime is wall-clock time of the session zone, as text is; a bare
@@ -97,9 +108,15 @@ def entries_of(wide: DataFrame) -> DataFrame:
     return wide.select(*S.ENTRY_FIELDS)
 
 
+def has_detail(wide: DataFrame):
+    """Whether a wide row holds a detail: parsed ACCESS rows always do, loaded ones say so."""
+    access = F.col("log_type_id") == S.ACCESS
+    return access & F.coalesce("has_detail", F.lit(True)) if "has_detail" in wide.columns else access
+
+
 def details_of(wide: DataFrame) -> DataFrame:
-    """``log_access_detail`` rows: one per ACCESS entry (K4 by construction)."""
-    return (wide.filter(F.col("log_type_id") == S.ACCESS)
+    """``log_access_detail`` rows: at most one per ACCESS entry (K4 by construction)."""
+    return (wide.filter(has_detail(wide))
                 .select(F.col("id").alias("log_entry_id"), *S.DETAIL_VALUE_FIELDS))
 
 

@@ -97,6 +97,9 @@ KINDS = {
 ARCHIVED_ACCESS = LogKind("access", S.ACCESS, (ACCESS_ALT_ARCHIVED,), access=True)
 
 
+NO_MATCH = "no match"
+
+
 @dataclass
 class Parsed:
     """Typed rows (``schema.PARSED`` columns + passthrough) and rejects."""
@@ -144,16 +147,18 @@ def _action(kind: LogKind) -> Column:
 
 def _typed(classified: DataFrame, kind: LogKind, keep: Sequence[str], line_col: str,
            validate_ips: bool) -> DataFrame:
-    """Typed columns + ``reject_reason`` (NULL for good rows)."""
+    """Typed columns, ``first_of_line`` (a line's first row) and ``reject_reason`` (NULL for good rows)."""
     has_list = any("dest_list" in a.fields for a in kind.alternatives)
     df = classified
+    first = F.lit(True)
     if has_list:
         # One row per destination of a replicate line (P6); other lines keep
         # one row through a single NULL element.
         tokens = F.filter(F.split(_field(kind, "dest_list"), r"\s+"), lambda t: t.contains(":"))
-        df = df.withColumn("_dest_tok", F.explode(
+        df = df.select("*", F.posexplode(
             F.when(_field(kind, "dest_list").isNotNull(), tokens)
-             .otherwise(F.array(F.lit(None).cast("string")))))
+             .otherwise(F.array(F.lit(None).cast("string")))).alias("_place", "_dest_tok"))
+        first = F.col("_place") == 0
         dest = F.coalesce(F.when(F.col("_dest_tok").isNotNull(), host_part(F.col("_dest_tok"))),
                           empty_to_null(_field(kind, "dest")))
     else:
@@ -182,10 +187,10 @@ def _typed(classified: DataFrame, kind: LogKind, keep: Sequence[str], line_col:
         "referrer": dash_to_null(_field(kind, "referrer")),
         "user_agent": empty_to_null(_field(kind, "agent")),
     }
-    df = df.select(*keep, F.col(line_col).alias("_line"), "_alt",
+    df = df.select(*keep, F.col(line_col).alias("_line"), "_alt", first.alias("first_of_line"),
                    *[c.alias(n) for n, c in cols.items()],
                    size_raw.alias("_size_raw"), block_raw.alias("_block_raw"))
-    reason = (F.when(F.col("_alt").isNull(), "no match")
+    reason = (F.when(F.col("_alt").isNull(), NO_MATCH)
                .when(F.col("log_timestamp").isNull(), "bad timestamp")
                .when(F.col("_block_raw").isNotNull() & F.col("block_id").isNull(), "bad block id")
                .when(F.col("_size_raw").isNotNull() & F.col("size_bytes").isNull(), "bad size"))

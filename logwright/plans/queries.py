@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..operators.model import Tables
+from ..operators.model import Tables, has_detail, lit_like
 
 RESULT_14 = S.ENTRY_FIELDS + S.DETAIL_VALUE_FIELDS
 
@@ -34,11 +34,30 @@ def _day(df: DataFrame):
     return F.col("log_date") if "log_date" in df.columns else F.to_date("log_timestamp")
 
 
+def _action_counts(t: Tables, start, end) -> DataFrame:
+    """(day, action_type_id, n) of ``start <= ts <= end``; a pair may come twice.
+
+    The whole days inside the range are read from the rollup, and rows only on the days at
+    its two ends."""
+    per = ["day", "action_type_id"]
+    lo, hi = (lit_like(v, t.wide, "log_timestamp") for v in (start, end))
+    first = F.when(lo == F.date_trunc("day", lo), F.to_date(lo)).otherwise(F.date_add(F.to_date(lo), 1))
+    last = F.to_date(hi)  # its own day is an edge: the bound is closed
+    edge = t.entries_in(start, end, closed=True, days=lambda d: (d < first) | (d == last))
+    counted = edge.groupBy(F.to_date("log_timestamp").alias("day"), "action_type_id").agg(F.count(F.lit(1)).alias("n"))
+    whole = (t.rollups.days.filter((F.col("log_date") >= first) & (F.col("log_date") < last))
+             .select(F.col("log_date").alias("day"), "action_type_id", F.col("rows").alias("n")))
+    return counted.select(*per, "n").unionByName(whole)
+
+
 # Q1 -------------------------------------------------------------------------
 def q01_total_logs_per_action_type(t: Tables, start, end) -> DataFrame:
     """Logs per action name with ``start <= ts <= end``, most first."""
-    per_id = (t.entries_in(start, end, closed=True)
-               .groupBy("action_type_id").agg(F.count(F.lit(1)).alias("n")))
+    if t.rollups is None:
+        per_id = (t.entries_in(start, end, closed=True)
+                   .groupBy("action_type_id").agg(F.count(F.lit(1)).alias("n")))
+    else:
+        per_id = _action_counts(t, start, end)
     act = _actions(t)
     # Names may repeat in the dimension: the few rows per id are added up by name.
     return (per_id.join(act, per_id["action_type_id"] == act["id"], "inner")
@@ -50,11 +69,17 @@ def q01_total_logs_per_action_type(t: Tables, start, end) -> DataFrame:
 # Q2 -------------------------------------------------------------------------
 def q02_logs_per_day_for_action(t: Tables, action_name, start, end) -> DataFrame:
     """Logs per day for one action with ``start <= ts <= end``; by count."""
-    le = t.entries_in(start, end, closed=True)
     act = _actions(t, [action_name])
-    return (le.join(act, le["action_type_id"] == act["id"], "inner")
-              .groupBy(F.to_date(le["log_timestamp"]).alias("day"))
-              .agg(F.count(F.lit(1)).alias("total_logs"))
+    if t.rollups is None:
+        le = t.entries_in(start, end, closed=True)
+        per_day = (le.join(act, le["action_type_id"] == act["id"], "inner")
+                     .groupBy(F.to_date(le["log_timestamp"]).alias("day"))
+                     .agg(F.count(F.lit(1)).alias("total_logs")))
+    else:
+        n = _action_counts(t, start, end)
+        per_day = (n.join(act, n["action_type_id"] == act["id"], "inner")
+                    .groupBy("day").agg(F.sum("n").cast("bigint").alias("total_logs")))
+    return (per_day
               # One row per day of the range: a single-partition sort.
               .repartition(1).sortWithinPartitions(F.desc("total_logs")))
 
@@ -82,11 +107,16 @@ def q03_most_common_action_per_source_ip(t: Tables, day) -> DataFrame:
 def q04_top_blocks_by_actions_per_day(t: Tables, start_day, end_day, limit: int = 5) -> DataFrame:
     """Top ``limit`` (block, day) pairs by non-NULL action count, days in
     ``[start_day, end_day)``. Ties are broken by block id, then day."""
-    le = t.entries_on_days(start_day, end_day, hi_inclusive=False)
-    return (le.filter(F.col("block_id").isNotNull())
-              .groupBy("block_id", F.to_date("log_timestamp").alias("day"))
-              .agg(F.count("action_type_id").cast("bigint").alias("total_actions"))
-              .orderBy(F.desc("total_actions"), F.asc("block_id"), F.asc("day"))
+    if t.rollups is None:
+        le = t.entries_on_days(start_day, end_day, hi_inclusive=False)
+        per = (le.filter(F.col("block_id").isNotNull())
+                 .groupBy("block_id", F.to_date("log_timestamp").alias("day"))
+                 .agg(F.count("action_type_id").cast("bigint").alias("total_actions")))
+    else:  # days are whole: no row is read
+        day = F.col("log_date")
+        per = (t.rollups.blocks.filter((day >= F.lit(start_day).cast("date")) & (day < F.lit(end_day).cast("date")))
+                .groupBy("block_id", day.alias("day")).agg(F.sum("actions").cast("bigint").alias("total_actions")))
+    return (per.orderBy(F.desc("total_actions"), F.asc("block_id"), F.asc("day"))
               .limit(int(limit)))
 
 
@@ -124,7 +154,7 @@ def _entry_with_detail(t: Tables, entry_cond, detail_cond) -> DataFrame:
     In the wide layout both halves live in one row of an ACCESS partition,
     so the join is a filter on one scan. Otherwise a plain equi-join."""
     if t.wide is not None:
-        w = t.wide.filter(F.col("log_type_id") == S.ACCESS)
+        w = t.wide.filter(has_detail(t.wide))
         if entry_cond is not None:
             w = w.filter(entry_cond)
         if detail_cond is not None:

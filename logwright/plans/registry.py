@@ -618,7 +618,22 @@ def _text_files(spark, sf_dir, root: str, lines: DataFrame) -> dict:
     return default_paths(root)
 
 
+_made: dict = {}
+
+
+def _once(spark, sf_dir, make):
+    """What ``make`` wrote for this session and data: the keys that read it share it."""
+    key = (spark.sparkContext.applicationId, sf_dir, make.__name__)
+    if key not in _made:
+        _made[key] = make(spark, sf_dir)
+    return _made[key]
+
+
 def _loaded(spark, sf_dir) -> str:
+    return _once(spark, sf_dir, _two_loads)
+
+
+def _two_loads(spark, sf_dir) -> str:
     """Store root: even events first, then odd ones, then the second load again."""
     root = scratch_path(spark, "store")
     lines = fixture_lines(spark, sf_dir)
@@ -684,6 +699,204 @@ def s05(spark, sf_dir):
     return _wall(store.read_wide(spark, root).select(*S.ENTRY_FIELDS, *S.DETAIL_VALUE_FIELDS))
 
 
+# --- reconciling load: CSVs that break every constraint --------------------------------
+
+_S5_SQL = """, e0 AS (SELECT *, CAST(substr(id, 2) AS BIGINT) AS n FROM log_entry),
+types_in AS (SELECT id, name FROM log_type UNION ALL VALUES (9, 'SYSLOG'), (1, 'AGAIN'), (5, 'ACCESS')),
+actions_in AS (SELECT id, name FROM action_type UNION ALL SELECT id, 'again' FROM action_type WHERE name = 'GET'
+  UNION ALL VALUES ('new-id', 'POST'), ('patch-id', 'PATCH')),
+entries_in AS (
+  SELECT CASE WHEN n % 13 <> 0 THEN id END AS id,
+    CASE WHEN n % 29 = 0 THEN 8 WHEN n % 23 = 0 THEN 9 ELSE log_type_id END AS log_type_id,
+    CASE WHEN n % 19 = 0 THEN 'missing' ELSE action_type_id END AS action_type_id,
+    CASE WHEN n % 17 <> 0 THEN log_timestamp END AS log_timestamp, source_ip, dest_ip, block_id, size_bytes
+  FROM e0, range(0, 3) r(k) WHERE k = 0 OR n % 11 = 0
+  UNION ALL SELECT id, log_type_id, action_type_id, log_timestamp, source_ip, dest_ip, block_id, size_bytes - 1
+  FROM e0 WHERE n % 7 = 0),
+details_in AS (
+  SELECT d.* FROM log_access_detail d, range(0, 2) r(k)
+  WHERE CAST(substr(log_entry_id, 2) AS BIGINT) % 10 <> 4 AND (k = 0 OR CAST(substr(log_entry_id, 2) AS BIGINT) % 37 = 0)
+  UNION ALL SELECT log_entry_id, remote_name, auth_user, '/other', http_status, referrer, user_agent
+  FROM log_access_detail WHERE CAST(substr(log_entry_id, 2) AS BIGINT) % 41 = 0
+  UNION ALL SELECT id, '-', '-', '/hdfs', 200, NULL, NULL FROM e0 WHERE n % 58 = 29
+  UNION ALL SELECT 'x' || id, '-', '-', '/lost', 200, NULL, NULL FROM e0 WHERE n % 31 = 0),
+types_1 AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY name) AS k FROM types_in),
+types_2 AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY id) AS k2 FROM types_1 WHERE k = 1),
+actions_1 AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY name) AS k FROM actions_in),
+actions_2 AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY id) AS k2 FROM actions_1 WHERE k = 1),
+entries_1 AS (SELECT *, CASE WHEN id IS NULL THEN 'id is required' WHEN log_timestamp IS NULL THEN 'log_timestamp is required'
+    WHEN log_type_id NOT IN (SELECT id FROM types_2 WHERE k2 = 1) THEN 'no such log_type'
+    WHEN action_type_id NOT IN (SELECT id FROM actions_2 WHERE k2 = 1) THEN 'no such action_type' END AS reason FROM entries_in),
+entries_2 AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY log_type_id NULLS FIRST, action_type_id NULLS FIRST,
+    log_timestamp NULLS FIRST, source_ip NULLS FIRST, dest_ip NULLS FIRST, block_id NULLS FIRST, size_bytes NULLS FIRST) AS k
+  FROM entries_1 WHERE reason IS NULL),
+details_1 AS (SELECT *, row_number() OVER (PARTITION BY log_entry_id ORDER BY remote_name NULLS FIRST, auth_user NULLS FIRST,
+    resource NULLS FIRST, http_status NULLS FIRST, referrer NULLS FIRST, user_agent NULLS FIRST) AS k FROM details_in),
+details_2 AS (SELECT d.*, e.log_type_id AS t FROM details_1 d LEFT JOIN (SELECT * FROM entries_2 WHERE k = 1) e
+    ON e.id = d.log_entry_id WHERE d.k = 1)
+"""
+
+
+def _broken(spark, sf_dir) -> str:
+    """A folder of staged CSVs with rows that break every constraint."""
+    t = _awkward_times(fixture_tables(spark, sf_dir))
+    n = F.substring(F.col("id"), 2, 20).cast("bigint")
+    le = t.log_entry.withColumn("n", n)
+    thrice = le.select("*", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k")).filter("k = 0 OR n % 11 = 0")
+    bad = thrice.select(
+        F.when(F.col("n") % 13 != 0, F.col("id")).alias("id"),
+        F.when(F.col("n") % 29 == 0, 8).when(F.col("n") % 23 == 0, 9).otherwise(F.col("log_type_id"))
+         .cast("short").alias("log_type_id"),
+        F.when(F.col("n") % 19 == 0, "missing").otherwise(F.col("action_type_id")).alias("action_type_id"),
+        F.when(F.col("n") % 17 != 0, F.col("log_timestamp")).alias("log_timestamp"), *S.ENTRY_FIELDS[4:])
+    other = le.filter("n % 7 = 0").withColumn("size_bytes", F.col("size_bytes") - 1).select(*S.ENTRY_FIELDS)
+    d = t.log_access_detail.withColumn("n", F.substring(F.col("log_entry_id"), 2, 20).cast("bigint"))
+    kept = d.filter("n % 10 <> 4")
+    more = [kept.filter("n % 37 = 0"), d.filter("n % 41 = 0").withColumn("resource", F.lit("/other"))]
+    odd = [le.filter("n % 58 = 29").select(F.col("id").alias("log_entry_id"), F.lit("/hdfs").alias("resource")),
+           le.filter("n % 31 = 0").select(F.concat(F.lit("x"), "id").alias("log_entry_id"), F.lit("/lost").alias("resource"))]
+    odd = [x.select("log_entry_id", F.lit("-").alias("remote_name"), F.lit("-").alias("auth_user"), "resource",
+                    F.lit(200).alias("http_status")) for x in odd]
+    details = M.union_all([kept, *more, *odd]).select(*S.DETAIL_FIELDS)
+    act = t.action_type
+    actions = act.union(act.filter("name = 'GET'").select("id", F.lit("again"))) \
+        .union(spark.createDataFrame([("new-id", "POST"), ("patch-id", "PATCH")], S.ACTION_TYPE))
+    types = t.log_type.union(spark.createDataFrame([(9, "SYSLOG"), (1, "AGAIN"), (5, "ACCESS")], S.LOG_TYPE))
+    folder = scratch_path(spark, "broken-csv")
+    staged_csv.write_tables(M.Tables(types, actions, bad.union(other), details), folder)
+    return folder
+
+
+def _awkward_times(t: M.Tables) -> M.Tables:
+    return M.Tables.from_wide(t.log_type, t.action_type,
+                              t.wide.withColumn("log_timestamp", F.col("log_timestamp").cast("timestamp")))
+
+
+def _reconciled(spark, sf_dir) -> tuple[str, DataFrame]:
+    return _once(spark, sf_dir, _load_broken)
+
+
+def _load_broken(spark, sf_dir) -> tuple[str, DataFrame]:
+    """Store root, and the rows that the CSV reader rejected before."""
+    staged = staged_csv.read_tables(spark, _broken(spark, sf_dir))
+    root = scratch_path(spark, "store")
+    store.load_tables(staged.tables, root)
+    return root, staged.rejects
+
+
+@register("s05_reject_rows", O.with_model(_S5_SQL + """
+SELECT "table", key, reason, COUNT(*) AS copies FROM (
+  SELECT 'log_type' AS "table", CAST(id AS VARCHAR) AS key, 'duplicate id' AS reason FROM types_1 WHERE k > 1
+  UNION ALL SELECT 'log_type', CAST(id AS VARCHAR), 'duplicate name' FROM types_2 WHERE k2 > 1
+  UNION ALL SELECT 'action_type', id, 'duplicate id' FROM actions_1 WHERE k > 1
+  UNION ALL SELECT 'action_type', id, 'duplicate name' FROM actions_2 WHERE k2 > 1
+  UNION ALL SELECT 'log_entry', coalesce(id, ''), reason FROM entries_1 WHERE reason IS NOT NULL
+  UNION ALL SELECT 'log_entry', id, 'duplicate id' FROM entries_2 WHERE k > 1
+  UNION ALL SELECT 'log_access_detail', log_entry_id, 'duplicate log_entry_id' FROM details_1 WHERE k > 1
+  UNION ALL SELECT 'log_access_detail', log_entry_id, CASE WHEN t IS NULL THEN 'no such log_entry'
+    ELSE 'log_entry is not an ACCESS entry' END FROM details_2 WHERE t IS DISTINCT FROM 1) r
+GROUP BY ALL"""))
+def s05_rejects(spark, sf_dir):
+    root, before = _reconciled(spark, sf_dir)
+    rows = store.read_rejects(spark, root).select(F.col("kind").alias("table"), "line", "reason", "copies") \
+        .unionByName(before.withColumn("copies", F.lit(1).cast("long")))
+    key = F.coalesce(F.split("line", ",")[0], F.lit(""))
+    return rows.groupBy("table", F.regexp_replace(key, '"', "").alias("key"), "reason") \
+        .agg(F.sum("copies").alias("copies"))
+
+
+@register("s05_reject_accepted", O.with_model(_S5_SQL + """
+SELECT e.id, e.log_type_id, e.action_type_id, e.log_timestamp, e.source_ip, e.dest_ip, e.block_id, e.size_bytes,
+  d.remote_name, d.auth_user, d.resource, d.http_status, d.referrer, d.user_agent, d.log_entry_id IS NOT NULL AS has_detail
+FROM entries_2 e LEFT JOIN (SELECT * FROM details_2 WHERE t = 1) d ON d.log_entry_id = e.id WHERE e.k = 1"""))
+def s05_accepted(spark, sf_dir):
+    root, _ = _reconciled(spark, sf_dir)
+    w = store.read_wide(spark, root)
+    return _wall(w.select(*S.ENTRY_FIELDS, *S.DETAIL_VALUE_FIELDS, M.has_detail(w).alias("has_detail")))
+
+
+@register("s05_reject_details", O.with_model(_S5_SQL + """
+SELECT log_entry_id, remote_name, auth_user, resource, http_status, referrer, user_agent FROM details_2 WHERE t = 1"""))
+def s05_details(spark, sf_dir):
+    return store.read_store(spark, _reconciled(spark, sf_dir)[0]).log_access_detail
+
+
+@register("s05_dimensions", O.with_model(_S5_SQL + """
+SELECT 'log_type' AS "table", CAST(id AS VARCHAR) AS id, name FROM types_2 WHERE k2 = 1
+UNION ALL SELECT 'action_type', id, name FROM actions_2 WHERE k2 = 1"""))
+def s05_dimensions(spark, sf_dir):
+    t = store.read_store(spark, _reconciled(spark, sf_dir)[0])
+    return M.union_all([t.log_type.select(F.lit("log_type").alias("table"), F.col("id").cast("string").alias("id"), "name"),
+                        t.action_type.select(F.lit("action_type").alias("table"), "id", "name")])
+
+
+@register("s05_constraints", "SELECT 'no violation' AS found WHERE false")
+def s05_constraints(spark, sf_dir):
+    """What the reconciling load accepted breaks no constraint (K1-K4)."""
+    t = store.read_store(spark, _reconciled(spark, sf_dir)[0])
+    return K.summary(t).filter("violations > 0").select(F.col("check").alias("found"))
+
+
+# --- rollups, merged loads, line counts of the loads -----------------------------------
+
+_EDGES = ("2024-01-04 07:30:00", "2024-01-11 16:45:10")
+
+
+@register("q01_rollup", O.with_parsed(f"""
+SELECT action_name AS action_type_name, CAST(COUNT(*) AS BIGINT) AS logs FROM parsed
+WHERE log_timestamp >= {_ts(_EDGES[0])} AND log_timestamp <= {_ts(_EDGES[1])} GROUP BY action_name"""))
+def q01_rollup(spark, sf_dir):
+    return Q.q01_total_logs_per_action_type(store.read_store(spark, _loaded(spark, sf_dir)), *_EDGES)
+
+
+@register("q02_rollup", O.with_parsed(f"""
+SELECT CAST(log_timestamp AS DATE) AS day, COUNT(*) AS total_logs FROM parsed
+WHERE action_name = 'served' AND log_timestamp >= {_ts(_EDGES[0])} AND log_timestamp <= {_ts(_EDGES[1])} GROUP BY ALL"""))
+def q02_rollup(spark, sf_dir):
+    return Q.q02_logs_per_day_for_action(store.read_store(spark, _loaded(spark, sf_dir)), "served", *_EDGES)
+
+
+@register("q04_rollup", O.with_parsed(f"""
+SELECT block_id, CAST(log_timestamp AS DATE) AS day, COUNT(*) AS total_actions FROM parsed
+WHERE block_id IS NOT NULL AND log_timestamp >= DATE '{Q04[0]}' AND log_timestamp < DATE '{Q04[1]}'
+GROUP BY ALL ORDER BY total_actions DESC, block_id, day LIMIT 25"""))
+def q04_rollup(spark, sf_dir):
+    return Q.q04_top_blocks_by_actions_per_day(store.read_store(spark, _loaded(spark, sf_dir)), *Q04[:2], 25)
+
+
+def _merged(spark, sf_dir) -> str:
+    return _once(spark, sf_dir, _merge_two_loads)
+
+
+def _merge_two_loads(spark, sf_dir) -> str:
+    """Two loads, merged, and the second load once more."""
+    root = _two_loads(spark, sf_dir)
+    store.merge_batches(spark, root)
+    store.ingest(spark, default_paths(f"{root}-second"), root, mode="append", batch="second")
+    return root
+
+
+@register("s07_merge", O.with_parsed(f"SELECT {', '.join(_STORE_COLS)} FROM parsed"))
+def s07_merge(spark, sf_dir):
+    return _wall(store.read_wide(spark, _merged(spark, sf_dir)).select(*_STORE_COLS))
+
+
+@register("s07_merge_rejects", ORACLE["s09_store_rejects"])
+def s07_merge_rejects(spark, sf_dir):
+    return store.read_rejects(spark, _merged(spark, sf_dir)).select("kind", "line", "reason")
+
+
+@register("p10_store_stats", O.with_parsed(f"""
+, of_lines AS (SELECT event_id % 2 AS odd, kind, COUNT(*) AS total_lines,
+    CAST(SUM(CASE WHEN {O.MATCHED} THEN 1 ELSE 0 END) AS BIGINT) AS matched_lines FROM lines GROUP BY ALL),
+  of_rows AS (SELECT event_id % 2 AS odd, CASE log_type_id WHEN 1 THEN 'access' WHEN 2 THEN 'dataxceiver'
+    ELSE 'namesystem' END AS kind, COUNT(*) AS rows FROM parsed GROUP BY ALL)
+SELECT CASE odd WHEN 0 THEN 'first' ELSE 'second' END AS batch, kind, total_lines, matched_lines, rows
+FROM of_lines JOIN of_rows USING (odd, kind)""".replace("\n, of_lines", ", of_lines", 1)))
+def p10_store_stats(spark, sf_dir):
+    return store.read_stats(spark, _merged(spark, sf_dir))
+
+
 # --- catalog -----------------------------------------------------------------------
 
 _CALLS = {1: dict(start=Q01[0], end=Q01[1]), 2: dict(action_name=Q02[0], start=Q02[1], end=Q02[2]),
