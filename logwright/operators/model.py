@@ -77,7 +77,12 @@ class Tables:
     def entries_on_days(self, lo: date | str | None, hi: date | str | None,
                         hi_inclusive: bool) -> DataFrame:
         """``log_entry`` with ``ts::date`` in ``[lo, hi]`` or ``[lo, hi)``."""
-        src = self.wide if self.wide is not None else self.log_entry
+        out = self.on_days(self.wide if self.wide is not None else self.log_entry, lo, hi, hi_inclusive)
+        return entries_of(out) if self.wide is not None else out
+
+    @staticmethod
+    def on_days(src: DataFrame, lo, hi, hi_inclusive: bool) -> DataFrame:
+        """Rows of ``src`` on the days of a range, by ``log_date`` where it has one."""
         d = F.col("log_date") if "log_date" in src.columns else day_of(F.col("log_timestamp"))
         cond = F.lit(True)
         if lo is not None:
@@ -85,8 +90,7 @@ class Tables:
         if hi is not None:
             h = F.lit(hi).cast("date")
             cond = cond & ((d <= h) if hi_inclusive else (d < h))
-        out = src.filter(cond)
-        return entries_of(out) if self.wide is not None else out
+        return src.filter(cond)
 
 
 def lit_like(value, df: DataFrame, col: str):

@@ -5,8 +5,8 @@ Catalyst pushes the time predicates and the column selection into the
 Parquet scan, and with the partitioned wide store also prunes ``log_type_id``
 / ``log_date`` directories. Joins carry no hints: the planner broadcasts a
 dimension when its size in bytes is below ``autoBroadcastJoinThreshold``. Where a
-query counts or collects per key (Q1, Q3, Q13) the fact side is reduced before
-the join, so only per-key partial results move.
+query counts per key (Q1, Q3) the fact side is reduced before the join, so only
+per-key partial results move.
 """
 
 from __future__ import annotations
@@ -87,13 +87,20 @@ def q02_logs_per_day_for_action(t: Tables, action_name, start, end) -> DataFrame
 # Q3 -------------------------------------------------------------------------
 def q03_most_common_action_per_source_ip(t: Tables, day) -> DataFrame:
     """Per source address, the action(s) with the highest count on ``day``
-    (ties kept; a NULL address is a group of its own)."""
-    le = t.entries_on_days(day, day, hi_inclusive=True)
-    per_id = le.groupBy("source_ip", "action_type_id").agg(F.count(F.lit(1)).alias("n"))
-    act = _actions(t)
-    j = per_id.join(act, per_id["action_type_id"] == act["id"], "inner")
-    per_name = (j.groupBy("source_ip", act["name"].alias("action_type_name"))
-                 .agg(F.sum("n").cast("bigint").alias("frequency")))
+    (ties kept; a NULL address is a group of its own).
+
+    Wide rows hold the action's name, so they are counted by it in one exchange."""
+    if t.wide is not None:
+        rows = t.on_days(t.wide, day, day, hi_inclusive=True).filter(F.col("action_name").isNotNull())
+        per_name = (rows.groupBy("source_ip", F.col("action_name").alias("action_type_name"))
+                        .agg(F.count(F.lit(1)).alias("frequency")))
+    else:
+        le = t.entries_on_days(day, day, hi_inclusive=True)
+        per_id = le.groupBy("source_ip", "action_type_id").agg(F.count(F.lit(1)).alias("n"))
+        act = _actions(t)
+        j = per_id.join(act, per_id["action_type_id"] == act["id"], "inner")
+        per_name = (j.groupBy("source_ip", act["name"].alias("action_type_name"))
+                     .agg(F.sum("n").cast("bigint").alias("frequency")))
     w = Window.partitionBy("source_ip").orderBy(F.desc("frequency"))
     return (per_name.withColumn("rnk", F.rank().over(w))
                     .filter(F.col("rnk") == 1)
@@ -238,25 +245,44 @@ def q12_ips_with_two_methods_in_range(t: Tables, log_type_name, method1, method2
              .filter(F.col("_both")).select("source_ip"))
 
 
+#: Distinct action names up to which Q13 keeps a bitmap per address; a word holds 62 of them.
+MAX_BITS, WORD_BITS = 496, 62
+
+
 def q13_ips_with_n_methods_in_range(t: Tables, log_type_name, required_methods,
                                     start, end) -> DataFrame:
     """Source addresses with exactly ``required_methods`` distinct methods in
     ``[start, end)``, with the sorted method list joined by ``|``.
 
-    Distinct (address, action id) pairs are made first, with a plain hash
-    aggregate, so neither the join with the dimension nor the per-address set
-    ever sees raw rows; a hot address or method is one row per task."""
+    The dimension's names are numbered in sorted order (read once when the query is made: at most
+    2 x ``MAX_BITS`` + 1 short rows), and an address is a few words of bits: one aggregation with
+    partial ``bit_or`` states of fixed size, names looked up after the filter. With more names than
+    that, distinct (address, action id) pairs are made first and named afterwards."""
     le = t.entries_in(start, end, closed=False)
     lt = _log_types(t, log_type_name)
-    pairs = (le.join(lt, le["log_type_id"] == lt["id"], "left_semi")
-               .select("source_ip", "action_type_id").distinct())
+    typed = le.join(lt, le["log_type_id"] == lt["id"], "left_semi").select("source_ip", "action_type_id")
     act = _actions(t)
-    named = pairs.join(act, pairs["action_type_id"] == act["id"], "inner")
-    names = F.collect_set("name")
-    return (named.groupBy("source_ip")
-             .agg(F.size(names).cast("int").alias("cnt"),
-                  F.array_join(F.array_sort(names), "|").alias("methods"))
-             .filter(F.col("cnt") == F.lit(required_methods).cast("int"))
+    rows = act.select("name").limit(2 * MAX_BITS + 1).collect()
+    names = sorted({r["name"] for r in rows})
+    if len(rows) > 2 * MAX_BITS or len(names) > MAX_BITS:
+        pairs = typed.distinct()
+        named = pairs.join(act, pairs["action_type_id"] == act["id"], "inner")
+        sets = (named.groupBy("source_ip").agg(F.collect_set("name").alias("_set"))
+                     .select("source_ip", F.size("_set").cast("int").alias("cnt"), F.array_sort("_set").alias("_names")))
+    else:
+        every = F.array(*[F.lit(n) for n in names]).cast("array<string>")
+        numbered = act.select(F.col("id").alias("_id"), (F.array_position(every, F.col("name")) - 1).alias("_k"))
+        bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("bigint"), (k % WORD_BITS).cast("int"))
+        words = range(-(-max(len(names), 1) // WORD_BITS))
+        bits = (typed.join(numbered, F.col("action_type_id") == F.col("_id"), "inner").groupBy("source_ip")
+                .agg(*[F.bit_or(F.when(F.floor(F.col("_k") / WORD_BITS) == w, bit(F.col("_k"))).otherwise(F.lit(0)))
+                       .alias(f"_w{w}") for w in words]))
+        word = lambda i: F.array(*[F.col(f"_w{w}") for w in words])[F.floor(i / WORD_BITS).cast("int")]
+        count = sum((F.bit_count(f"_w{w}") for w in words[1:]), F.bit_count("_w0"))
+        sets = bits.select("source_ip", count.cast("int").alias("cnt"),
+                           F.filter(every, lambda n, i: word(i).bitwiseAND(bit(i)) != 0).alias("_names"))
+    return (sets.filter(F.col("cnt") == F.lit(required_methods).cast("int"))
+             .select("source_ip", "cnt", F.array_join("_names", "|").alias("methods"))
              # Every row has cnt = n: sorting on cnt alone would range-partition
              # all rows into one task; the address spreads them.
              .orderBy(F.desc("cnt"), "source_ip"))

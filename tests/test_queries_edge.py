@@ -124,3 +124,64 @@ def test_address_and_stamp_forms(spark):
     df = spark.createDataFrame([(x,) for x in stamps], "a string")
     got = [r["ok"] for r in df.select(access_timestamp(df.a).isNotNull().alias("ok")).collect()]
     assert got == [True, True, True, False, False]
+
+
+def _exchanges(df) -> list:
+    """Exchanges of the initial plan, the result sort's among them."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [x for x in plan.split("\n") if "Exchange " in x and "BroadcastExchange" not in x]
+
+
+def test_constraints_read_each_table_once(spark, tmp_path):
+    from logwright.operators import quality as K
+    d = datetime(2024, 1, 1)
+    t = _tables(spark, [(1, "GET", d, "1.1.1.1", None, 1), (9, "served", d, None, 5, None)],
+                [("e0", "-", "-", "/a", 200, None, "x"), ("e1", "-", "-", "/a", 200, None, "x"),
+                 ("e7", "-", "-", "/b", 200, None, "x")])
+    frames = []
+    for name in ("log_type", "action_type", "log_entry", "log_access_detail"):
+        getattr(t, name).write.parquet(f"{tmp_path}/{name}")
+        frames.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    out = K.summary(Tables(*frames))
+    got = {r["check"]: r["violations"] for r in out.collect() if r["violations"]}
+    assert got == {"foreign key log_entry(log_type_id)": 1, "foreign key log_access_detail(log_entry_id)": 1,
+                   "detail scope": 2}
+    plan = K.summary(Tables(*frames))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 4 and "Join" not in plan
+    empty = K.summary(Tables(*[f.limit(0) for f in frames])).collect()
+    assert len(empty) == len(K.UNIQUE) + 9 + len(K.FOREIGN) and not any(r["violations"] for r in empty)
+
+
+def test_q13_bitmaps_and_sets_agree(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    names = [f"M{k:03d}" for k in range(150)]  # three words of bits
+    at = action_type_table(spark.createDataFrame([(n,) for n in names], "name string"))
+    at = at.union(at.select(F.concat(F.lit("second-"), "id"), "name"))  # every name under two ids
+    used = {f"10.0.0.{k}": sorted({names[(k * 37 + j * (k + 1)) % 150] for j in range(k % 6)}) for k in range(60)}
+    used[None] = [names[0], names[62], names[149]]
+    rows = [(ip, n, j) for ip, ns in used.items() for n in ns for j in range(2)]
+    base = spark.createDataFrame(rows, "source_ip string, n string, j int").join(at, F.col("n") == F.col("name"))
+    le = base.select(F.lit("x").alias("id"), F.lit(1).cast("short").alias("log_type_id"), F.col("id").alias("action_type_id"),
+                     F.lit("2024-01-02 00:00:00").cast("timestamp").alias("log_timestamp"), "source_ip",
+                     F.lit(None).cast("string").alias("dest_ip"), F.lit(None).cast("long").alias("block_id"),
+                     F.lit(None).cast("long").alias("size_bytes"))
+    t = Tables(log_type_table(spark), at, le, spark.createDataFrame([], S.LOG_ACCESS_DETAIL))
+    for n in (1, 3, 5):
+        want = sorted(((ip, len(ns), "|".join(ns)) for ip, ns in used.items() if len(ns) == n), key=str)
+        call = (t, "ACCESS", n, "2024-01-01", "2024-01-03")
+        assert sorted(map(tuple, Q.q13_ips_with_n_methods_in_range(*call).collect()), key=str) == want and want
+        with monkeypatch.context() as m:
+            m.setattr(Q, "MAX_BITS", 10)
+            assert sorted(map(tuple, Q.q13_ips_with_n_methods_in_range(*call).collect()), key=str) == want
+
+
+def test_exchanges_of_the_grouping_queries(spark, tmp_path):
+    from logwright.sources.fixtures import fixture_tables
+    t = fixture_tables(spark, "/root/testdata/sf0.001")
+    for name, df in (("log_type", t.log_type), ("action_type", t.action_type), ("wide", t.wide)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    t = Tables.from_wide(*(spark.read.parquet(f"{tmp_path}/{name}") for name in ("log_type", "action_type", "wide")))
+    q13 = _exchanges(Q.q13_ips_with_n_methods_in_range(t, "ACCESS", 4, "2024-01-02", "2024-01-05"))
+    assert len(q13) == 2 and "rangepartitioning" in q13[0]      # the aggregation, the result sort
+    q3 = _exchanges(Q.q03_most_common_action_per_source_ip(t, "2024-01-05"))
+    assert len(q3) == 3 and "rangepartitioning" in q3[0]        # counts, ranks, the result sort
