@@ -18,7 +18,10 @@ of the formatted text: the escaped texts of assistant turns.
 Null texts and roles count as empty, a null score as 0. A message whose parent does not
 exist is a root. Repeated ids of a conversation count once (smallest role, text).
 Messages in a cycle of parents hang on no root and raise an error. A null
-conversation id is a conversation of its own. One conversation is one output row, so
+conversation id is a conversation of its own. A message with a null id cannot be answered: it
+is a leaf of its own under its parent (or a root without one), repeats included, its ``leaf``
+is null, and it comes after the others where scores tie; ids from 2**62 on are
+reserved for that. One conversation is one output row, so
 its text is put together in one task; everything before that is spread.
 """
 
@@ -38,6 +41,8 @@ START, END = "<|im_start|>", "<|im_end|>"
 CONTROLS = (START, END, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>",
             "<pad>", "<unk>")
 LEARNED_ROLE = "assistant"
+#: First of the ids that messages without one get.
+RESERVED = 1 << 62
 
 _MARK = re.compile("(?=" + "|".join(map(re.escape, CONTROLS)) + ")(.)", re.S)
 _TURN = re.compile(re.escape(START) + r"((?:[^\\\n]|\\.)*)\n(.*?)" + re.escape(END) + "\n", re.S)
@@ -80,10 +85,13 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
 # --- paths ----------------------------------------------------------------------
 
 def _numbered(messages: DataFrame) -> DataFrame:
-    """Messages with a non-null conversation key, one row per id."""
+    """Messages with a non-null conversation key, one row per id; null ids get reserved ones.
+
+    The result must be written, which fixes the ids that were given."""
+    given = F.lit(RESERVED) + F.monotonically_increasing_id()
     m = messages.select(
         F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("key"), "conv_id",
-        F.col("msg_id").cast("long").alias("msg_id"), F.col("parent_id").cast("long").alias("parent_id"),
+        F.coalesce(F.col("msg_id").cast("long"), given).alias("msg_id"), F.col("parent_id").cast("long").alias("parent_id"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
         F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     one = m.groupBy("key", "msg_id").agg(F.min(F.struct("role", "text", "parent_id", "score", "conv_id")).alias("m"))
@@ -149,7 +157,8 @@ def format_trees(messages: DataFrame, top: int | None = 1) -> DataFrame:
                  pa.array([[{"start": a, "end": z} for a, z in g[1]] for g in got],
                           pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
                 names=["conv_id", "leaf", "score", "formatted", "loss_spans"])
-    return whole.select("conv_id", "leaf", "score", "turns").mapInArrow(
+    leaf = F.when(F.col("leaf") < RESERVED, F.col("leaf")).alias("leaf")
+    return whole.select("conv_id", leaf, "score", "turns").mapInArrow(
         run, "conv_id long, leaf long, score double, formatted string, "
              "loss_spans array<struct<start:long,end:long>>")
 

@@ -200,6 +200,15 @@ def test_url_rules(spark):
     assert url_rules.judge_pages(df.limit(0)).count() == 0
 
 
+def test_only_ascii_letters_are_folded(spark):
+    urls = ["http://A.ORG/TRACK/CLICK?x", "http://a.org/trac\u212a/click?x", "http://a.org/V\u0130AGRA/", "http://A.ORG/VIAGRA/",
+            "http://ok.org/" + "x/" * 200_000 + "viagra/", "http://ok.org/" + "x/" * 200_000]
+    df = spark.createDataFrame([(k, u) for k, u in enumerate([*urls, *[None] * 300])], "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in url_rules.judge_pages(df).collect()}
+    assert [got[k] for k in range(6)] == ["block", "allow", "allow", "block", "block", "allow"]
+    assert len(got) == 306 and {got[k] for k in range(6, 306)} == {"allow"}
+
+
 def test_patterns_are_found_by_their_rarest_token(spark):
     import re
     rng = random.Random(4)
@@ -247,6 +256,21 @@ def test_tree_paths_and_branches(spark):
         chat_trees.format_trees(ring).count()
 
 
+def test_messages_without_an_id_are_leaves(spark):
+    rows = [(1, 1, None, "user", "q", 1.0), (1, None, 1, "assistant", "a", 2.0), (1, None, 1, "assistant", "b", 0.0),
+            (1, None, 1, "assistant", "b", 0.0), (2, None, None, "user", "alone", 0.0), (3, 1, None, "user", "r", 0.0),
+            (3, 2, 1, "assistant", "s", 1.0), (3, None, 1, "assistant", "t", 1.0), (4, None, 77, "user", "lost", None)]
+    df = spark.createDataFrame(rows, "conv_id long, msg_id long, parent_id long, role string, text string, score double") \
+        .repartition(4)
+    got = [(r["conv_id"], r["leaf"], r["score"], [t for _, t in chat_trees.read_back(r["formatted"])])
+           for r in chat_trees.format_trees(df, top=None).collect()]
+    assert sorted(got, key=str) == sorted([
+        (1, None, 3.0, ["q", "a"]), (1, None, 1.0, ["q", "b"]), (1, None, 1.0, ["q", "b"]), (2, None, 0.0, ["alone"]),
+        (3, 2, 1.0, ["r", "s"]), (3, None, 1.0, ["r", "t"]), (4, None, 0.0, ["lost"])], key=str)
+    best = {r["conv_id"]: r["leaf"] for r in chat_trees.format_trees(df, top=1).collect()}
+    assert best == {1: None, 2: None, 3: 2, 4: None}
+
+
 def test_linear_conversations(spark):
     rows = [(1, k, "assistant" if k % 2 else "user", f"t{k}") for k in range(77)]
     rows += [(2, 1, "user", None), (2, None, None, "first"), (2, 1, "user", "twice"), (2, 1, "user", "twice")]

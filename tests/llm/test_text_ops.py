@@ -236,6 +236,23 @@ def test_rules_equal_brute_force(spark):
     assert line_rules.rules(docs_of(spark, [])).count() == 0
 
 
+def test_depleted_documents_are_rejected(spark):
+    """Frequent lines are removed; a document that is mostly such lines goes, the others stay."""
+    rng = random.Random(9)
+    own = lambda n: " ".join(rng.choice("abcdefghij") + str(rng.randrange(10_000)) for _ in range(n))
+    common = [own(11) for _ in range(4)]
+    texts = [own(40) + "\n" + "\n".join(common) for _ in range(30)]        # 40 of 84 words are left
+    texts += ["\n".join([own(6 + k), *common]) for k in range(20)]          # 6 to 25 of 50 to 69 words
+    df = docs_of(spark, texts, sources=["h"] * 50)
+    got = {r["doc_id"]: r for r in line_rules.rules(df).collect()}
+    want = brute_rules(texts, ["h"] * 50)
+    for k, w in enumerate(want):
+        assert (got[k]["left_words"], got[k]["base_failed"], got[k]["kept"]) == (w[6], w[5], w[7])
+    depleted = [k for k, w in enumerate(want) if not w[7] and not w[5]]
+    assert len(depleted) > 5 and min(depleted) >= 30 and any(w[7] for w in want[30:])
+    assert {r["doc_id"] for r in line_rules.apply_rules(df).collect()} == {k for k, w in enumerate(want) if w[7]}
+
+
 def test_plan_fills_bins():
     rng = random.Random(2)
     for _ in range(60):
