@@ -112,7 +112,8 @@ def _url_sql() -> str:
     fits = [(h + p, v, f"(host = {q(h)} OR ends_with(host, {q('.' + h)})) AND starts_with(path, {q(p)})")
             for h, p, v in sorted(url_rules.HOST_RULES, key=lambda r: -len(r[0] + r[1]))]
     case = lambda k: "CASE " + " ".join(f"WHEN {f[2]} THEN {q(f[k])}" for f in fits) + " END"
-    hit = " OR ".join(f"regexp_matches(lower(url), {q(url_rules.regex_of(p))})" for p in url_rules.PATTERNS)
+    fold = "translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    hit = " OR ".join(f"regexp_matches({fold}, {q(url_rules.regex_of(p))})" for p in url_rules.PATTERNS)
     split = "(?s)^.*?://([^/?#]*)([^?#]*)"
     return f"""
 WITH p AS (

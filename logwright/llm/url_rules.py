@@ -14,7 +14,8 @@ starts with the rule's; the longest rule wins and decides before any pattern.
 
 The rule lists are parameters held by the driver; the planner broadcasts them only
 below its size limit. Null urls have an empty host and path, fit nothing and are
-allowed; repeated rows each give a row; ``page_id`` may be null.
+allowed; repeated rows each give a row; ``page_id`` may be null; urls are judged whole,
+however long.
 """
 
 from __future__ import annotations
@@ -65,16 +66,20 @@ def tokens_of(pattern: str) -> list[str]:
     return sorted(set(out))
 
 
+def folded(c: Column) -> Column:
+    """ASCII letters lower-cased, all others as they are."""
+    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def _tokens(url: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(url), F.lit("([a-z0-9]+)"), F.lit(1)))
+    return F.array_distinct(F.regexp_extract_all(folded(url), F.lit("([a-z0-9]+)"), F.lit(1)))
 
 
 def parts(pages: DataFrame) -> DataFrame:
     """``pages`` with host (A-Z folded) and path; both empty without ``://``."""
     split = r"(?s)^.*?://([^/?#]*)([^?#]*)"
     url = F.coalesce("url", F.lit(""))
-    return (pages.withColumn("host", F.translate(F.regexp_extract(url, split, 1),
-                                                 "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    return (pages.withColumn("host", folded(F.regexp_extract(url, split, 1)))
             .withColumn("path", F.regexp_extract(url, split, 2)))
 
 
@@ -90,15 +95,18 @@ def host_rule(rules=HOST_RULES) -> tuple[Column, Column]:
 def rule_index(urls: DataFrame, patterns=PATTERNS) -> DataFrame:
     """(token, regex): each pattern with a literal token under its rarest one in ``urls``.
 
-    Counts cover every url; only tokens of the rules are counted, with partial sums.
+    Counts cover every url; only the rules' tokens (a parameter's worth) leave a url, and they are
+    added up by partial sums before any join.
     """
     spark = urls.sparkSession
+    known = sorted({t for p in patterns for t in tokens_of(p)})
     filed = spark.createDataFrame([(p, t) for p in sorted(set(patterns)) for t in tokens_of(p)],
                                   "pattern string, token string")
     regexes = spark.createDataFrame([(p, regex_of(p)) for p in sorted(set(patterns))],
                                     "pattern string, regex string")
-    counts = (urls.select(F.explode(_tokens(F.col("url"))).alias("token"))
-              .join(filed.select("token").distinct(), "token").groupBy("token").agg(F.count(F.lit(1)).alias("n")))
+    wanted = F.array_intersect(_tokens(F.col("url")), F.array(*[F.lit(t) for t in known]).cast("array<string>"))
+    counts = (urls.filter(F.col("url").isNotNull()).select(F.explode(wanted).alias("token"))
+              .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
     return (filed.join(counts, "token", "left")
             .groupBy("pattern").agg(F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), "token")).alias("token"))
             .join(regexes, "pattern").select("token", "regex"))
@@ -113,10 +121,10 @@ def blocked_urls(pages: DataFrame, patterns=PATTERNS) -> DataFrame:
     urls = pages.select("url").filter(F.col("url").isNotNull()).distinct()
     found = (urls.select("url", F.explode(_tokens(F.col("url"))).alias("token"))
              .join(index, "token")
-             .filter(F.regexp_like(F.lower("url"), F.col("regex"))).select("url"))
+             .filter(F.regexp_like(folded(F.col("url")), F.col("regex"))).select("url"))
     for p in sorted(set(patterns)):
         if not tokens_of(p):  # no literal token: runs on every url
-            found = found.union(urls.filter(F.lower("url").rlike(regex_of(p))))
+            found = found.union(urls.filter(folded(F.col("url")).rlike(regex_of(p))))
     return found.distinct()
 
 
@@ -126,7 +134,10 @@ def judge_pages(pages: DataFrame, rules=HOST_RULES, patterns=PATTERNS) -> DataFr
     pages = pages.select("page_id", "url")
     blocked = blocked_urls(pages, patterns).select(F.col("url").alias("_url"))
     rule, verdict = host_rule(rules)
-    return (parts(pages).join(blocked, F.col("url") == F.col("_url"), "left")
+    # null urls meet no key: they stay out of the join, so any number of them is no hot group
+    found = parts(pages.filter(F.col("url").isNotNull())).join(blocked, F.col("url") == F.col("_url"), "left")
+    none = parts(pages.filter(F.col("url").isNull())).withColumn("_url", F.lit(None).cast("string"))
+    return (found.unionByName(none)
             .select("page_id", "host", "path", rule.alias("rule"),
                     F.coalesce(verdict, F.when(F.col("_url").isNotNull(), "block").otherwise("allow"))
                     .alias("verdict")))
