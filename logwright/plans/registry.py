@@ -276,7 +276,7 @@ from ..functions.timestamps import access_timestamp, hdfs_timestamp  # noqa: E40
 from ..functions.values import is_ip  # noqa: E402
 from ..operators import quality as K  # noqa: E402
 from ..operators.append import append_logs, upsert_action_types  # noqa: E402
-from ..sources import staged_csv, store  # noqa: E402
+from ..sources import bucketed, staged_csv, store  # noqa: E402
 from ..sources.fixtures import read_events  # noqa: E402
 from ..sources.logs import LOG_FILES, default_paths  # noqa: E402
 from . import catalog as C  # noqa: E402
@@ -907,6 +907,25 @@ _CALLS = {1: dict(start=Q01[0], end=Q01[1]), 2: dict(action_name=Q02[0], start=Q
           13: dict(start=Q13[2], end=Q13[3])}
 
 
+# --- entry and detail in the same buckets ---------------------------------------------
+
+def _write_buckets(spark, sf_dir) -> str:
+    root = scratch_path(spark, "buckets")
+    bucketed.write_tables(_separate(spark, sf_dir), root, buckets=4)
+    return root
+
+
+@register("j03_q07_buckets", ORACLE["q07_access_logs_below_size"])
+def j03_q07_buckets(spark, sf_dir):
+    return Q.q07_access_logs_below_size(bucketed.open_tables(spark, _once(spark, sf_dir, _write_buckets)), Q07)
+
+
+@register("j03_q10_buckets", ORACLE["q10_access_logs_by_user_agent_version"])
+def j03_q10_buckets(spark, sf_dir):
+    return Q.q10_access_logs_by_user_agent_version(
+        bucketed.open_tables(spark, _once(spark, sf_dir, _write_buckets)), Q10)
+
+
 # --- the catalog as SQL table functions ------------------------------------------------
 
 _SQL_ARGS = {1: Q01, 2: Q02, 3: (Q03,), 4: Q04, 5: (), 6: (), 7: (Q07,), 8: (), 9: (), 10: (Q10,), 11: Q11, 12: Q12, 13: Q13}

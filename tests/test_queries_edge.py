@@ -185,3 +185,25 @@ def test_exchanges_of_the_grouping_queries(spark, tmp_path):
     assert len(q13) == 2 and "rangepartitioning" in q13[0]      # the aggregation, the result sort
     q3 = _exchanges(Q.q03_most_common_action_per_source_ip(t, "2024-01-05"))
     assert len(q3) == 3 and "rangepartitioning" in q3[0]        # counts, ranks, the result sort
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, tmp_path):
+    from logwright.sources import bucketed
+    d = datetime(2024, 1, 1)
+    t = _tables(spark, [(1, "GET", d, "1.1.1.1", None, k) for k in range(300)],
+                [(f"e{k}", "-", "-", f"/{k}", 200, None, f"Mozilla/{k % 3}.0") for k in range(0, 300, 2)])
+    root = str(tmp_path / "buckets")
+    bucketed.write_tables(t, root, buckets=5)
+    files = list((tmp_path / "buckets" / "log_entry").glob("*.parquet"))
+    assert len(files) == 5  # one a bucket
+    try:
+        for session in (spark, spark.newSession()):
+            session.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+            b = bucketed.open_tables(session, root)
+            out = Q.q07_access_logs_below_size(b, 100)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+            assert sorted(r["resource"] for r in out.collect()) == sorted(f"/{k}" for k in range(0, 100, 2))
+            assert Q.q10_access_logs_by_user_agent_version(b, "2.0").count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
