@@ -128,11 +128,15 @@ def classify(lines: DataFrame, kind: LogKind, line_col: str = "value") -> DataFr
 
 def _field(kind: LogKind, field: str) -> Column:
     """Capture text of ``field`` for the winning alternative, else NULL."""
-    out = F.lit(None).cast("string")
-    for i in reversed(range(len(kind.alternatives))):
-        pos = kind.alternatives[i].fields.get(field)
-        val = F.col("_g")[pos] if pos is not None else F.lit(None).cast("string")
-        out = F.when(F.col("_alt") == i, val).otherwise(out)
+    places = [(i, a.fields[field]) for i, a in enumerate(kind.alternatives) if field in a.fields]
+    captures = F.col("_g")
+    if not places:
+        return F.lit(None).cast("string")
+    if len(kind.alternatives) == 1:  # captures are NULL where it did not match
+        return captures[places[0][1]]
+    out = F.when(F.col("_alt") == places[0][0], captures[places[0][1]])
+    for i, pos in places[1:]:
+        out = out.when(F.col("_alt") == i, captures[pos])
     return out
 
 
