@@ -94,6 +94,9 @@ KINDS = {
                            (RECEIVING_ALT, RECEIVED_ALT, SERVED_ALT)),
     "namesystem": LogKind("namesystem", S.HDFS_NAMESYSTEM, (UPDATE_ALT, REPLICATE_ALT)),
 }
+#: All kinds at once, for lines that name theirs; the kind of each alternative beside it.
+ROUTED = LogKind("routed", 0, tuple(a for k in KINDS.values() for a in k.alternatives))
+ROUTES = tuple(name for name, k in KINDS.items() for _ in k.alternatives)
 ARCHIVED_ACCESS = LogKind("access", S.ACCESS, (ACCESS_ALT_ARCHIVED,), access=True)
 
 
@@ -107,7 +110,7 @@ class Parsed:
     rejects: DataFrame
 
 
-def classify(lines: DataFrame, kind: LogKind, line_col: str = "value") -> DataFrame:
+def classify(lines: DataFrame, kind: LogKind, line_col: str = "value", kind_col: str | None = None) -> DataFrame:
     """One row per line with ``_g`` (captures of the winning alternative with
     its index appended) and ``_alt`` (that index, NULL when nothing matched).
 
@@ -115,11 +118,15 @@ def classify(lines: DataFrame, kind: LogKind, line_col: str = "value") -> DataFr
     only when all earlier ones failed (and only if its keyword is present).
     The result passes through a one-element ``explode`` - a Generate node -
     so later projections read the captures instead of re-running the regex
-    once per derived column."""
+    once per derived column. With ``kind_col`` (kind ``ROUTED``) a line tries only the
+    alternatives of the kind it names."""
     line = F.col(line_col)
     attempts = []
     for i, alt in enumerate(kind.alternatives):
-        groups = F.when(line.contains(alt.guard), regex_groups(line, alt.pattern, alt.n_groups))
+        guard = line.contains(alt.guard)
+        if kind_col is not None:
+            guard = (F.col(kind_col) == ROUTES[i]) & guard
+        groups = F.when(guard, regex_groups(line, alt.pattern, alt.n_groups))
         attempts.append(F.concat(groups, F.array(F.lit(str(i)))))
     first = attempts[0] if len(attempts) == 1 else F.coalesce(*attempts)
     out = lines.select("*", F.explode(F.array(first)).alias("_g"))
@@ -150,7 +157,7 @@ def _action(kind: LogKind) -> Column:
 
 
 def _typed(classified: DataFrame, kind: LogKind, keep: Sequence[str], line_col: str,
-           validate_ips: bool) -> DataFrame:
+           validate_ips: bool, kind_col: str | None = None) -> DataFrame:
     """Typed columns, ``first_of_line`` (a line's first row) and ``reject_reason`` (NULL for good rows)."""
     has_list = any("dest_list" in a.fields for a in kind.alternatives)
     df = classified
@@ -168,7 +175,13 @@ def _typed(classified: DataFrame, kind: LogKind, keep: Sequence[str], line_col:
     else:
         dest = empty_to_null(_field(kind, "dest"))
 
-    if kind.access:
+    type_id = F.lit(kind.log_type_id)
+    if kind_col is not None:
+        route = F.col(kind_col)
+        type_id = F.coalesce(*[F.when(route == name, F.lit(k.log_type_id)) for name, k in KINDS.items()])
+        stamp = F.when(route.isin([name for name, k in KINDS.items() if k.access]), access_timestamp(_field(kind, "stamp"))) \
+                 .otherwise(hdfs_timestamp(_field(kind, "date"), _field(kind, "time")))
+    elif kind.access:
         stamp = access_timestamp(_field(kind, "stamp"))
     else:
         stamp = hdfs_timestamp(_field(kind, "date"), _field(kind, "time"))
@@ -177,7 +190,7 @@ def _typed(classified: DataFrame, kind: LogKind, keep: Sequence[str], line_col:
     source = empty_to_null(_field(kind, "source"))
 
     cols = {
-        "log_type_id": F.lit(kind.log_type_id).cast("short"),
+        "log_type_id": type_id.cast("short"),
         "action_name": _action(kind),
         "log_timestamp": stamp,
         "source_ip": source,
@@ -217,6 +230,13 @@ def parse_typed(lines: DataFrame, kind: str | LogKind, line_col: str = "value",
     return _typed(classify(lines, k, line_col), k, list(keep), line_col, validate_ips)
 
 
+def parse_routed(lines: DataFrame, kind_col: str = "kind", line_col: str = "value",
+                 keep: Sequence[str] = (), validate_ips: bool = True) -> DataFrame:
+    """As :func:`parse_typed`, for lines of all kinds in one pass: ``kind_col`` names each line's kind."""
+    classified = classify(lines, ROUTED, line_col, kind_col)
+    return _typed(classified, ROUTED, list(dict.fromkeys([*keep, kind_col])), line_col, validate_ips, kind_col)
+
+
 def accepted(typed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return (typed.filter(F.col("reject_reason").isNull())
                  .select(*keep, *S.PARSED_FIELDS))

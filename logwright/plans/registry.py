@@ -655,6 +655,16 @@ def s07(spark, sf_dir):
     return _wall(store.read_wide(spark, _loaded(spark, sf_dir)).select(*_STORE_COLS))
 
 
+@register("s02_folder", ORACLE["s07_append_replay"])
+def s02_folder(spark, sf_dir):
+    """One scan of a folder: the three default files, and one of another name, which is skipped."""
+    root = scratch_path(spark, "folder")
+    lines = fixture_lines(spark, sf_dir)
+    _text_files(spark, sf_dir, root, lines)
+    lines.select("line").write.text(f"{root}/syslog")
+    return _wall(store.ingest(spark, root, f"{root}-store").tables.wide.select(*_STORE_COLS))
+
+
 @register("s09_store_q01", ORACLE["e2e_q01_from_raw"])
 def s09(spark, sf_dir):
     return Q.q01_total_logs_per_action_type(store.read_store(spark, _loaded(spark, sf_dir)), *Q01)

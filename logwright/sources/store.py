@@ -37,7 +37,7 @@ from .. import schema as S
 from ..operators import model as M
 from ..operators import parse as P
 from ..operators.reconcile import reconcile
-from .logs import read_log
+from .logs import read_folder, read_log
 from ..functions.ids import random_id
 
 WIDE_SCHEMA = T.StructType(
@@ -174,33 +174,34 @@ def _without_batch() -> T.StructType:
 
 # --- loads ------------------------------------------------------------------------
 
-def _typed_all(spark: SparkSession, inputs: dict, validate_ips: bool) -> tuple[DataFrame | None, list[str]]:
-    """Typed rows of the known kinds, and the kinds that no parser is known for (M7)."""
-    frames, unknown = [], []
+def _typed_all(spark: SparkSession, inputs, validate_ips: bool) -> DataFrame | None:
+    """Typed rows of the known kinds, parsed in one pass; other kinds are skipped (M7)."""
+    if isinstance(inputs, str):
+        return P.parse_routed(read_folder(spark, inputs), validate_ips=validate_ips)
+    frames = []
     for kind, src in inputs.items():
         if kind not in P.KINDS:
-            unknown.append(kind)
             continue
         lines = read_log(spark, src) if isinstance(src, str) else src
         col = "value" if "value" in lines.columns else "line"
-        typed = P.parse_typed(lines, kind, line_col=col, validate_ips=validate_ips)
-        frames.append(typed.withColumn("kind", F.lit(kind)))
-    return (M.union_all(frames) if frames else None), unknown
+        frames.append(lines.select(F.col(col).alias("value"), F.lit(kind).alias("kind")))
+    return P.parse_routed(M.union_all(frames), validate_ips=validate_ips) if frames else None
 
 
-def ingest(spark: SparkSession, inputs: dict, root: str, mode: str = "overwrite",
+def ingest(spark: SparkSession, inputs: dict | str, root: str, mode: str = "overwrite",
            validate_ips: bool = True, batch: str | None = None, rebalance: bool = False) -> IngestResult:
     """Parse raw text of each kind and load it as one batch.
 
     ``inputs`` maps a kind (``access``, ``dataxceiver``, ``namesystem``) to a path (or a
-    DataFrame of lines); unknown kinds are skipped. ``batch`` names the load, so that
+    DataFrame of lines), or is a folder of files under their default names, read in one
+    scan; unknown kinds are skipped. ``batch`` names the load, so that
     running it again adds nothing. Log files come in time order, so each task writes
     its own few days and nothing is shuffled; rows are sorted by the partition
     columns and the action id within the task, which keeps one open file per task and
     lets readers skip row groups. ``rebalance`` shuffles by partition instead, for
     inputs that are not in time order.
     """
-    typed, _ = _typed_all(spark, inputs, validate_ips)
+    typed = _typed_all(spark, inputs, validate_ips)
     if typed is None:
         raise ValueError("no input of a known log kind")
     w = M.to_wide(typed, id_col=F.lit(None).cast("string"), extra=["_line", "reject_reason", "kind", "first_of_line"])

@@ -253,3 +253,21 @@ def test_match_stats_per_file(spark, store):
     shapes = events.select((F.col("event_id") % 7).alias("s"))
     assert total == shapes.filter("s IN (1, 2, 3, 6)").count()
     assert matched == shapes.filter("s IN (1, 2, 3)").count()     # shape 6 is the WARN reject
+
+
+def test_folder_is_one_scan_and_routed(spark, store, tmp_path):
+    from logwright.sources import store as st
+    from logwright.sources.logs import LOG_FILES
+    lines = fixture_lines(spark, SF)
+    for k, name in LOG_FILES.items():
+        lines.filter(F.col("kind") == k).select("line").write.text(f"{tmp_path}/raw/day1/{name}")
+    lines.select("line").write.text(f"{tmp_path}/raw/access_log_full.bak")  # another name
+    typed = st._typed_all(spark, f"{tmp_path}/raw", True)
+    plan = typed._jdf.queryExecution().optimizedPlan()
+    assert len(spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(plan.collectLeaves())) == 1
+    cols = [c for c in read_wide(spark, store[1].root).columns if c != "id"]
+    first = st.ingest(spark, f"{tmp_path}/raw", f"{tmp_path}/store")
+    again = st.ingest(spark, {k: f"{store[0]}/raw/{k}" for k in LOG_FILES}, f"{tmp_path}/store2")
+    a, b = (sorted(map(str, r.tables.wide.select(*cols).collect())) for r in (first, again))
+    assert a == b and len(a) > 100
+    assert sorted(map(str, first.rejects.collect())) == sorted(map(str, again.rejects.collect()))
