@@ -178,6 +178,9 @@ def _typed_all(spark: SparkSession, inputs, validate_ips: bool) -> DataFrame | N
     """Typed rows of the known kinds, parsed in one pass; other kinds are skipped (M7)."""
     if isinstance(inputs, str):
         return P.parse_routed(read_folder(spark, inputs), validate_ips=validate_ips)
+    if isinstance(inputs, DataFrame):
+        return P.parse_routed(inputs.filter(F.col("kind").isin(*P.KINDS)).select("value", "kind"),
+                              validate_ips=validate_ips)
     frames = []
     for kind, src in inputs.items():
         if kind not in P.KINDS:
@@ -188,13 +191,13 @@ def _typed_all(spark: SparkSession, inputs, validate_ips: bool) -> DataFrame | N
     return P.parse_routed(M.union_all(frames), validate_ips=validate_ips) if frames else None
 
 
-def ingest(spark: SparkSession, inputs: dict | str, root: str, mode: str = "overwrite",
+def ingest(spark: SparkSession, inputs: dict | str | DataFrame, root: str, mode: str = "overwrite",
            validate_ips: bool = True, batch: str | None = None, rebalance: bool = False) -> IngestResult:
     """Parse raw text of each kind and load it as one batch.
 
     ``inputs`` maps a kind (``access``, ``dataxceiver``, ``namesystem``) to a path (or a
     DataFrame of lines), or is a folder of files under their default names, read in one
-    scan; unknown kinds are skipped. ``batch`` names the load, so that
+    scan, or a DataFrame of lines ``value`` with their ``kind``; unknown kinds are skipped. ``batch`` names the load, so that
     running it again adds nothing. Log files come in time order, so each task writes
     its own few days and nothing is shuffled; rows are sorted by the partition
     columns and the action id within the task, which keeps one open file per task and

@@ -21,7 +21,8 @@ def run_to_store(spark: SparkSession, inputs: dict, root: str, checkpoint: str,
 
     The kinds are unioned into a single streaming query so there is exactly one writer
     per store. With ``available_now`` the stream processes the files present now and
-    stops. The micro-batch's raw lines are persisted while they are parsed, once.
+    stops. A micro-batch is read and parsed once, by the job that writes its rows; its line counts
+    are those of its batch in ``store.read_stats``.
     """
     from ..sources.store import ingest
 
@@ -30,19 +31,13 @@ def run_to_store(spark: SparkSession, inputs: dict, root: str, checkpoint: str,
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         return reader.load(folder)
-    kinds = [k for k in inputs if k in P.KINDS]
-    streams = [source(inputs[k]).select("value", F.lit(k).alias("kind")) for k in kinds]
+    streams = [source(inputs[k]).select("value", F.lit(k).alias("kind")) for k in inputs if k in P.KINDS]
     lines = streams[0]
     for st in streams[1:]:
         lines = lines.unionByName(st)
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.persist()
-        try:
-            ingest(spark, {k: batch.filter(F.col("kind") == k).select("value") for k in kinds},
-                   root, mode="append", batch=f"{name}-{epoch}")
-        finally:
-            batch.unpersist()
+        ingest(spark, batch, root, mode="append", batch=f"{name}-{epoch}")
 
     w = lines.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if available_now:

@@ -211,6 +211,14 @@ def test_stream_to_store(spark, store):
     t = read_store(spark, f"{work}/streamed")
     assert t.log_entry.count() == res.tables.log_entry.count()
     assert t.log_access_detail.count() == res.tables.log_access_detail.count()
+    # line counts of the epochs add up to those of the files
+    from logwright.sources.store import read_stats
+    whole = {r["kind"]: (r["total_lines"], r["matched_lines"]) for r in read_stats(spark, f"{work}/store").collect()
+             if r["total_lines"]}
+    epochs = read_stats(spark, f"{work}/streamed")
+    assert all(r["batch"].startswith("stream-") for r in epochs.collect())
+    summed = epochs.groupBy("kind").agg(F.sum("total_lines").alias("t"), F.sum("matched_lines").alias("m"))
+    assert {r["kind"]: (r["t"], r["m"]) for r in summed.collect()} == whole and len(whole) == 3
 
 
 def _plan(df) -> str:
