@@ -23,7 +23,7 @@ Method.
    shingles) and each pair of blocks gets the texts once, whatever the number of trees that
    found its pairs. Every candidate pair is decided on the sets of shingles, whose
    intersections are products of 0/1 matrices; a class comes out once per unit, with its
-   number of links and its smallest linked class.
+   number of links and the first class of its links' component in the unit.
 5. Connected components of the links are the groups.
 
 Null or empty texts have no shingles and no links. Rows without an id take no part
@@ -285,7 +285,7 @@ _PART = ["cluster", "bi", "bj"]
 
 
 def _verified(batches):
-    """Blocks of a component with texts -> (node, links, smallest linked class)."""
+    """Blocks of a component with texts -> (node, links, first class of the links' component)."""
     for b, at in whole_groups(batches, _PART):
         marks, sets = _sets(b.column("text"))
         node = b.column("node").to_pylist()
@@ -315,6 +315,8 @@ def _verified(batches):
             size = np.array([len(sets[k]) for k in range(lo, hi)])
             union = size[x[i] - lo] + size[y[j] - lo] - inter
             link = inter * DEN >= union * NUM
+            # the smallest neighbours alone would not hold a chain of links together
+            first_of = lo + _local(hi - lo, x[i[link]] - lo, y[j[link]] - lo)
             ends = np.concatenate([x[i[link]], y[j[link]]])
             other = np.concatenate([y[j[link]], x[i[link]]])
             order = np.argsort(ends, kind="stable")
@@ -322,7 +324,7 @@ def _verified(batches):
             first = np.flatnonzero(np.diff(ends, prepend=-1))
             for s, e in zip(first, [*first[1:], len(ends)]):
                 far = other[s:e]
-                out.append((node[ends[s]], int(weight[far].sum()), min(node[f] for f in far)))
+                out.append((node[ends[s]], int(weight[far].sum()), node[first_of[ends[s] - lo]]))
         if out:
             c = list(zip(*out))
             yield pa.RecordBatch.from_arrays(

@@ -113,6 +113,21 @@ def test_hot_family_hides_no_hard_pair(spark):
     assert all(got[k]["n_links"] == 399 for k in range(2 * pairs, len(texts)))
 
 
+def test_chains_are_one_group(spark):
+    """Links hold a group together that no text of it links as a whole."""
+    texts = []
+    for c in range(6):  # neighbours share 88 of 104 shingles, others less than four fifths
+        w = [f"c{c}w{k}" for k in range(8 * 29 + 100)]
+        texts += [" ".join(w[8 * k:8 * k + 100]) for k in range(30)]
+    links, group = brute_links(texts)
+    assert sorted(set(group)) == [30 * c for c in range(6)] and max(map(len, links)) == 2
+    got = {r["doc_id"]: r for r in ngram_join.join(docs_of(spark, texts)).collect()}
+    assert [got[i]["n_links"] for i in range(len(texts))] == [len(x) for x in links]
+    assert [got[i]["group_id"] for i in range(len(texts))] == group
+    kept = ngram_join.one_of_each(docs_of(spark, texts)).collect()
+    assert sorted(r["doc_id"] for r in kept) == [30 * c for c in range(6)]
+
+
 def test_repeated_ids_are_judged_by_row(spark):
     a, b, c, d, e, f, g = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcdefg")
     rows = [(3, b), (5, a), (5, b + " z"), (6, c), (6, d), (7, e), (7, e + " z"), (7, f), (8, ""), (8, ""), (8, g),
