@@ -9,16 +9,18 @@ Method.
    ``TREES`` x ``DEPTH`` MinHash values (16 bits each). Documents with equal
    fingerprints are one class: copies are counted, never paired.
 2. Each tree of the forest is the sorted list of its ``DEPTH``-value prefixes. Rows are
-   dealt by (tree, first ``FLOOR`` values) and sorted within the partition - a sorted
-   prefix trie - and a scan keeps the classes that share a node of that depth.
-3. Classes that share a prefix of ``REACH`` values are compared by signature. A pair of
-   similarity s is found at depth d with probability 1 - (1 - s**d) ** TREES, and ``REACH``
-   is the greatest depth where this reaches ``TARGET`` at the threshold itself: a pair's
-   chance does not depend on what else the table holds. A pair counts in the first tree
-   where it matches. Pairs whose estimate lies five standard deviations below the threshold
-   are ruled out; of the rest only the local components are emitted, one row per class, so
-   a group of n near copies makes n rows, not n**2. A group of one prefix is dealt to
-   blocks by a hash of the class, and each pair of blocks is a bounded unit of work.
+   dealt by tree and prefix and sorted within the partition - a sorted prefix trie - and a
+   scan keeps the classes that share a node at the depth where the search ends.
+3. The search starts at whole prefixes and shortens them level by level, tree by tree, until
+   the target recall: a pair of similarity s that is looked for down to depth d(t) of tree t
+   is missed with probability prod(1 - s**d(t)), and ``AT`` holds the first depths where a
+   pair at the threshold itself is found with probability ``TARGET``, whatever else the
+   table holds. Each pair is tested at the longest prefix it shares (the first such tree),
+   and not again below: a node's unit leaves out the pairs of one child. Pairs whose
+   estimate lies five standard deviations below the threshold are ruled out; of the rest
+   only the local components are emitted, one row per class, so a group of n near copies
+   makes n rows, not n**2. A node is dealt to blocks by a hash of the class, and each
+   pair of blocks is a bounded unit of work.
 4. The components of these candidates are verified: each is dealt to blocks (by classes and
    shingles) and each pair of blocks gets the texts once, whatever the number of trees that
    found its pairs. Every candidate pair is decided on the sets of shingles, whose
@@ -26,6 +28,12 @@ Method.
    number of links and the first class of its links' component in the unit.
 5. Connected components of the links are the groups.
 
+Where only the groups matter (:func:`one_of_each`), prefixes shorten adaptively: at each
+level a node whose classes are in one group already is done; in the others one class
+of each group meets the node's smallest class, and its text is compared with that one
+alone. Steps 3 and 4 then test the pairs that are still in different groups, so the groups are
+the same and a family of near copies costs a text per class and level, not per pair of blocks.
+
 Null or empty texts have no shingles and no links. Rows without an id take no part
 (group null, no links). Repeated rows count as copies. Further columns are ignored.
 """
@@ -34,7 +42,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -42,15 +50,29 @@ from .groups import components, whole_groups
 from .runtime import Shield, likely_members, prepare, written
 from .words import U, mix, slices, windows
 
-SHINGLE, TREES, DEPTH, FLOOR = 5, 16, 6, 3
-TARGET = 0.9999
+SHINGLE, TREES, DEPTH = 5, 18, 6
+TARGET = 0.99999
 #: Similarity threshold as a fraction: intersection x 5 >= union x 4.
 NUM, DEN = 4, 5
 #: Classes per block, and shingles per block of texts.
 BLOCK, TEXT_SHINGLES = 1024, 1 << 20
 
-#: Greatest depth at which a pair of just that similarity is found with probability TARGET.
-REACH = max([FLOOR, *(d for d in range(FLOOR, DEPTH + 1) if 1 - (1 - (NUM / DEN) ** d) ** TREES >= TARGET)])
+
+def depths(trees: int = TREES, depth: int = DEPTH, similarity: float = NUM / DEN, target: float = TARGET) -> np.ndarray:
+    """Values that a pair must share in each tree: prefixes are shortened from the whole
+    ones, a level and a tree at a time, until a pair of the similarity is found with
+    probability ``target``."""
+    at = np.full(trees, depth)
+    for level in range(depth - 1, -1, -1):
+        for t in range(trees):
+            if 1 - np.prod(1 - similarity ** at) >= target:
+                return at
+            if level:
+                at[t] = level
+    raise ValueError(f"{trees} trees of {depth} values do not find pairs of {similarity} with probability {target}")
+
+
+AT = depths()
 
 _rng = np.random.default_rng(5_2024)
 _XOR = _rng.integers(0, 1 << 32, TREES * DEPTH, dtype=np.uint32)
@@ -129,8 +151,13 @@ def signed(docs: DataFrame) -> DataFrame:
 
 # --- forest -----------------------------------------------------------------------
 
+def _depth() -> Column:
+    """The depth at which the search of a row's tree ends."""
+    return F.element_at(F.array(*[F.lit(int(d)) for d in AT]), F.col("tree") + 1)
+
+
 def forest(classes: DataFrame) -> DataFrame:
-    """(tree, prefix, node): classes that share ``FLOOR`` values of a tree; prefix has all values."""
+    """(tree, prefix, node): classes that share ``AT`` values of a tree; prefix has all values."""
     def rows(batches):
         for b in batches:
             sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint16).reshape(-1, TREES, DEPTH)
@@ -149,7 +176,7 @@ def forest(classes: DataFrame) -> DataFrame:
             prefix = b.column("prefix").to_pylist()
             keep = np.zeros(b.num_rows, bool)
             before = None
-            keys = [(t, p[:2 * FLOOR]) for t, p in zip(tree.tolist(), prefix)]
+            keys = [(t, p[:2 * AT[t]]) for t, p in zip(tree.tolist(), prefix)]
             for k, key in enumerate(keys):
                 if k and key == keys[k - 1]:
                     keep[k - 1] = keep[k] = True
@@ -163,25 +190,24 @@ def forest(classes: DataFrame) -> DataFrame:
                 # the last row waits, unless it is known to be shared
                 last = (keys[-1], None if keep[-1] else b.slice(b.num_rows - 1))
     dealt = (classes.select("node", "sig").mapInArrow(rows, "tree int, prefix binary, node binary")
-             .repartition("tree", F.substring("prefix", 1, 2 * FLOOR))
+             .repartition("tree", F.substring("prefix", F.lit(1), 2 * _depth()))
              .sortWithinPartitions("tree", "prefix"))
     return written(dealt.mapInArrow(shared, "tree int, prefix binary, node binary"), "forest")
 
 
-def _codes(x: np.ndarray, depth: int) -> np.ndarray:
-    """One number per tree: its first ``depth`` values."""
+def _codes(x: np.ndarray, depth: np.ndarray) -> np.ndarray:
+    """One number per tree: its first values, ``depth`` of each tree."""
     out = np.zeros((len(x), TREES), U)
     with np.errstate(over="ignore"):
-        for k in range(depth):
-            out = mix(out * U(0x9E3779B97F4A7C15) + x[:, :, k].astype(U) + U(1))
+        for k in range(DEPTH):
+            on = np.flatnonzero(depth > k)
+            out[:, on] = mix(out[:, on] * U(0x9E3779B97F4A7C15) + x[:, on, k].astype(U) + U(1))
     return out
 
 
-def _likely(a: np.ndarray, b: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the set pairs (rows of a x rows of b): rows and columns of those that the
-    signatures do not rule out."""
+def _likely(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs (row i of a, row j of b) those that the signatures do not rule out."""
     least = (NUM / DEN - 5 * np.sqrt(NUM * (DEN - NUM)) / DEN / np.sqrt(TREES * DEPTH)) * TREES * DEPTH
-    i, j = np.nonzero(pairs)
     same = np.zeros(len(i), np.int64)
     for k in range(0, len(i), 1 << 16):
         x, y = i[k:k + (1 << 16)], j[k:k + (1 << 16)]
@@ -190,20 +216,25 @@ def _likely(a: np.ndarray, b: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray
     return i[keep], j[keep]
 
 
-def _fresh(a: np.ndarray, b: np.ndarray, tree: int) -> np.ndarray:
-    """Pairs that are due in this tree: not those that match in an earlier one."""
-    ca, cb = _codes(a, REACH), _codes(b, REACH)
-    due = np.ones((len(a), len(b)), bool)
-    for t in range(tree):
-        due &= ca[:, None, t] != cb[None, :, t]
-    return due
+def _due(a: np.ndarray, b: np.ndarray, apart: np.ndarray, tree: int, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a and b of the pairs to test at a node: of those ``apart`` the ones that match
+    nowhere at a longer prefix, nor at one of this length in an earlier tree."""
+    if level < DEPTH:
+        apart = apart & (a[:, None, tree, level] != b[None, :, tree, level])
+    i, j = np.nonzero(apart)
+    depth = np.maximum(AT, level + (np.arange(TREES) >= tree))
+    ca, cb = _codes(a, depth), _codes(b, depth)
+    for t in np.flatnonzero(depth <= DEPTH):
+        new = ca[i, t] != cb[j, t]
+        i, j = i[new], j[new]
+    return i, j
 
 
 def _sigs(col: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), np.uint16).reshape(-1, TREES, DEPTH)
 
 
-_UNIT = ["tree", "prefix", "bi", "bj"]
+_UNIT = ["tree", "level", "prefix", "bi", "bj"]
 
 
 def _local(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -221,17 +252,18 @@ def _local(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _candidates(batches):
-    """Units of signatures -> (a, b) edges of local components."""
+    """Units of signatures -> (a, b, level) edges of local components."""
     for b, at in whole_groups(batches, _UNIT):
-        tree, bi, bj = (b.column(c).to_numpy() for c in ("tree", "bi", "bj"))
-        side, sig = b.column("side").to_numpy(), _sigs(b.column("sig"))
+        tree, level, bi, bj, side, known = (b.column(c).to_numpy() for c in ("tree", "level", "bi", "bj", "side", "known"))
+        sig = _sigs(b.column("sig"))
         left, right = [], []
         for lo, hi in zip(at, at[1:]):
             one = bi[lo] == bj[lo]
             x = np.arange(lo, hi) if one else lo + np.flatnonzero(side[lo:hi] == 0)
             y = x if one else lo + np.flatnonzero(side[lo:hi] == 1)
-            due = _fresh(sig[x], sig[y], int(tree[lo]))
-            i, j = _likely(sig[x], sig[y], np.triu(due, 1) if one else due)
+            apart = known[x][:, None] != known[y][None, :]
+            i, j = _due(sig[x], sig[y], np.triu(apart, 1) if one else apart, int(tree[lo]), int(level[lo]))
+            i, j = _likely(sig[x], sig[y], i, j)
             if not len(i):
                 continue
             label = lo + _local(hi - lo, x[i] - lo, y[j] - lo)
@@ -240,7 +272,9 @@ def _candidates(batches):
             right += label[far].tolist()
         if left:
             node = b.column("node").cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([node.take(pa.array(left)), node.take(pa.array(right))], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays(
+                [node.take(pa.array(left)), node.take(pa.array(right)), pa.array(level[left], pa.int32())],
+                names=["a", "b", "level"])
 
 
 def _sets(col: pa.Array) -> tuple[list[bytes | None], list[np.ndarray]]:
@@ -290,7 +324,7 @@ def _verified(batches):
         marks, sets = _sets(b.column("text"))
         node = b.column("node").to_pylist()
         sig, weight = _sigs(b.column("sig")), b.column("weight").to_numpy()
-        side, bi, bj = (b.column(c).to_numpy() for c in ("side", "bi", "bj"))
+        side, bi, bj, known = (b.column(c).to_numpy() for c in ("side", "bi", "bj", "known"))
         out = []
         for lo, hi in zip(at, at[1:]):
             # an id may have had other texts too: take the one of this class, once
@@ -304,11 +338,12 @@ def _verified(batches):
             x, y = (own, own) if one else (own[side[own] == 0], own[side[own] == 1])
             if not len(x) or not len(y):
                 continue
-            ca, cb = _codes(sig[x], REACH), _codes(sig[y], REACH)
+            ca, cb = _codes(sig[x], AT), _codes(sig[y], AT)
             match = np.zeros((len(x), len(y)), bool)
             for t in range(TREES):
                 match |= ca[:, None, t] == cb[None, :, t]
-            i, j = _likely(sig[x], sig[y], np.triu(match, 1) if one else match)
+            match &= known[x][:, None] != known[y][None, :]
+            i, j = _likely(sig[x], sig[y], *np.nonzero(np.triu(match, 1) if one else match))
             if not len(i):
                 continue
             inter = intersections([sets[k] for k in x], None if one else [sets[k] for k in y])[i, j]
@@ -342,33 +377,91 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
             .drop("own", "far", "blocks"))
 
 
-def _edges(trees: DataFrame, shared: DataFrame) -> DataFrame:
-    """Candidate edges of the pairs that share a prefix of ``REACH`` values, written."""
-    cut = trees.select("tree", F.substring("prefix", 1, 2 * REACH).alias("prefix"), "node")
-    groups = (cut.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-              .select("tree", "prefix", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    units = (_block_pairs(cut.join(groups, ["tree", "prefix"])).join(shared, "node")
-             .select(*_UNIT, "side", "node", "sig").repartition(*_UNIT).sortWithinPartitions(*_UNIT, "node"))
-    return written(units.mapInArrow(_candidates, "a binary, b binary"), "edges")
-
-
-def _verify(edges: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, links, label) of the verified links among the candidates, written."""
-    clusters = written(components(edges).join(classes, "node")
-                       .select(F.col("label").alias("cluster"), "node", "rep", "weight", "size", "sig"), "clusters")
-    blocks = (clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("s"))
-              .select("cluster", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("s") / TEXT_SHINGLES))
-                      .cast("int").alias("blocks")))
-    need = clusters.select(F.col("rep").alias("doc_id")).distinct()
+def _known(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` with ``known``, a number of the group that their class is in so far."""
+    if labels is None:
+        return rows.withColumn("known", F.xxhash64("node"))
+    return rows.join(labels, "node", "left").withColumn("known", F.xxhash64(F.coalesce("label", "node"))).drop("label")
+
+
+def _nodes(trees: DataFrame) -> DataFrame:
+    """(tree, level, prefix, child, node): the nodes above each row, longest prefix first."""
+    return (trees.withColumn("level", F.explode(F.sequence(F.lit(DEPTH), _depth(), F.lit(-1))))
+            .select("tree", "level", F.substring("prefix", F.lit(1), 2 * F.col("level")).alias("prefix"),
+                    F.substring("prefix", 2 * F.col("level") + 1, F.lit(2)).alias("child"), "node"))
+
+
+def _edges(trees: DataFrame, shared: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """(a, b, level) candidate edges of the pairs that share a node, written; with ``labels``
+    (node, label) of the pairs in different groups."""
+    key = ["tree", "level", "prefix"]
+    rows = _known(_nodes(trees), labels)
+    groups = (rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"),
+                                     ((F.col("level") == DEPTH) | (F.min("child") < F.max("child"))).alias("forked"),
+                                     (F.min("known") < F.max("known")).alias("apart"))
+              .filter("forked and apart").select(*key, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    units = (_block_pairs(rows.drop("child").join(groups, key)).join(shared, "node")
+             .select(*_UNIT, "side", "node", "known", "sig").repartition(*_UNIT).sortWithinPartitions(*_UNIT, "node"))
+    return written(units.mapInArrow(_candidates, "a binary, b binary, level int"), "edges")
+
+
+def _texts(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rows`` (with ``rep``) and the texts of those ids: every one, if an id has several."""
+    need = rows.select(F.col("rep").alias("doc_id")).distinct()
     # only candidates' texts are shuffled (an inner join: the optimizer would move a
     # semi-join below the bitmap)
     texts = (likely_members(docs.select("doc_id", "text"), need, "doc_id").join(need, "doc_id")
              .withColumn("t", F.xxhash64("text")).dropDuplicates(["doc_id", "t"])
              .select(F.col("doc_id").alias("rep"), "text"))
-    units = (_block_pairs(clusters.drop("size").join(blocks, "cluster").join(texts, "rep"))
-             .select(*_PART, "side", "node", "weight", "sig", "text")
+    return rows.join(texts, "rep")
+
+
+def _linked(units: DataFrame) -> DataFrame:
+    """(node, links, label) of the verified links of units with texts, written."""
+    dealt = (units.select(*_PART, "side", "node", "weight", "known", "sig", "text")
              .repartition(*_PART).sortWithinPartitions(*_PART, "node"))
-    return written(units.mapInArrow(_verified, "node binary, links long, label binary"), "links")
+    return written(dealt.mapInArrow(_verified, "node binary, links long, label binary"), "links")
+
+
+def _blocks() -> Column:
+    """Blocks of a cluster of classes, by number and by shingles."""
+    return F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / TEXT_SHINGLES)).cast("int").alias("blocks")
+
+
+def _verify(edges: DataFrame, classes: DataFrame, docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """Links among the candidates."""
+    clusters = written(_known(components(edges).withColumnRenamed("label", "cluster"), labels).join(classes, "node")
+                       .select("cluster", "node", "known", "rep", "weight", "size", "sig"), "clusters")
+    blocks = clusters.groupBy("cluster").agg(_blocks())
+    return _linked(_block_pairs(_texts(clusters.drop("size").join(blocks, "cluster"), docs)))
+
+
+def _descent(trees: DataFrame, full: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+    """(links, labels) found from the longest prefixes down, a text per class and level.
+
+    ``full``: node, weight, size, sig, text of the classes in ``trees``. At each level a node
+    whose classes have one label is done; else one class of each label meets the node's
+    smallest class. A pair is tested once.
+    """
+    links = labels = tested = None
+    for level in range(DEPTH, int(AT.min()) - 1, -1):
+        rows = _known(_nodes(trees).filter(F.col("level") == level), labels)
+        heads = rows.groupBy("tree", "prefix", "known").agg(F.min("node").alias("a"))
+        hubs = heads.groupBy("tree", "prefix").agg(F.min("a").alias("b"), F.max("a").alias("z")).filter("b < z").drop("z")
+        pairs = heads.join(hubs, ["tree", "prefix"]).filter("a != b").select("a", "b")
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = written(pairs.groupBy("a").agg(F.min("b").alias("b")), "pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        sizes = pairs.join(full.select(F.col("node").alias("a"), "size"), "a").groupBy("b").agg(_blocks())
+        ends = (pairs.join(sizes, "b").select(F.col("b").alias("cluster"), F.col("a").alias("node"), F.lit(0).alias("side"),
+                                              F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int").alias("bi"))
+                .unionByName(sizes.select(F.col("b").alias("cluster"), F.col("b").alias("node"), F.lit(1).alias("side"),
+                                          F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("bi"))))
+        found = _linked(_known(ends.withColumn("bj", F.lit(-1)), None).join(full, "node"))
+        links = found if links is None else links.unionByName(found)
+        labels = components(links.select(F.col("node").alias("a"), F.col("label").alias("b")))
+    return links, labels
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -382,7 +475,8 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def _placed(docs: DataFrame, clusters: bool = False) -> DataFrame:
-    """:func:`join`; with ``clusters`` also node and cluster, one value per group."""
+    """:func:`join`; with ``clusters`` also node and cluster, one value per group, and n_links
+    counts only the links that were needed to find the groups."""
     prepare(docs.sparkSession)
     sign = signed(docs)
     some = sign.filter(F.col("doc_id").isNotNull() & F.col("node").isNotNull())
@@ -392,7 +486,13 @@ def _placed(docs: DataFrame, clusters: bool = False) -> DataFrame:
     trees = forest(classes)
     # the signatures of those classes only that share a prefix with another one
     shared = written(classes.join(trees.select("node").distinct(), "node", "left_semi").select("node", "sig"), "shared")
-    found = _verify(_edges(trees, shared), classes, docs)
+    early = labels = None
+    if clusters:
+        own = classes.join(shared.select("node"), "node").select("node", "rep", "weight", "size", "sig")
+        early, labels = _descent(trees, written(_texts(own, docs).drop("rep"), "texts"))
+    found = _verify(_edges(trees, shared, labels), classes, docs, labels)
+    if clusters:
+        found = early.unionByName(found)
     links = written(found.groupBy("node").agg(F.sum("links").alias("links"),
                                               F.collect_set("label").alias("near")), "links")
     label = components(links.select(F.col("node").alias("a"), F.explode("near").alias("b")))

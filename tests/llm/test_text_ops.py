@@ -113,6 +113,58 @@ def test_hot_family_hides_no_hard_pair(spark):
     assert all(got[k]["n_links"] == 399 for k in range(2 * pairs, len(texts)))
 
 
+def test_prefixes_shorten_to_the_target():
+    missed = 1.0
+    for d in ngram_join.AT:
+        missed *= 1 - 0.8 ** int(d)
+    assert 1 - missed >= ngram_join.TARGET
+    # a step less would not do
+    step = list(ngram_join.AT)
+    step[max(k for k, d in enumerate(step) if d == min(step))] += 1
+    missed = 1.0
+    for d in step:
+        missed *= 1 - 0.8 ** int(d)
+    assert 1 - missed < ngram_join.TARGET
+    with pytest.raises(ValueError):
+        ngram_join.depths(trees=2)
+
+
+def test_close_pairs_meet_at_longer_prefixes(spark):
+    """Each pair is tested once, at the longest prefix that it shares."""
+    texts, pairs = [], 4000
+    for c in range(pairs):  # 61 of 63 shingles (0.97), or 40 of 50 (0.8)
+        w = [f"c{c}w{j}" for j in range(65 if c % 2 else 49)]
+        texts += [" ".join(w), " ".join([*w, "y", "z"] if c % 2 else [*w[:20], f"y{c}", *w[21:]])]
+    near, hard = (len(shingles(texts[k]) & shingles(texts[k + 1])) / len(shingles(texts[k]) | shingles(texts[k + 1]))
+                  for k in (2, 0))
+    assert hard == 0.8 and near > 0.95
+    sign = ngram_join.signed(docs_of(spark, texts))
+    classes = sign.select("node", "sig")
+    edges = ngram_join._edges(ngram_join.forest(classes), classes)
+    kind = {bytes(r["node"]): r["doc_id"] // 2 for r in sign.collect()}
+    level = {}
+    for r in edges.collect():
+        assert kind[bytes(r["a"])] == kind[bytes(r["b"])] not in level
+        level[kind[bytes(r["a"])]] = r["level"]
+    assert len(level) == pairs
+    close, far = ([v for c, v in level.items() if c % 2 == odd] for odd in (1, 0))
+    # no whole prefix in common: (1 - s ** DEPTH) ** TREES of the pairs
+    expect = pairs / 2 * (1 - hard ** ngram_join.DEPTH) ** ngram_join.TREES
+    below = sum(v < ngram_join.DEPTH for v in far)
+    assert set(close) == {ngram_join.DEPTH} and expect > 5
+    assert abs(below - expect) < 5 * expect ** 0.5 and min(far) >= ngram_join.AT.min()
+
+
+@pytest.mark.parametrize("block", [1024, 4])
+def test_groups_alone_equal_brute_force(spark, monkeypatch, block):
+    """The descent that skips pairs of one group finds the same groups."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    texts = corpus(8) + corpus(9)
+    _, group = brute_links(texts)
+    rows = ngram_join._placed(docs_of(spark, texts), True).collect()
+    assert sorted((r["doc_id"], r["group_id"]) for r in rows) == list(enumerate(group))
+
+
 def test_chains_are_one_group(spark):
     """Links hold a group together that no text of it links as a whole."""
     texts = []
