@@ -12,11 +12,15 @@ the corpus; where an anchor occurs in two documents or more, the windows around
 its extensions, and only these are compared as a whole (128 bits). A window whose
 smallest document is another one is covered.
 
-Spark's part. Anchors and windows are dealt by hash and sorted within the partition; a
-scan with one row of memory finds the runs, so a passage that very many documents
-share needs no group in memory and makes no pairs. Exact copies of a text are found
-first by digest and take no part: all their windows also start in the first copy.
-Texts are shuffled once, by id, and that exchange is used by every pass.
+Spark's part. A task decides the anchors and windows that it meets in a second document
+before the exchange (``_Seen``): such rows are dealt evenly, and by its hash goes about one row
+of a key and task, so a passage that very many documents share makes no large task. The
+rest is dealt by hash and sorted within the partition; a scan with one row of memory
+finds the runs, without groups in memory and without pairs. Exact copies of a text are found
+first, in the same way by digest, and take no part: all their windows also start in the
+first copy. Texts are shuffled once, by id, and that exchange is used by every pass. What a task
+decides early depends on the order of its rows, so they are sorted first: a task that runs
+again after a loss deals the same rows.
 
 Null texts have no words. Rows without an id remove nothing and lose nothing. Repeated
 rows of an id each give a row; an id removes nothing from its own rows. Texts shorter
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from .runtime import Shield, prepare, written
-from .words import U, mix, slices, windows
+from .words import slices, windows
 
 LENGTH = 13
 
@@ -63,7 +67,7 @@ def _signed(h: np.ndarray) -> pa.Array:
 
 
 def anchors(docs: DataFrame, length: int) -> DataFrame:
-    """(anchor, doc_id): hashes at the cover positions of every text."""
+    """(a, doc_id, done): hashes at the cover positions of every text; done: known to be shared."""
     period, size = shape(length)
     member = np.zeros(period, bool)
     member[list(cover(period))] = True
@@ -79,12 +83,10 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
                 at = np.flatnonzero(member[(np.arange(len(a)) - ptr[text]) % period])
                 # texts without a whole window cannot match
                 at = at[s.n_words[text[at]] >= length]
-                # once per text, in the order of the texts
-                _, one = np.unique(mix(a[at] + mix(text[at].astype(U))), return_index=True)
-                at = at[np.sort(one)]
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(a[at]), pa.array(ids[s.first + text[at]])], names=["anchor", "doc_id"])
-    return docs.mapInArrow(run, "anchor long, doc_id long")
+                    [_signed(a[at]), pa.array(ids[s.first + text[at]])], names=["a", "doc_id"])
+    ordered = docs.sortWithinPartitions("doc_id", "text")
+    return ordered.mapInArrow(_early(_gathered(run), "share"), "a long, doc_id long, done boolean")
 
 
 def _runs(keys: list[np.ndarray]) -> np.ndarray:
@@ -96,46 +98,130 @@ def _runs(keys: list[np.ndarray]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+#: Slots of a task's table of keys, as a power of two: 9 MB whatever the data.
+SEEN = 18
+
+
+class _Seen:
+    """Keys that a task has met, each with one of its documents, in a fixed number of slots.
+
+    A key without a slot is only dealt by its hash again: what is decided here is never more
+    than the exchange would have found, and every key goes through the exchange at least once.
+    """
+
+    def __init__(self):
+        n = 1 << SEEN
+        self.a, self.b, self.doc = (np.zeros(n, np.int64) for _ in range(3))
+        # told: the slot's document was given as one of a shared key; hot: met again lately
+        self.used, self.told, self.hot = (np.zeros(n, bool) for _ in range(3))
+
+    def _has(self, slot, a, b):
+        return self.used[slot] & (self.a[slot] == a) & (self.b[slot] == b)
+
+    def split(self, a, b, d, rule: str):
+        """((a, b, doc) to deal by hash, (a, b, doc) decided) of a batch of keys (a, b).
+
+        ``rule``: "share" decides every document of a key that another one has too, "later"
+        those that are not the key's smallest one.
+        """
+        order = np.lexsort((d, b, a))
+        order = order[_starts([a[order], b[order], d[order]])]  # a row of each key and document
+        a, b, d = a[order], b[order], d[order]
+        start = _starts([a, b])
+        size = np.diff(np.append(start, len(a)))
+        ka, kb, least, most = a[start], b[start], d[start], d[start + size - 1]
+        slot = ka & ((1 << SEEN) - 1)
+        old = self._has(slot, ka, kb)
+        was = np.where(old, self.doc[slot], least)
+        if rule == "share":
+            lead, share = was, (least != was) | (most != was)
+            row = d != np.repeat(lead, size)
+            former, deal = share & ~(old & self.told[slot]), ~old
+        else:
+            lead, share = np.minimum(was, least), np.zeros(len(start), bool)
+            row = d > np.repeat(lead, size)
+            former, deal = least < was, ~old | (least < was)
+        done = [np.concatenate([x[row], y[former]]) for x, y in ((a, ka), (b, kb), (d, was))]
+        self._keep(slot, ka, kb, lead, share, size > 1, old)
+        return (ka[deal], kb[deal], least[deal]), done
+
+    def _keep(self, slot, a, b, doc, told, again, old):
+        held = self.used[slot] & self.hot[slot]
+        new = np.flatnonzero(~old & ~held)
+        at = slot[new]
+        self.a[at], self.b[at], self.doc[at] = a[new], b[new], doc[new]
+        self.told[at], self.hot[at], self.used[at] = told[new], again[new], True
+        self.hot[slot[~old & held]] = False  # a second chance
+        same = np.flatnonzero(old & self._has(slot, a, b))
+        at = slot[same]
+        self.doc[at], self.hot[at] = doc[same], True
+        self.told[at] |= told[same]
+
+
+def _starts(keys: list[np.ndarray]) -> np.ndarray:
+    return _runs(keys) if len(keys[0]) else np.zeros(0, np.int64)
+
+
+def _early(run, rule: str):
+    """The batches of a function with ``done``: rows that :class:`_Seen` has decided."""
+    def split(batches):
+        seen = _Seen()
+        for t in run(batches):
+            a, d = t.column("a").to_numpy(), t.column("doc_id").to_numpy()
+            two = "b" in t.schema.names
+            b = t.column("b").to_numpy() if two else np.zeros(len(a), np.int64)
+            deal, done = seen.split(a, b, d, rule)
+            ka, kb, doc = (pa.array(np.concatenate(x)) for x in zip(deal, done))
+            flag = pa.array(np.arange(len(ka)) >= len(deal[0]))
+            names = ["a", *["b"] * two, "doc_id", "done"]
+            yield pa.RecordBatch.from_arrays([ka, *[kb] * two, doc, flag], names=names)
+    return split
+
+
+def _dealt(found: DataFrame, *key: str) -> DataFrame:
+    """Rows to decide by their key's hash, decided ones evenly; sorted, the decided ones last."""
+    deal = F.when(F.col("done"), F.xxhash64("doc_id", "a")).otherwise(F.col("a"))
+    return found.repartition(deal).sortWithinPartitions("done", *key, "doc_id")
+
+
+def _undecided(batches):
+    """(rows to decide, decided rows) of each batch that has rows."""
+    for t in batches:
+        if t.num_rows:
+            n = t.num_rows - int(np.count_nonzero(t.column("done").to_numpy(zero_copy_only=False)))
+            yield t.slice(0, n), t.slice(n)
+
+
 def shared_anchors(found: DataFrame) -> DataFrame:
-    """(doc_id, anchor) of the anchors that two documents or more have."""
+    """(doc_id, a) of the anchors that two documents or more have; rows may repeat."""
     def run(batches):
         key = doc = None  # the last run so far and its first document
         many = False
-        for b in batches:
+        for b, decided in _undecided(batches):
+            if decided.num_rows:
+                yield decided.select(["doc_id", "a"])
             if not b.num_rows:
                 continue
-            k, d = b.column(0).to_numpy(), b.column(1).to_numpy()
+            k, d = b.column("a").to_numpy(), b.column("doc_id").to_numpy()
             start = _runs([k])
-            stop = np.append(start[1:], len(k))
+            size = np.diff(np.append(start, len(k)))
             first = d[start].copy()
             old = key is not None and k[0] == key
             if old:
                 first[0] = doc
-            share = d[stop - 1] != first
+            share = d[start + size - 1] != first
             if old:
+                if share[0] and not many:  # the run's first document waited for a second one
+                    yield pa.RecordBatch.from_arrays([pa.array([doc]), pa.array([key])], names=["doc_id", "a"])
                 share[0] |= many
-            size = stop - start
-            new_doc = np.ones(len(d), bool)
-            new_doc[1:] = (d[1:] != d[:-1]) | (k[1:] != k[:-1])
-            keep = np.repeat(share, size) & new_doc
-            if old:  # the run's first document is given when the second one comes
-                if not many:
-                    keep[0] &= d[0] != doc
-                    if share[0]:
-                        yield pa.RecordBatch.from_arrays([pa.array([doc]), pa.array([key])],
-                                                         names=["doc_id", "anchor"])
-                        keep[:size[0]] &= d[:size[0]] != doc
-                else:
-                    keep[0] &= d[0] != seen
-            yield pa.RecordBatch.from_arrays([pa.array(d[keep]), pa.array(k[keep])],
-                                             names=["doc_id", "anchor"])
-            key, doc, many, seen = k[-1], first[-1], bool(share[-1]), d[-1]
-    return (found.repartition("anchor").sortWithinPartitions("anchor", "doc_id")
-            .mapInArrow(run, "doc_id long, anchor long"))
+            keep = np.repeat(share, size)
+            yield pa.RecordBatch.from_arrays([pa.array(d[keep]), pa.array(k[keep])], names=["doc_id", "a"])
+            key, doc, many = k[-1], first[-1], bool(share[-1])
+    return _dealt(found, "a").mapInArrow(run, "doc_id long, a long")
 
 
 def extensions(docs: DataFrame, length: int) -> DataFrame:
-    """(a, b, doc_id): hashes of the distinct windows that hold a shared anchor.
+    """(a, b, doc_id, done): hashes of the windows that hold a shared anchor; done: known to be covered.
 
     ``docs``: doc_id, text, shared (the anchors of the text that others have, or null).
     """
@@ -175,7 +261,11 @@ def extensions(docs: DataFrame, length: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [_signed(w[at]), _signed(v[at]), pa.array(np.full(len(at), ids[have[row]]))],
                         names=["a", "b", "doc_id"])
-    return docs.mapInArrow(_gathered(run), "a long, b long, doc_id long")
+    ordered = docs.sortWithinPartitions("doc_id", "text")
+    return ordered.mapInArrow(_early(_gathered(run), "later"), _ROWS)
+
+
+_ROWS = "a long, b long, doc_id long, done boolean"
 
 
 def _gathered(run, rows: int = 50_000):
@@ -194,13 +284,15 @@ def _gathered(run, rows: int = 50_000):
 
 
 def covered(found: DataFrame) -> DataFrame:
-    """(doc_id, a) of the windows that also start in a document with a smaller id."""
+    """(doc_id, a) of the rows whose (a, b) a smaller id has too; rows may repeat."""
     def run(batches):
         last = None  # (a, b, smallest document) of the last run so far
-        for t in batches:
+        for t, decided in _undecided(batches):
+            if decided.num_rows:
+                yield decided.select(["doc_id", "a"])
             if not t.num_rows:
                 continue
-            a, b, d = (t.column(k).to_numpy() for k in range(3))
+            a, b, d = (t.column(k).to_numpy() for k in ("a", "b", "doc_id"))
             start = _runs([a, b])
             first = d[start].copy()
             if last is not None and (a[0], b[0]) == last[:2]:
@@ -208,8 +300,17 @@ def covered(found: DataFrame) -> DataFrame:
             keep = d > np.repeat(first, np.diff(np.append(start, len(d))))
             yield pa.RecordBatch.from_arrays([pa.array(d[keep]), pa.array(a[keep])], names=["doc_id", "a"])
             last = (a[-1], b[-1], first[-1])
-    return (found.repartition("a").sortWithinPartitions("a", "b", "doc_id")
-            .mapInArrow(run, "doc_id long, a long"))
+    return _dealt(found, "a", "b").mapInArrow(run, "doc_id long, a long")
+
+
+def _copies(texts: DataFrame) -> DataFrame:
+    """(doc_id, marks): marks of the texts that a smaller id has too."""
+    half = lambda at: F.conv(F.substring("m", at, 15), 16, 10).cast("long")
+    marks = (texts.filter(F.col("text").isNotNull()).select("doc_id", F.md5("text").alias("m"))
+             .select(half(1).alias("a"), half(16).alias("b"), F.col("doc_id").cast("long").alias("doc_id"))
+             .sortWithinPartitions("a", "b", "doc_id"))
+    found = marks.mapInArrow(_early(lambda batches: (b for b in batches if b.num_rows), "later"), _ROWS)
+    return written(covered(found).groupBy("doc_id").agg(F.collect_set("a").alias("marks")), "copies")
 
 
 def _removed(docs: DataFrame, length: int, *carry: str) -> DataFrame:
@@ -220,20 +321,18 @@ def _removed(docs: DataFrame, length: int, *carry: str) -> DataFrame:
     cols = ["doc_id", "text", *carry]
     texts = docs.select(*cols).filter(F.col("doc_id").isNotNull())
     # copies of a text: every one but those of its smallest id (an id may have several texts)
-    marks = texts.filter(F.col("text").isNotNull()).select("doc_id", F.md5("text").alias("m"))
-    firsts = marks.groupBy(F.col("m").alias("m1")).agg(F.min("doc_id").alias("first"))
-    copies = written(marks.join(firsts, F.col("m") == F.col("m1")).filter(F.col("doc_id") > F.col("first"))
-                     .groupBy("doc_id").agg(F.collect_set("m").alias("marks")), "copies").hint("shuffle_hash")
-    is_copy = F.coalesce(F.array_contains("marks", F.md5("text")), F.lit(False))
+    copies = _copies(texts)
+    mark = F.conv(F.substring(F.md5("text"), 1, 15), 16, 10).cast("long")
+    is_copy = F.coalesce(F.array_contains("marks", mark), F.lit(False))
     by_id = texts.repartition("doc_id")
     take_part = by_id.join(copies, "doc_id", "left").filter(~is_copy).select(*cols)
     shared = (shared_anchors(anchors(take_part, length))
-              .groupBy("doc_id").agg(F.collect_list("anchor").alias("shared")))
-    around = by_id.join(shared.hint("shuffle_hash"), "doc_id", "left").select(*cols, "shared")
+              .groupBy("doc_id").agg(F.collect_list("a").alias("shared")))
+    around = by_id.join(shared, "doc_id", "left").select(*cols, "shared")
     gone = covered(extensions(around, length)).groupBy("doc_id").agg(F.collect_list("a").alias("gone"))
     alone = docs.filter(F.col("doc_id").isNull()).select(
         *cols, F.lit(None).cast("array<long>").alias("gone"), F.lit(False).alias("copy"))
-    return (by_id.join(gone.hint("shuffle_hash"), "doc_id", "left").join(copies, "doc_id", "left")
+    return (by_id.join(gone, "doc_id", "left").join(copies, "doc_id", "left")
             .select(*cols, "gone", is_copy.alias("copy")).unionByName(alone))
 
 

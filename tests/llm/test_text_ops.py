@@ -5,9 +5,11 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from logwright.llm import line_rules, ngram_join, packing, substring_dedup
+from logwright.llm.runtime import prepare
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, node string, label string, kept int"
@@ -193,6 +195,10 @@ def test_repeated_ids_are_judged_by_row(spark):
                             (None, a)])
 
 
+def sha(words):
+    return hashlib.sha256(" ".join(words).encode()).hexdigest()
+
+
 def brute_dedup(texts, ids):
     first, words = {}, [WORD.findall(t or "") for t in texts]
     for i, w in sorted(zip(ids, words), key=lambda x: (x[0] is None, x[0])):
@@ -221,11 +227,65 @@ def test_dedup_equals_brute_force(spark, batch):
         got = Counter(map(tuple, substring_dedup.dedup_digests(docs_of(spark, texts, ids)).collect()))
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10000)
-    sha = lambda w: hashlib.sha256(" ".join(w).encode()).hexdigest()
     want = Counter((i, n, n - len(w), sha(w)) for i, (n, w) in zip(ids, brute_dedup(texts, ids)))
     assert got == want
 
 
+@pytest.mark.parametrize("rule", ["share", "later"])
+@pytest.mark.parametrize("bits", [2, 18])
+def test_early_decisions_lose_nothing(monkeypatch, rule, bits):
+    """Tasks with few and many slots: what they decide and what the exchange finds is the whole result."""
+    monkeypatch.setattr(substring_dedup, "SEEN", bits)
+    rng = np.random.default_rng(bits)
+    a = rng.integers(-9, 9, 4_000)
+    a[rng.random(4_000) < 0.3] = 5  # a key in a third of all rows
+    b = rng.integers(0, 2, 4_000) if bits == 2 else a % 2  # keys of one slot, or of one each
+    d = rng.integers(0, 300, 4_000)
+    dealt, got = Counter(), set()
+    exchange = {}
+    for task in np.array_split(np.arange(4_000), 4):
+        seen = substring_dedup._Seen()
+        for part in np.array_split(task, 9):
+            deal, done = seen.split(a[part], b[part], d[part], rule)
+            got |= set(zip(*(x.tolist() for x in done)))
+            for x, y, doc in zip(*(x.tolist() for x in deal)):
+                exchange.setdefault((x, y), set()).add(doc)
+                dealt[x, y] += 1
+    for (x, y), have in exchange.items():
+        if rule == "share":
+            got |= {(x, y, doc) for doc in have if len(have) > 1}
+        else:
+            got |= {(x, y, doc) for doc in have if doc > min(have)}
+    all_docs = {}
+    for x, y, doc in zip(a.tolist(), b.tolist(), d.tolist()):
+        all_docs.setdefault((x, y), set()).add(doc)
+    want = {(x, y, doc) for (x, y), have in all_docs.items() for doc in have
+            if (len(have) > 1 if rule == "share" else doc > min(have))}
+    assert got == want
+    if bits == 18:
+        # one row of a key and task; "later" deals a new smallest id as well
+        assert max(dealt.values()) <= (4 if rule == "share" else 36)
+
+
+def test_dedup_deals_hot_keys_evenly(spark):
+    """A passage that most documents share: a few rows of its anchors and windows go by their hash."""
+    rng = random.Random(5)
+    passage = " ".join(f"p{k}" for k in range(30))
+    texts = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(20)) + (" " + passage if k % 4 else "")
+             for k in range(400)]
+    df = docs_of(spark, texts)
+    prepare(spark)
+    found = substring_dedup.anchors(df, 13).cache()
+    most = found.filter("not done").groupBy("a").count().agg({"count": "max"}).first()[0]
+    assert most <= df.rdd.getNumPartitions()
+    shared = {tuple(r) for r in substring_dedup.shared_anchors(found).collect()}
+    assert len({i for i, _ in shared}) == 300 and {i for i, _ in shared} == {k for k in range(400) if k % 4}
+    got = Counter(map(tuple, substring_dedup.dedup_digests(df).collect()))
+    want = Counter((i, n, n - len(w), sha(w)) for i, (n, w) in enumerate(brute_dedup(texts, range(400))))
+    assert got == want
+    found.unpersist()
+
+
 def test_dedup_texts(spark):
     texts = corpus(5)
     df = docs_of(spark, texts)
