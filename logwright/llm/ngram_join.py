@@ -441,10 +441,12 @@ def _descent(trees: DataFrame, full: DataFrame) -> tuple[DataFrame | None, DataF
 
     ``full``: node, weight, size, sig, text of the classes in ``trees``. At each level a node
     whose classes have one label is done; else one class of each label meets the node's
-    smallest class. A pair is tested once.
+    smallest class. A pair is tested once. Between levels two rounds of labels are enough: a group
+    that still has several costs a further test, no link. The last level's labels are whole.
     """
     links = labels = tested = None
-    for level in range(DEPTH, int(AT.min()) - 1, -1):
+    last = int(AT.min())
+    for level in range(DEPTH, last - 1, -1):
         rows = _known(_nodes(trees).filter(F.col("level") == level), labels)
         heads = rows.groupBy("tree", "prefix", "known").agg(F.min("node").alias("a"))
         hubs = heads.groupBy("tree", "prefix").agg(F.min("a").alias("b"), F.max("a").alias("z")).filter("b < z").drop("z")
@@ -460,7 +462,8 @@ def _descent(trees: DataFrame, full: DataFrame) -> tuple[DataFrame | None, DataF
                                           F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("bi"))))
         found = _linked(_known(ends.withColumn("bj", F.lit(-1)), None).join(full, "node"))
         links = found if links is None else links.unionByName(found)
-        labels = components(links.select(F.col("node").alias("a"), F.col("label").alias("b")))
+        labels = components(links.select(F.col("node").alias("a"), F.col("label").alias("b")),
+                            None if level == last else 2)
     return links, labels
 
 
