@@ -54,12 +54,9 @@ def whole_groups(batches, keys: list[str]) -> Iterator[tuple[pa.RecordBatch, np.
         yield carry, np.append(changes(carry, keys), carry.num_rows)
 
 
-def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node of each node's connected component.
 
-    With ``rounds``, no more than those: nodes of one label are connected then, but connected
-    nodes may still have several labels.
-
     ``edges`` (a, b: binary), either direction, written. Each round takes the smallest label
     among the neighbours and then that label's own label of the round before; labels and
     the check for changes stay in Spark, every round is written to the shared folder.
@@ -67,7 +64,7 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     both = written(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges")
     labels = written(both.groupBy(F.col("a").alias("node"))
                      .agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")
-    while rounds is None or rounds > 0:
+    while True:
         # the neighbours' labels and the own one meet in one aggregation
         heard = (both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("l")), "b")
                  .select(F.col("a").alias("node"), "l", F.lit(None).cast("binary").alias("old"))
@@ -77,8 +74,5 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
         step = written(step.join(far, "label", "left")
                        .select("node", "old", F.least("label", "far").alias("label")), "labels")
         labels = step.select("node", "label")
-        if rounds is not None:
-            rounds -= 1
-        elif step.filter(F.col("old") != F.col("label")).isEmpty():
-            break
-    return labels
+        if step.filter(F.col("old") != F.col("label")).isEmpty():
+            return labels

@@ -9,7 +9,6 @@ import numpy as np
 import pytest
 
 from logwright.llm import line_rules, ngram_join, packing, substring_dedup
-from logwright.llm.groups import components
 from logwright.llm.runtime import prepare
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -183,18 +182,6 @@ def test_chains_are_one_group(spark):
     assert sorted(r["doc_id"] for r in kept) == [30 * c for c in range(6)]
 
 
-def test_labels_of_few_rounds_stay_within_components(spark):
-    """Few rounds may leave a component with several labels, never join two; all rounds give the smallest node."""
-    node = lambda k: k.to_bytes(2, "big")
-    pairs = [(k, k + 1) for k in range(40)] + [(100 + 3 * k, 100) for k in range(1, 20)]  # a chain and a star
-    edges = spark.createDataFrame([(node(a), node(b)) for a, b in pairs], "a binary, b binary")
-    part = {r["node"]: r["label"] for r in components(edges, 1).collect()}
-    whole = {r["node"]: r["label"] for r in components(edges).collect()}
-    assert whole == {node(k): node(0 if k < 100 else 100) for p in pairs for k in p}
-    assert part.keys() == whole.keys() and all(whole[v] == whole[k] for k, v in part.items())
-    assert 2 < len(set(part.values()))
-
-
 def test_repeated_ids_are_judged_by_row(spark):
     a, b, c, d, e, f, g = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcdefg")
     rows = [(3, b), (5, a), (5, b + " z"), (6, c), (6, d), (7, e), (7, e + " z"), (7, f), (8, ""), (8, ""), (8, g),
